@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, simhash, token_files
+from . import bpe, fingerprints, mixing, sharding, simhash, token_files
 
 QUERIES = {
     "op1_weighted_fingerprints": fingerprints.op1,
+    "op3_source_mix": mixing.op3,
     "op5_byte_bpe_round_trip": bpe.op5,
     "op6_simhash_near_duplicates": simhash.op6,
+    "op7_kd_tree_shards": sharding.op7,
     "op8_token_plane_files": token_files.op8,
 }
 
