@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, mixing, sharding, simhash, token_files
+from . import bpe, fingerprints, language, mixing, quality, sharding, simhash, token_files, word_lm
 
 QUERIES = {
     "op1_weighted_fingerprints": fingerprints.op1,
+    "op2_language_codes": language.op2,
     "op3_source_mix": mixing.op3,
+    "op4_quality_perplexity": quality.op4,
     "op5_byte_bpe_round_trip": bpe.op5,
     "op6_simhash_near_duplicates": simhash.op6,
     "op7_kd_tree_shards": sharding.op7,
     "op8_token_plane_files": token_files.op8,
+    "op10_word_lm_scores": word_lm.op10,
 }
 
 ORACLES: dict[str, str] = {}
