@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, language, mixing, quality, sharding, simhash, token_files, word_lm
+from . import articles, bpe, fingerprints, language, mixing, quality, sharding, simhash, token_files, word_lm
 
 QUERIES = {
     "op1_weighted_fingerprints": fingerprints.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_simhash_near_duplicates": simhash.op6,
     "op7_kd_tree_shards": sharding.op7,
     "op8_token_plane_files": token_files.op8,
+    "op9_wrapper_articles": articles.op9,
     "op10_word_lm_scores": word_lm.op10,
 }
 
