@@ -15,6 +15,7 @@ from functools import cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from .common import pick, table
 
@@ -65,10 +66,10 @@ def decode(ids: list[int], path: str) -> bytes:
 
 
 def _mapped(df: DataFrame, schema: str, text: str, row: Callable[[str], tuple], keep: list[str]) -> DataFrame:
-    names = [x.strip().split()[0] for x in schema.split(",")]
     full = df.select(*keep).schema
-    for field in df.sparkSession.createDataFrame([], schema).schema:
-        full = full.add(field)
+    names = [x.split()[0] for x in schema.split(", ")]
+    for name, kind in (x.split() for x in schema.split(", ")):
+        full = full.add(name, StructType.fromDDL(f"x {kind}")[0].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -101,5 +102,17 @@ def add_round_trip(df: DataFrame, text: str = "text", ranks: str = RANKS, keep:
     return _mapped(df, "n_tokens long, ids_sha256 string, decoded_sha256 string", text, row, [c for c in keep or df.columns if c not in new])
 
 
+def add_checked_ids(df: DataFrame, text: str = "text", ranks: str = RANKS, keep: list[str] | None = None) -> DataFrame:
+    """Kept columns (all by default), the number of ids, the ids, and whether they decode to the very bytes of the text."""
+    path = vocabulary_path(ranks)
+    new = ("n_tokens", "ids", "decodes")
+
+    def row(x: str) -> tuple:
+        ids = encode(x, path)
+        return len(ids), ids, decode(ids, path) == x.encode()
+
+    return _mapped(df, "n_tokens long, ids array<int>, decodes boolean", text, row, [c for c in keep or df.columns if c not in new])
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_round_trip(pick(table(spark, sf_dir, "documents"), "doc_id", "text"), keep=["doc_id"])

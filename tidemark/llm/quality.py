@@ -241,8 +241,8 @@ def base_counts(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measure(docs: DataFrame, folder: str, bits: int) -> DataFrame:
-    """doc_id, lang, the base counts, and nats: the negative log-probability of the text. No shuffle."""
+def measure(docs: DataFrame, folder: str, bits: int, keep: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
+    """Kept columns, the base counts, and nats: the negative log-probability of the text. No shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,44 +251,60 @@ def measure(docs: DataFrame, folder: str, bits: int) -> DataFrame:
                 grams, back = np.unique(_codes(buf, offsets), return_inverse=True)
                 total = np.concatenate(([0.0], np.cumsum(log_probability(folder, bits, "", grams)[back])))
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("lang"), *[pa.array(counts[c].astype(np.int64)) for c in BASE], pa.array(total[offsets[:-1]] - total[offsets[1:]])],
-                    names=["doc_id", "lang", *BASE, "nats"],
-                )
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(counts[c].astype(np.int64)) for c in BASE] + [pa.array(total[offsets[:-1]] - total[offsets[1:]])], names=[*keep, *BASE, "nats"])
 
-    schema = docs.select("doc_id", "lang").schema
+    schema = docs.select(*keep).schema
     for c in BASE:
         schema = schema.add(c, "long")
-    return pick(docs, "doc_id", "lang", "text").mapInArrow(run, schema.add("nats", "double"))
+    return pick(docs, *dict.fromkeys((*keep, "text"))).mapInArrow(run, schema.add("nats", "double"))
 
 
-def judged(docs: DataFrame, bands: dict[str, tuple[float, float]] = BANDS) -> DataFrame:
-    """doc_id, the base counts, base_failed, word_ppl and char_ppl (nats), the bands' ends and kept, for every row.
-
-    base_failed: under 10 words, or over a fifth of the words in repeated windows. kept: not that, and within both bands of the
-    language (null: a language of its own). Null and blank texts fail. Repeated rows are judged alike.
-    """
-    folder = new_folder(docs.sparkSession, "byte-lm")
-    bits = write_model(gram_counts(docs.withColumn("lang", F.lit(""))), folder)
-    rows = cut_lineage(measure(docs, folder, bits)).withColumn("lang", F.coalesce("lang", F.lit("")))
+def _figures(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     rows = rows.withColumn("word_ppl", F.try_divide("nats", "n_words")).withColumn("char_ppl", F.try_divide("nats", "word_chars"))
     # Lengths by powers of two: a few dozen rows for each language.
-    rows = rows.withColumn("length", F.floor(F.log2(F.greatest("n_words", F.lit(1)).cast("double"))).cast("int"))
-    good = rows.filter(~F.col("base_failed"))
-    middle = good.groupBy("lang").agg(*[F.percentile_approx(k, 0.5, 1000).alias(f"{k}_middle") for k in bands])
-    away = [(1.4826 * F.percentile_approx(F.abs(F.col(k) - F.col(f"{k}_middle")), 0.5, 1000)).alias(f"{k}_deviation") for k in bands]
-    spread = good.join(F.broadcast(middle), "lang").groupBy("lang", "length").agg(*away)
-    found = rows.join(F.broadcast(middle), "lang", "left").join(F.broadcast(spread), ["lang", "length"], "left")
-    kept, ends = ~F.col("base_failed"), []
-    for k, (below, above) in bands.items():
-        deviation = F.greatest(F.col(f"{k}_deviation"), F.col(f"{k}_middle") * LEAST_DEVIATION)
-        low, high = F.col(f"{k}_middle") - below * deviation, F.col(f"{k}_middle") + above * deviation
-        kept &= F.coalesce(F.col(k).between(low, high), F.lit(False))
-        ends += [low.alias(f"{k}_low"), high.alias(f"{k}_high")]
-    return found.select("doc_id", *BASE, "base_failed", *bands, *ends, kept.alias("kept"))
+    return rows.withColumn("length", F.floor(F.log2(F.greatest("n_words", F.lit(1)).cast("double"))).cast("int")).withColumn("band_lang", F.coalesce("lang", F.lit("")))
+
+
+class Judge:
+    """A fitted model and the bands of every language and length.
+
+    ``measured`` holds doc_id, lang, the base counts and nats of all rows, written once to the shared folder.
+    """
+
+    def __init__(self, docs: DataFrame, bands: dict[str, tuple[float, float]] = BANDS) -> None:
+        self.folder, self.bands = new_folder(docs.sparkSession, "byte-lm"), bands
+        self.bits = write_model(gram_counts(docs.withColumn("lang", F.lit(""))), self.folder)
+        self.measured = cut_lineage(measure(docs, self.folder, self.bits))
+        good = _figures(self.measured).filter(~F.col("base_failed"))
+        middle = good.groupBy("band_lang").agg(*[F.percentile_approx(k, 0.5, 1000).alias(f"{k}_middle") for k in bands])
+        away = [(1.4826 * F.percentile_approx(F.abs(F.col(k) - F.col(f"{k}_middle")), 0.5, 1000)).alias(f"{k}_deviation") for k in bands]
+        spread = good.join(F.broadcast(middle), "band_lang").groupBy("band_lang", "length").agg(*away)
+        self.ends = cut_lineage(spread.join(F.broadcast(middle), "band_lang"))
+
+    def verdicts(self, measured: DataFrame) -> DataFrame:
+        """Adds base_failed, word_ppl, char_ppl (nats), kept.
+
+        base_failed: under 10 words, or over a fifth of the words in repeated windows. kept: not that, and within both bands of the
+        language (null: a language of its own). Null and blank texts fail. Repeated rows are judged alike.
+        """
+        found = _figures(measured).join(F.broadcast(self.ends), ["band_lang", "length"], "left")
+        kept = ~F.col("base_failed")
+        for k, (below, above) in self.bands.items():
+            deviation = F.greatest(F.col(f"{k}_deviation"), F.col(f"{k}_middle") * LEAST_DEVIATION)
+            kept &= F.coalesce(F.col(k).between(F.col(f"{k}_middle") - below * deviation, F.col(f"{k}_middle") + above * deviation), F.lit(False))
+        return found.withColumn("kept", kept).select(*measured.columns, "base_failed", *self.bands, "kept")
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The documents that pass, with all their columns. Texts are scored once more rather than shuffled to meet their verdicts."""
+    judge = Judge(docs)
+    clash = [c for c in (*BASE, "nats", "base_failed", *BANDS, "kept", "length", "band_lang") if c in docs.columns]
+    renamed = docs.withColumnsRenamed({c: f"own {c}" for c in clash})
+    rows = judge.verdicts(measure(renamed, judge.folder, judge.bits, tuple(renamed.columns)))
+    return rows.filter("kept").select(*renamed.columns).withColumnsRenamed({f"own {c}": c for c in clash})
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = judged(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", *BASE, "base_failed", "kept", *BANDS)
+    judge = Judge(table(spark, sf_dir, "documents"))
+    return judge.verdicts(judge.measured).select("doc_id", *BASE, "base_failed", "kept", *BANDS)

@@ -170,5 +170,17 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     return fps.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def representatives(docs: DataFrame) -> DataFrame:
+    """One document of each component, that of the least doc_id, with all its columns.
+
+    Of rows that repeat a doc_id one stays, whichever; rows without one count as one document.
+    """
+    found = near_duplicates(docs)
+    stay = cut_lineage(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")))
+    kept = docs.join(stay, docs.doc_id.eqNullSafe(F.col("stays")), "left_semi")
+    repeated = not stay.groupBy("stays").count().filter("count > 1").isEmpty()
+    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
