@@ -18,11 +18,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import arrays
 from .bpe import vocabulary_path
 from .common import new_folder, pick, table
 from .fingerprints import _search
@@ -32,44 +32,115 @@ BLOCK = 1 << 16
 END_ID = 0
 MODEL = "byte_bpe_50k.json"
 #: Units that a worker remembers the ids of; beyond this it starts anew.
-MEMORY = 250_000
-_ODD = regex.compile(r" (?=[\s\x1c-\x1f]|$)")
-_CUT = regex.compile(r" (?=[^\s\x1c-\x1f])")
-
-
-@cache
-def tokenizer(path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
-
+MEMORY = 1_000_000
+CHUNK = 2 << 20
+#: Files whose starts are small enough to go to every executor.
+MOST_BROADCAST = 500_000
+#: Bytes before which a blank is no cut: white space, and first bytes of characters among which there is white space.
+_UNSAFE = np.zeros(256, bool)
+_UNSAFE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[c for c in range(128) if chr(c).isalpha()]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
+
+
+class Encoder:
+    """Encodes chunks of texts with the tokenizers library, each distinct unit once.
+
+    Texts are cut before a blank that is followed by another character than white space, between an ASCII letter and a mark, and between
+    a lone line feed and an ASCII letter. No match of the pattern crosses these places, nor does one before them look beyond, so the
+    ids of a text are those of its units in turn. Units are told apart by 64-bit hashes.
+    """
 
-_memory: dict[str, dict[str, bytes]] = {}
+    def __init__(self, path: str) -> None:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        vocab = self.library.get_vocab()
+        # In a byte-level vocabulary each character of a token stands for one byte.
+        self.width = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.width[i] = len(token)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at: dict[int, int] = {}
+        self.first, self.length, self.ids, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, "<u4"), 0
+
+    def _learn(self, hashes: list[int], spans: list[tuple[int, int]], raw: bytes) -> None:
+        joined, alone = [], []
+        for h, (a, b) in zip(hashes, spans, strict=True):
+            (joined if b - a > 1 and raw[a] == 0x20 and not _UNSAFE[raw[a + 1]] else alone).append((h, a, b))
+        groups = [joined[k : k + 1000] for k in range(0, len(joined), 1000)] + [[x] for x in alone]
+        texts = [b"".join(raw[a:b] for _, a, b in g).decode() for g in groups]
+        for group, found in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([b - a for _, a, b in group])) + 1
+            n = len(self.at)
+            while n + len(group) > len(self.first):
+                self.first, self.length = np.resize(self.first, 2 * len(self.first)), np.resize(self.length, 2 * len(self.length))
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.resize(self.ids, 2 * len(self.ids))
+            begins = np.concatenate(([0], ends[:-1]))
+            self.first[n : n + len(group)], self.length[n : n + len(group)] = begins + self.used, ends - begins
+            self.ids[self.used : self.used + len(ids)] = ids
+            self.used += len(ids)
+            self.at.update(zip((h for h, *_ in group), range(n, n + len(group)), strict=True))
+
+    def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a chunk in a row, and how many each text has."""
+        n = len(offsets) - 1
+        if not len(buf):
+            return np.zeros(0, "<u4"), np.zeros(n, np.int64)
+        cut = np.zeros(len(buf), bool)
+        cut[:-1] = (buf[:-1] == 0x20) & ~_UNSAFE[buf[1:]]
+        cut[1:] |= _LETTER[buf[:-1]] & _MARK[buf[1:]]
+        cut[2:] |= ((_LETTER | _MARK)[buf[:-2]]) & (buf[1:-1] == 0x0A) & _LETTER[buf[2:]]
+        cut[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(cut)
+        ends = np.append(starts[1:], len(buf))
+        hashes = arrays.span_hashes(buf, starts, ends)
+        order = np.argsort(hashes)
+        at, times = arrays.runs(hashes[order])
+        where = order[at]
+        hashes = hashes[where]
+        if len(self.at) > MEMORY:
+            self._forget()
+        keys = hashes.tolist()
+        new = [i for i, h in enumerate(keys) if h not in self.at]
+        if new:
+            first = where[new]
+            self._learn([keys[i] for i in new], list(zip(starts[first].tolist(), ends[first].tolist(), strict=True)), buf.tobytes())
+        unit = np.empty(len(starts), np.int64)
+        unit[order] = np.repeat(np.array([self.at[h] for h in keys], np.int64), times)
+        length = self.length[unit]
+        upto = np.cumsum(length)
+        ids = self.ids[np.repeat(self.first[unit] - (upto - length), length) + np.arange(upto[-1])]
+        per_text = np.diff(np.concatenate(([0], upto))[np.searchsorted(starts, offsets)])
+        return ids, per_text
 
 
-def _units(text: str) -> list[str]:
-    """The text cut in front of every blank that comes before a character other than white space: no token crosses there."""
-    parts = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-    return [parts[0], *[" " + x for x in parts[1:]]]
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each Python worker."""
+    return Encoder(path)
 
 
-def encode_texts(texts: list[str], path: str) -> list[bytes]:
-    """Ids of whole texts as little-endian 32-bit integers. A unit that recurs is encoded once."""
-    units = [_units(x) for x in texts]
-    known = _memory.setdefault(path, {"": b""})
-    if len(known) > MEMORY:
-        known = _memory[path] = {"": b""}
-    new = list({u for us in units for u in us if u not in known})
-    for lo in range(0, len(new), 10_000):
-        part = new[lo : lo + 10_000]
-        for unit, found in zip(part, tokenizer(path).encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[unit] = np.array(found.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, us)) for us in units]
+def encode_with_end(col: pa.Array, path: str, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Chunk by chunk: the first row, the ids of its texts, each text's followed by the end id, and where each text's end."""
+    for lo, _, buf, offsets in arrays.chunks(col, CHUNK):
+        ids, n = encoder(path).encode(buf, offsets)
+        ends = np.cumsum(n + 1)
+        out = np.full(ends[-1], end_id, "<u4")
+        inside = np.ones(ends[-1], bool)
+        inside[ends - 1] = False
+        out[inside] = ids
+        yield lo, out, ends
 
 
 def pack(ids: np.ndarray, docs: list[list[int]], block: int = BLOCK) -> bytes:
@@ -125,22 +196,24 @@ def write_files(docs: DataFrame, folder: str, model: str = MODEL, end_id: int =
         now, seq, ids, listed, size = None, 0, [], [], 0
 
         def flush() -> pa.RecordBatch:
-            raw = pack(np.frombuffer(b"".join(ids), "<u4"), listed)
+            raw = pack(np.concatenate(ids), listed)
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([seq], pa.int32()), pa.array([size], pa.int64()), pa.array([raw], pa.binary())], names=["range", "seq", "n_ids", "raw"])
 
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                r, d, t = (batch.column(k).slice(lo, 256).to_pylist() for k in range(3))
-                for place, doc, made in zip(r, d, encode_texts([x or "" for x in t], path), strict=True):
+            places, doc_ids = batch.column("range").to_pylist(), batch.column("doc_id").to_pylist()
+            for lo, made, ends in encode_with_end(batch.column("text"), path, end_id):
+                begin = 0
+                for k, end in enumerate(ends.tolist()):
+                    place = places[lo + k]
                     if ids and (place != now or size >= ids_a_file):
                         yield flush()
                         seq, ids, listed, size = seq + 1 if place == now else 0, [], [], 0
                     if place != now:
                         now, seq = place, 0
-                    listed.append([doc, size, len(made) // 4 + 1])
-                    ids += [made, end]
-                    size += len(made) // 4 + 1
+                    listed.append([doc_ids[lo + k], size, end - begin])
+                    ids.append(made[begin:end])
+                    size += end - begin
+                    begin = end
         if ids:
             yield flush()
 
@@ -172,7 +245,9 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )
 
-    return files.join(starts, ["range", "seq"]).select("raw", "first").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    # A row of starts for each file: to every executor at once if they are few, else joined.
+    few = spark.read.schema("range int").parquet(folder).count() <= MOST_BROADCAST
+    return files.join(F.broadcast(starts) if few else starts, ["range", "seq"]).select("raw", "first").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
