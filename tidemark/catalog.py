@@ -6,5 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from tidemark.plans import table_queries as Q
+from tidemark.plans.table_queries import link_graph as link_graph
+from tidemark.plans.table_sql import SQL
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: getattr(Q, name) for name in [*SQL, "canonical_names"]}
+ORACLES: dict[str, str] = dict(SQL)
