@@ -78,17 +78,25 @@ def tag_mentions(c: Column, term: str) -> Column:
 
 
 def snippets(c: Column, term: str, reach: int = 30, most: int = 3) -> Column:
-    """The first bare mentions with so many characters on either side, on one line, within dots. Windows may overlap."""
-    parts = F.split(c, quoted(term), -1)
-    gaps = F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
-    bare = F.filter(gaps, lambda i: ~(F.element_at(parts, i).endswith("[[")) & ~(F.element_at(parts, i + 1).startswith("]]")))
+    """The first bare mentions with so many characters on either side, on one line, within dots. Windows may overlap.
 
-    def one(i: Column) -> Column:
-        left = F.right(F.array_join(F.slice(parts, F.lit(1), i), term), F.lit(reach))
-        right = F.left(F.array_join(F.slice(parts, i + 1, F.size(parts) - i), term), F.lit(reach))
-        return F.concat(F.lit("..."), strip(F.replace(F.concat(left, F.lit(term), right), F.lit("\n"), F.lit(" "))), F.lit("..."))
+    The text is cut at the term once. A window spans at most reach + 1 pieces on a side, since each cut stands for a character or more.
+    """
 
-    return F.transform(F.slice(bare, 1, most), one)
+    def of(parts: Column) -> Column:
+        gaps = F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
+        bare = F.filter(gaps, lambda i: ~(F.element_at(parts, i).endswith("[[")) & ~(F.element_at(parts, i + 1).startswith("]]")))
+
+        def one(i: Column) -> Column:
+            first = F.greatest(F.lit(1), i - reach)
+            left = F.right(F.array_join(F.slice(parts, first, i - first + 1), term), F.lit(reach))
+            right = F.left(F.array_join(F.slice(parts, i + 1, F.lit(reach + 1)), term), F.lit(reach))
+            return F.concat(F.lit("..."), strip(F.replace(F.concat(left, F.lit(term), right), F.lit("\n"), F.lit(" "))), F.lit("..."))
+
+        return F.transform(F.slice(bare, 1, most), one)
+
+    # The lambda binds the pieces, so that they are made once for a text.
+    return F.transform(F.array(F.split(c, quoted(term), -1)), of)[0]
 
 
 def role(supply_chain: Column, name: Column) -> Column:
