@@ -23,6 +23,7 @@ SHARDS = 8
 STEPS = 256
 DIMS = ("dim0", "dim1", "dim2")
 _HASH_BITS = 48
+PARTS = 256
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -126,36 +127,46 @@ def descend(df: DataFrame, level: dict[int, tuple[Column, int]]) -> DataFrame:
     return df.withColumn("node", F.col("node") * 2 + F.coalesce(side, F.lit(0)))
 
 
+def _numbered(rows: DataFrame, by: str) -> DataFrame:
+    """Adds number, gapless from 0 in each group: a place in the row's part of it, on top of the sizes of the parts before.
+
+    There are few groups, and at most PARTS sums for each.
+    """
+    counts = rows.groupBy(by, "part").count()
+    first = counts.select(by, "part", F.coalesce(F.sum("count").over(Window.partitionBy(by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    at = F.row_number().over(Window.partitionBy(by, "part").orderBy("doc_id", "hash")) - 1
+    return rows.withColumn("at", at).join(F.broadcast(first), [by, "part"]).withColumn("number", (F.col("first") + F.col("at")).cast("long")).drop("at", "first")
+
+
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot (gapless from 0 within the shard) of every row.
 
-    shards is a power of two. Repeated rows each get a slot; equal texts share a shard unless they alone outweigh one. An empty table gives none. Other
-    columns are ignored. Slots come from counts of 256 parts a shard, by a hash of doc_id, and an order within each part.
+    shards is a power of two. Repeated rows each get a slot; equal texts share a shard unless they alone outweigh one. An empty
+    table gives none. Other columns are ignored. Slots come from the sums of PARTS parts a shard and an order within each part.
     """
     if shards & (shards - 1):
         raise ValueError("shards must be a power of two")
     rows = cut_lineage(measured(docs))
-    groups = cut_lineage(rows.groupBy("hash", *DIMS).agg(F.sum("size").alias("bytes")))
+    groups = cut_lineage(rows.groupBy("hash", *DIMS).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")))
     total = groups.agg(F.sum("bytes")).first()[0] or 0
     # Fewer than 100 groups a shard can be so large.
-    large = groups.filter(F.col("bytes") * 100 * shards > total)
-    heavy, room = place_heavy([(r.hash, r.bytes) for r in large.select("hash", "bytes").collect()], total, shards)
-    levels = kd_tree(groups.filter(F.col("bytes") * 100 * shards <= total), room)
+    large = {r.hash: r for r in groups.filter(F.col("bytes") * 100 * shards > total).select("hash", "bytes", "rows").collect()}
+    heavy, room = place_heavy([(r.hash, r.bytes) for r in large.values()], total, shards)
     placed = rows.withColumn("node", F.lit(1))
-    for level in levels:
+    for level in kd_tree(groups.filter(F.col("bytes") * 100 * shards <= total), room):
         placed = descend(placed, level)
-    leaf = F.col("node") - shards
-    listed = [{"hash": g, "upto": [u for u, _ in parts], "to": [j for _, j in parts]} for g, parts in heavy.items()]
-    known = docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(listed)), "array<struct<hash long, upto array<double>, to array<int>>>")))
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
-    spot = F.element_at("to", F.least(F.size("to"), F.size(F.filter("upto", lambda u: u <= share)) + 1))
-    placed = placed.join(F.broadcast(known), "hash", "left").withColumn("shard", F.coalesce(spot, leaf).cast("int"))
-    placed = placed.select("doc_id", "size", "text_crc32", "hash", "shard", F.pmod(F.xxhash64("doc_id", "hash"), F.lit(256)).alias("part"))
-    # At most 256 rows a shard.
-    counts = placed.groupBy("shard", "part").count()
-    first = counts.select("shard", "part", F.coalesce(F.sum("count").over(Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    at = F.row_number().over(Window.partitionBy("shard", "part").orderBy("doc_id", "hash")) - 1
-    return placed.withColumn("at", at).join(F.broadcast(first), ["shard", "part"]).select("doc_id", "size", "text_crc32", "shard", (F.col("first") + F.col("at")).cast("long").alias("slot"))
+    listed = [{"hash": g, "rows": large[g].rows, "upto": [u for u, _ in parts], "to": [j for _, j in parts]} for g, parts in heavy.items()]
+    known = docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(listed)), "array<struct<hash long, rows long, upto array<double>, to array<int>>>")))
+    joined = placed.join(F.broadcast(known), "hash", "left").withColumn("part", F.pmod(F.xxhash64("doc_id", "hash"), F.lit(PARTS)))
+    columns = ["doc_id", "size", "text_crc32", "hash", F.col("shard").cast("int").alias("shard"), "part"]
+    parts_of = F.coalesce(F.size("to"), F.lit(0))
+    done = joined.filter(parts_of < 2).withColumn("shard", F.coalesce(F.get("to", F.lit(0)), F.col("node") - shards)).select(*columns)
+    if any(len(parts) > 1 for parts in heavy.values()):
+        # Rows of a group that no shard can hold are numbered; the shards get shares of the numbers.
+        share = (F.col("number") + 0.5) / F.col("rows")
+        spot = F.element_at("to", F.least(F.size("to"), F.size(F.filter("upto", lambda u: u <= share)) + 1))
+        done = done.unionByName(_numbered(joined.filter(parts_of > 1), "hash").withColumn("shard", spot).select(*columns))
+    return _numbered(done, "shard").select("doc_id", "size", "text_crc32", "shard", F.col("number").alias("slot"))
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
