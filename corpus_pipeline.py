@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, language, mixing, quality, simhash
-from tidemark.llm.common import new_folder, table
+from tidemark.llm.common import bound_batches, new_folder, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and both perplexity bands."""
+    bound_batches(spark)
     return quality.accepted(docs)
 
 

@@ -14,7 +14,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
+#: Bytes of a batch that a Python worker gets at a time.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Batches for Python are bounded by bytes: texts can be long, so a number of rows says little of a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

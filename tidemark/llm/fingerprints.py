@@ -23,6 +23,8 @@ from . import arrays
 from .common import pick, table
 
 SAMPLES = 64
+#: Bytes of text that are fingerprinted at a time.
+CHUNK = 1 << 20
 _ROWS = 4096
 _tables: dict[int, tuple[np.ndarray, ...]] = {}
 
@@ -83,7 +85,7 @@ def signatures(buf: np.ndarray, offsets: np.ndarray, samples: int = SAMPLES) ->
 
 
 def _of_texts(texts: list[str], samples: int) -> tuple[np.ndarray, np.ndarray]:
-    found = [signatures(buf, offsets, samples) for *_, buf, offsets in arrays.chunks(pa.array(texts, pa.large_string()))]
+    found = [signatures(buf, offsets, samples) for *_, buf, offsets in arrays.chunks(pa.array(texts, pa.large_string()), CHUNK)]
     return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 
@@ -99,7 +101,7 @@ def fingerprint(df: DataFrame, text: str = "text", samples: int = SAMPLES, out:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = pa.Table.from_batches([batch]).select([n for n in batch.schema.names if n != out])
-            sigs = [s.astype(">u2").tobytes().hex() for *_, buf, offsets in arrays.chunks(batch.column(text)) for s in signatures(buf, offsets, samples)[0]]
+            sigs = [s.astype(">u2").tobytes().hex() for *_, buf, offsets in arrays.chunks(batch.column(text), CHUNK) for s in signatures(buf, offsets, samples)[0]]
             yield from t.append_column(out, pa.array(sigs, pa.string())).to_batches()
 
     return df.mapInArrow(run, schema)
@@ -173,7 +175,7 @@ def compare_neighbours(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
             for row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 held.append(row)
                 size += len(row[3] or "")
-                if size > arrays.CHUNK_BYTES:
+                if size > CHUNK:
                     done, held = _compare(held, samples, True)
                     size = sum(len(r[3] or "") for r in held)
                     if done:
