@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 from pyarrow import fs
@@ -23,7 +23,8 @@ def write_array(folder: str, name: str, values: np.ndarray) -> None:
     files.move(part, f"{path}/{name}")
 
 
-@cache
+#: So many arrays stay mapped in a worker; the oldest go first.
+@lru_cache(maxsize=16_384)
 def open_array(folder: str, name: str, kind: str) -> np.ndarray:
     """The array, mapped. From a store that is no local path it is first copied to an unnamed file, which goes with the process."""
     files, path = fs.FileSystem.from_uri(folder)
