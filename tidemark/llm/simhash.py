@@ -1,14 +1,15 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Fingerprints are grouped into tiles by the population counts of their halves. Two fingerprints within the radius have counts
-that differ by no more than the radius over both halves, so only such pairs of tiles are compared: numpy exclusive-or and bit
-counts over blocks of at most TILE fingerprints. Each task keeps a union-find over the links it sees and gives one edge for
+Fingerprints are grouped into tiles by the population counts of their four quarters. Two fingerprints within the radius have
+counts that differ by no more than the radius over all quarters, so only such pairs of tiles are compared: numpy exclusive-or and
+bit counts over blocks of at most TILE fingerprints. Each task keeps a union-find over the links it sees and gives one edge for
 each linked fingerprint, not one for each pair; components follow by iterated minima.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,10 @@ RADIUS = 4
 SHINGLE = 4
 TILE = 4096
 SEED = 42
+#: Comparisons at a time.
+STRIP = 1 << 18
+#: Distinct fingerprints beyond which the neighbours of a tile come in several rows.
+CHUNK = 2_000_000
 
 
 def _fingerprints(buf: np.ndarray, offsets: np.ndarray, shingle: int) -> np.ndarray:
@@ -97,9 +102,10 @@ class Forest:
 
 
 def link_tile(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest) -> None:
-    """Joins all pairs within the radius; each strip of rows first joins a row to all it links."""
-    for lo in range(0, len(left), 64):
-        near = np.bitwise_count(left[lo : lo + 64, None] ^ right[None, :]) <= radius
+    """Joins all pairs within the radius, a strip of rows at a time."""
+    rows_a_strip = max(1, STRIP // max(1, len(right)))
+    for lo in range(0, len(left), rows_a_strip):
+        near = np.bitwise_count(left[lo : lo + rows_a_strip, None] ^ right[None, :]) <= radius
         rows, cols = np.nonzero(near)
         for a, b in zip(left[lo + rows].tolist(), right[cols].tolist(), strict=True):
             if a != b:
@@ -119,21 +125,28 @@ def _links(pairs: DataFrame, radius: int) -> DataFrame:
     return pairs.mapInArrow(run, "u long, v long")
 
 
+def _offsets(radius: int) -> list[int]:
+    """Differences of tile keys within the radius, one of each pair of opposite ones, and none."""
+    steps = [d for d in product(range(-radius, radius + 1), repeat=4) if sum(map(abs, d)) <= radius and d >= (0, 0, 0, 0)]
+    return [((a * 17 + b) * 17 + c) * 17 + d for a, b, c, d in steps]
+
+
 def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """Edges (u, v) among distinct fingerprints, column fp, that connect just those connected by links within the radius."""
-    high, low = F.bit_count(F.shiftrightunsigned("fp", 32)), F.bit_count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))
-    keyed = distinct.select("fp", high.alias("h"), low.alias("l"))
-    # At most 33 * 33 rows.
-    sizes = keyed.groupBy("h", "l").agg(F.ceil(F.count("*") / tile).alias("blocks"))
-    cut = keyed.join(F.broadcast(sizes), ["h", "l"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-    tiles = cut.groupBy("h", "l", "block").agg(F.collect_list("fp").alias("fps"))
+    quarter = [F.bit_count(F.shiftrightunsigned("fp", k).bitwiseAND(F.lit(0xFFFF))) for k in (48, 32, 16, 0)]
+    keyed = distinct.select("fp", (((quarter[0] * 17 + quarter[1]) * 17 + quarter[2]) * 17 + quarter[3]).cast("int").alias("key"))
+    # At most 17 ** 4 = 83,521 rows of two numbers.
+    sizes = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / tile).cast("int").alias("blocks")))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    sizes = F.broadcast(sizes.drop("n"))
+    tiles = keyed.join(sizes, "key").groupBy("key", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int").alias("block")).agg(F.collect_list("fp").alias("fps"))
     tiles = cut_lineage(tiles)
-    near = [(a, b) for a in range(-radius, radius + 1) for b in range(-radius, radius + 1) if abs(a) + abs(b) <= radius and (a, b) >= (0, 0)]
-    offsets = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in near])
-    left = tiles.withColumn("o", F.explode(offsets)).select(F.col("fps").alias("left"), F.col("block").alias("left_block"), (F.col("h") + F.col("o.a")).alias("h"), (F.col("l") + F.col("o.b")).alias("l"), ((F.col("o.a") == 0) & (F.col("o.b") == 0)).alias("same"))
-    pairs = left.join(tiles.withColumnRenamed("fps", "right"), ["h", "l"]).filter(~F.col("same") | (F.col("left_block") <= F.col("block")))
-    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _links(pairs.select("left", "right").repartition(n), radius)
+    # Each tile goes to the tiles before it that are near; a key that steps over the edge of a quarter meets a tile in vain at worst.
+    sent = tiles.select("fps", F.pmod(F.xxhash64("key", "block"), F.lit(total // CHUNK + 1)).alias("chunk"), F.explode(F.transform(F.lit(_offsets(radius)), lambda o: F.col("key") - o)).alias("key"))
+    sent = sent.join(sizes, "key").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    near = sent.groupBy("key", "block", "chunk").agg(F.flatten(F.collect_list("fps")).alias("right"))
+    pairs = tiles.withColumnRenamed("fps", "left").join(near, ["key", "block"]).select("left", "right")
+    return _links(pairs, radius)
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
