@@ -399,3 +399,28 @@ def test_tree_matching_merges_by_order():
     assert list(tree.kids["body"].kids) == ["h1", "section", "div"]
     again = articles.Template.load(tree.dump())
     assert again.dump() == tree.dump() and again.kids["body"].n == 2
+
+
+def test_near_copies(spark):
+    """Copies, light edits and a crowd of them are one group each; texts that share a passage are not."""
+    rng = __import__("random").Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows, want = [], {}
+    for g in range(12):
+        base = [word() for _ in range(rng.randint(150, 400))]
+        for copy in range(40 if g == 0 else 4):
+            words = list(base)
+            if copy:
+                words[rng.randrange(len(words))] = word()
+            rows.append((1000 * g + copy, " ".join(words)))
+            want[1000 * g + copy] = 1000 * g
+    passage = [word() for _ in range(60)]
+    for i in range(30):
+        rows.append((20_000 + i, " ".join([*passage, *(word() for _ in range(150))])))
+        want[20_000 + i] = 20_000 + i
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()} == want
+    assert {r.doc_id for r in simhash.representatives(docs).collect()} == set(want.values())
+    distinct = simhash.wide_fingerprints(docs).selectExpr("xxhash64(fp, n) as id", "fp", "n").distinct()
+    small = simhash.components(simhash.wide_links(distinct, tile=7)).groupBy("root").count().count()
+    assert small == 12

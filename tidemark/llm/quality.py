@@ -279,8 +279,11 @@ class Judge:
         good = _figures(self.measured).filter(~F.col("base_failed"))
         middle = good.groupBy("band_lang").agg(*[F.percentile_approx(k, 0.5, 1000).alias(f"{k}_middle") for k in bands])
         away = [(1.4826 * F.percentile_approx(F.abs(F.col(k) - F.col(f"{k}_middle")), 0.5, 1000)).alias(f"{k}_deviation") for k in bands]
-        spread = good.join(F.broadcast(middle), "band_lang").groupBy("band_lang", "length").agg(*away)
-        self.ends = cut_lineage(spread.join(F.broadcast(middle), "band_lang"))
+        good = good.join(F.broadcast(middle), "band_lang")
+        spread = good.groupBy("band_lang", "length").agg(*away)
+        # What languages together deviate at a length: a language with few texts of it is judged by no less.
+        common = [(1.4826 * F.percentile_approx(F.abs(F.col(k) / F.col(f"{k}_middle") - 1), 0.5, 1000)).alias(f"{k}_common") for k in bands]
+        self.ends = cut_lineage(spread.join(F.broadcast(middle), "band_lang").join(F.broadcast(good.groupBy("length").agg(*common)), "length"))
 
     def verdicts(self, measured: DataFrame) -> DataFrame:
         """Adds base_failed, word_ppl, char_ppl (nats), kept.
@@ -291,7 +294,7 @@ class Judge:
         found = _figures(measured).join(F.broadcast(self.ends), ["band_lang", "length"], "left")
         kept = ~F.col("base_failed")
         for k, (below, above) in self.bands.items():
-            deviation = F.greatest(F.col(f"{k}_deviation"), F.col(f"{k}_middle") * LEAST_DEVIATION)
+            deviation = F.greatest(F.col(f"{k}_deviation"), F.col(f"{k}_middle") * F.greatest(F.col(f"{k}_common"), F.lit(LEAST_DEVIATION)))
             kept &= F.coalesce(F.col(k).between(F.col(f"{k}_middle") - below * deviation, F.col(f"{k}_middle") + above * deviation), F.lit(False))
         return found.withColumn("kept", kept).select(*measured.columns, "base_failed", *self.bands, "kept")
 

@@ -8,6 +8,7 @@ each linked fingerprint, not one for each pair; components follow by iterated mi
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import product
 
@@ -30,13 +31,16 @@ STRIP = 1 << 18
 CHUNK = 2_000_000
 
 
-def _fingerprints(buf: np.ndarray, offsets: np.ndarray, shingle: int) -> np.ndarray:
-    """The fingerprint of each text of a chunk; zero without words."""
+def _fingerprints(buf: np.ndarray, offsets: np.ndarray, shingle: int, words: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The fingerprint of each text of a chunk, so many 64-bit words, zero without words; and its number of shingles.
+
+    The first word votes with the shingles' hashes, the others with hashes of those.
+    """
     lower = arrays.LOWER[buf]
     starts, ends, first = arrays.spans(lower, offsets)
-    out = np.zeros(len(offsets) - 1, np.uint64)
+    out, shingles = np.zeros((len(offsets) - 1, words), np.uint64), np.zeros(len(offsets) - 1, np.int64)
     if not len(starts):
-        return out
+        return out, shingles
     # Words joined by one blank: where each word then starts and ends.
     at = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts + 1, out=at[1:])
@@ -57,11 +61,14 @@ def _fingerprints(buf: np.ndarray, offsets: np.ndarray, shingle: int) -> np.ndar
         n = max(1, b - a - shingle + 1)
         begins, stops = at[a : a + n].tolist(), (at[min(a + shingle, b) : b + 1] - 1).tolist()
         h = np.array([hash64(raw[s:e], SEED) for s, e in zip(begins, stops, strict=True)], np.uint64)
-        ones = np.zeros(64, np.int64)
-        for lo in range(0, n, 4096):
-            ones += np.unpackbits(h[lo : lo + 4096].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-        out[i] = np.packbits(ones * 2 > n).view(">u8")[0]
-    return out
+        shingles[i] = n
+        for w in range(words):
+            votes = h if w == 0 else arrays.mix(h + np.uint64(w * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+            ones = np.zeros(64, np.int64)
+            for lo in range(0, n, 4096):
+                ones += np.unpackbits(votes[lo : lo + 4096].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+            out[i, w] = np.packbits(ones * 2 > n).view(">u8")[0]
+    return out, shingles
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -69,7 +76,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_fingerprints(buf, offsets, shingle) for *_, buf, offsets in arrays.chunks(batch.column("text"))]
+            found = [_fingerprints(buf, offsets, shingle)[0].ravel() for *_, buf, offsets in arrays.chunks(batch.column("text"))]
             if found:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(found).view(np.int64))], names=["doc_id", "fp"])
 
@@ -112,15 +119,19 @@ def link_tile(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest)
                 forest.join(a, b)
 
 
+def _stars(forest: Forest) -> Iterator[pa.RecordBatch]:
+    members, roots = forest.stars()
+    for lo in range(0, len(members), 10_000):
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(x[lo : lo + 10_000], np.uint64).view(np.int64)) for x in (members, roots)], names=["u", "v"])
+
+
 def _links(pairs: DataFrame, radius: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
         for batch in batches:
             for a, b in zip(batch.column(0), batch.column(1), strict=True):
                 link_tile(np.array(a.values, np.int64).view(np.uint64), np.array(b.values, np.int64).view(np.uint64), radius, forest)
-        members, roots = forest.stars()
-        for lo in range(0, len(members), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(x[lo : lo + 10_000], np.uint64).view(np.int64)) for x in (members, roots)], names=["u", "v"])
+        yield from _stars(forest)
 
     return pairs.mapInArrow(run, "u long, v long")
 
@@ -168,6 +179,14 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"components had not settled after {rounds} rounds")
 
 
+def _component_ids(distinct: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """key and component_id, the least of `least` over its component."""
+    label = components(edges)
+    rooted = distinct.select(key, "least").join(label.withColumnRenamed("u", key), key, "left").withColumn("root", F.coalesce("root", key))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rooted.join(least, "root").select(key, "component_id")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, tile: int = TILE) -> DataFrame:
     """doc_id, fingerprint and component_id (the least doc_id reachable over links) of every row.
 
@@ -176,19 +195,93 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     """
     fps = cut_lineage(fingerprints(docs, shingle))
     distinct = cut_lineage(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    label = components(links(distinct, radius, tile))
-    rooted = distinct.join(label.withColumnRenamed("u", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = rooted.join(least, "root").select("fp", "component_id")
+    ids = _component_ids(distinct, links(distinct, radius, tile), "fp")
     return fps.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: For near copies: 64-bit words of a fingerprint, differing bits, words in a shingle, the least similarity meant, documents in a tile.
+WIDE, WIDE_RADIUS, WIDE_SHINGLE, SIMILARITY, WIDE_TILE = 4, 44, 5, 0.8, 1 << 15
+
+
+def wide_fingerprints(docs: DataFrame, shingle: int = WIDE_SHINGLE, words: int = WIDE) -> DataFrame:
+    """doc_id, fp (binary) and n, the number of shingles, of every whole text. No shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, buf, offsets in arrays.chunks(batch.column("text")):
+                fps, n = _fingerprints(buf, offsets, shingle, words)
+                raw, size = fps.astype("<u8").tobytes(), 8 * words
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array([raw[k : k + size] for k in range(0, len(raw), size)], pa.binary()), pa.array(n)], names=["doc_id", "fp", "n"])
+
+    return pick(docs, "doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("fp", "binary").add("n", "long"))
+
+
+def link_wide(left_ids: np.ndarray, left: np.ndarray, right_ids: np.ndarray, right: np.ndarray, radius: int, forest: Forest) -> None:
+    """Joins all pairs within the radius. Rows go by population count; strips whose counts differ beyond the radius are skipped."""
+    by_count = lambda x: np.argsort(np.bitwise_count(x).sum(axis=1, dtype=np.int64), kind="stable")
+    a, b = by_count(left), by_count(right)
+    left_ids, left, right_ids, right = left_ids[a], left[a], right_ids[b], right[b]
+    ones_left, ones_right = (np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (left, right))
+    rows_a_strip = max(1, STRIP // max(1, len(right)))
+    for lo in range(0, len(left), rows_a_strip):
+        hi = min(lo + rows_a_strip, len(left))
+        c, d = np.searchsorted(ones_right, ones_left[lo] - radius), np.searchsorted(ones_right, ones_left[hi - 1] + radius, "right")
+        apart = np.zeros((hi - lo, d - c), np.uint16)
+        for w in range(left.shape[1]):
+            apart += np.bitwise_count(left[lo:hi, w, None] ^ right[None, c:d, w])
+        rows, cols = np.nonzero(apart <= radius)
+        for x, y in zip(left_ids[lo + rows].tolist(), right_ids[c + cols].tolist(), strict=True):
+            if x != y:
+                forest.join(x, y)
+
+
+def wide_links(distinct: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, tile: int = WIDE_TILE) -> DataFrame:
+    """Edges (u, v) that connect the rows (id, fp, n) whose fingerprints are within the radius.
+
+    Texts so similar have numbers of shingles in that ratio, so tiles are steps of it and meet their own and the next step.
+    """
+    step = F.floor(F.ln(F.greatest("n", F.lit(1)).cast("double")) / -math.log(similarity)).cast("int")
+    keyed = distinct.select("id", "fp", step.alias("step"))
+    # A few hundred rows: steps grow with the logarithm of a text's length.
+    sizes = cut_lineage(keyed.groupBy("step").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks")))
+    tiles = keyed.join(F.broadcast(sizes), "step").groupBy("step", F.pmod("id", F.col("blocks")).cast("int").alias("block")).agg(F.collect_list(F.struct("id", "fp")).alias("rows"))
+    tiles = cut_lineage(tiles)
+    left = tiles.select(F.col("rows").alias("left"), F.col("step").alias("from"), F.col("block").alias("left_block"), F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step"))
+    pairs = left.join(tiles.withColumnRenamed("rows", "right"), "step").filter((F.col("from") != F.col("step")) | (F.col("left_block") <= F.col("block")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+        for batch in batches:
+            for k in range(batch.num_rows):
+                sides = []
+                for side in ("left", "right"):
+                    rows = batch.column(side)[k].values
+                    ids, fps = rows.field("id").to_numpy(), b"".join(rows.field("fp").to_pylist())
+                    sides += [ids.view(np.uint64), np.frombuffer(fps, "<u8").reshape(len(ids), -1)]
+                link_wide(*sides, radius, forest)
+        yield from _stars(forest)
+
+    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.select("left", "right").repartition(n).mapInArrow(run, "u long, v long")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """doc_id and component_id, the least doc_id reachable, of every row, for documents about as similar as SIMILARITY or more.
+
+    Two texts of word-shingle similarity J differ in about acos(2J / (1 + J)) / pi of their fingerprints' bits: 39 of 256 at 0.8, where
+    four in five are within the radius, as are nearly all from 0.85 and one in a hundred at 0.6. Copies meet as one fingerprint first.
+    """
+    fps = cut_lineage(wide_fingerprints(docs).withColumn("id", F.xxhash64("fp", "n")))
+    distinct = cut_lineage(fps.groupBy("id").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min("doc_id").alias("least")))
+    return fps.join(_component_ids(distinct, wide_links(distinct), "id"), "id").select("doc_id", "component_id")
+
+
 def representatives(docs: DataFrame) -> DataFrame:
-    """One document of each component, that of the least doc_id, with all its columns.
+    """One document of each component of near copies, that of the least doc_id, with all its columns.
 
     Of rows that repeat a doc_id one stays, whichever; rows without one count as one document.
     """
-    found = near_duplicates(docs)
+    found = near_copies(docs)
     stay = cut_lineage(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")))
     kept = docs.join(stay, docs.doc_id.eqNullSafe(F.col("stays")), "left_semi")
     repeated = not stay.groupBy("stays").count().filter("count > 1").isEmpty()
