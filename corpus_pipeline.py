@@ -7,7 +7,6 @@ there is no SQL for the result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, language, mixing, quality, simhash
 from tidemark.llm.common import bound_batches, new_folder, table
@@ -21,9 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without a letter or between two languages go; a missing lang becomes the prediction."""
-    found = language.identify(docs, language.fit(language.training(docs)))
-    kept = found.filter((F.col("lang_pred") != "und") & ~F.col("ambiguous"))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    return language.in_a_language(docs, language.fit(language.training(docs)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

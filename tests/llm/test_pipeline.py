@@ -38,6 +38,19 @@ def test_stages(spark, sf, rows, tmp_path):
     assert all(r.decodes and bpe.decode(list(r.ids), path).decode() == text[r.doc_id] and r.n_tokens == len(r.ids) for r in last)
 
 
+def test_extra_columns_come_through(spark, rows, tmp_path):
+    """Columns of the documents keep their values, also under names that the stages use."""
+    from tests.llm.conftest import frame
+
+    names = ["score", "size", "copy", "kept", "length", "n_words", "lang_pred"]
+    docs = frame(spark, rows).drop(*names).selectExpr("*", *[f"concat('{n}', doc_id) as {n}" for n in names])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        stage(spark, docs, "").write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    found = docs.collect()
+    assert found and all(r[n] == f"{n}{r.doc_id}" for r in found for n in names)
+
+
 def test_run(spark, sf, empty_sf):
     done = corpus_pipeline.run(spark, sf)
     assert done.count() > 50 and done.filter("not decodes").count() == 0

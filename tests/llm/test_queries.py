@@ -73,6 +73,17 @@ def test_fingerprints_do_not_depend_on_the_chunk():
     assert (whole == alone).all()
 
 
+def test_columns_added(spark, sf, rows):
+    """The operators' own interfaces: columns beside those that are there, for every row."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    some = fingerprints.fingerprint(docs.select("doc_id", "text", "score"), samples=8)
+    assert some.columns == ["doc_id", "text", "score", "fingerprint"] and some.count() == len(rows)
+    assert {r.fingerprint for r in some.filter("doc_id in (100, 101, 102)").collect()} == {"0" * 32}
+    path = bpe.vocabulary_path(bpe.RANKS)
+    ids = bpe.add_ids(docs.select("doc_id", "text", "ids"))
+    assert ids.columns == ["doc_id", "text", "ids"] and all(list(r.ids) == bpe.encode(r.text or "", path) for r in ids.collect())
+
+
 def test_language(spark, sf, rows):
     got = {r.doc_id: r for r in language.op2(spark, sf).collect()}
     plain = [r for r in rows if r[0] is not None and r[0] < 90]

@@ -59,3 +59,9 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     if missing:
         raise ValueError(f"no column {missing}; there are {df.columns}")
     return df.select(*names)
+
+
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The table with its own columns of these names under others, and which ones to rename back."""
+    back = {f"own {c}": c for c in names if c in df.columns}
+    return df.withColumnsRenamed({c: held for held, c in back.items()}), back

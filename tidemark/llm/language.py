@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import arrays
-from .common import held_out, pick, table
+from .common import held_out, pick, set_aside, table
 
 BUCKETS = 1 << 15
 #: Bytes in an n-gram.
@@ -159,6 +159,13 @@ def identify(df: DataFrame, codes: Codes, text: str = "text") -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def in_a_language(docs: DataFrame, codes: Codes) -> DataFrame:
+    """The documents, with all their columns, that have a letter and are not ambiguous; a missing lang becomes the prediction."""
+    renamed, back = set_aside(docs, ["lang_pred", "score", "ambiguous", "has_letter"])
+    kept = identify(renamed, codes).filter((F.col("lang_pred") != "und") & ~F.col("ambiguous"))
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*renamed.columns).withColumnsRenamed(back)
+
+
 def training(docs: DataFrame) -> DataFrame:
     return docs.filter(~held_out(0))
 

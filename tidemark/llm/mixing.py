@@ -17,7 +17,7 @@ import random
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut_lineage, pick, table
+from .common import WORD, cut_lineage, pick, set_aside, table
 
 BLOCK = 256
 BUCKETS = 1024
@@ -142,15 +142,15 @@ def mix(docs: DataFrame, shards: int = SHARDS, block: int = BLOCK, seed: int = S
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix by whole documents, with all their columns: each as many times as it was drawn, none that was not.
 
-    A block is a document here, so that no text is cut; a source's words then miss its target by half a document at most. The
-    order of the rows is that of no source.
+    A block is a document here, so that no text is cut; a source's words then miss its target by half a document at most.
     """
-    key = ["doc_id", "source", "size", "copy"]
-    drawn = mix(docs, block=1 << 30).filter("taken").groupBy(*key).agg(F.count("*").cast("int").alias("times")).withColumnsRenamed({k: f"drawn_{k}" for k in key})
+    renamed, back = set_aside(docs, ["size", "copy", "times", "time", *(f"drawn_{k}" for k in ("doc_id", "source", "size", "copy"))])
+    drawn = mix(docs, block=1 << 30).filter("taken").groupBy("doc_id", "source", "size", "copy").agg(F.count("*").cast("int").alias("times"))
+    drawn = drawn.withColumnsRenamed({k: f"drawn_{k}" for k in ("doc_id", "source", "size", "copy")})
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(*docs.columns, size.alias("_size")).withColumn("_copy", F.row_number().over(Window.partitionBy("doc_id", "source", "_size").orderBy("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("drawn_doc_id")) & F.col("source").eqNullSafe(F.col("drawn_source")) & (F.col("_size") == F.col("drawn_size")) & (F.col("_copy") == F.col("drawn_copy"))
-    return rows.join(drawn, same).withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    rows = renamed.withColumn("size", size).withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("drawn_doc_id")) & F.col("source").eqNullSafe(F.col("drawn_source")) & (F.col("size") == F.col("drawn_size")) & (F.col("copy") == F.col("drawn_copy"))
+    return rows.join(drawn, same).withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*renamed.columns).withColumnsRenamed(back)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import arrays, hash_store
-from .common import cut_lineage, new_folder, pick, table
+from .common import cut_lineage, new_folder, pick, set_aside, table
 
 ORDER = 4
 #: Entries in an array file, about.
@@ -302,10 +302,9 @@ class Judge:
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns. Texts are scored once more rather than shuffled to meet their verdicts."""
     judge = Judge(docs)
-    clash = [c for c in (*BASE, "nats", "base_failed", *BANDS, "kept", "length", "band_lang") if c in docs.columns]
-    renamed = docs.withColumnsRenamed({c: f"own {c}" for c in clash})
+    renamed, back = set_aside(docs, [*BASE, "nats", "base_failed", *judge.bands, "kept", "length", "band_lang", *judge.ends.columns])
     rows = judge.verdicts(measure(renamed, judge.folder, judge.bits, tuple(renamed.columns)))
-    return rows.filter("kept").select(*renamed.columns).withColumnsRenamed({f"own {c}": c for c in clash})
+    return rows.filter("kept").select(*renamed.columns).withColumnsRenamed(back)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

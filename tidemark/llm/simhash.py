@@ -283,7 +283,7 @@ def representatives(docs: DataFrame) -> DataFrame:
     """
     found = near_copies(docs)
     stay = cut_lineage(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")))
-    kept = docs.join(stay, docs.doc_id.eqNullSafe(F.col("stays")), "left_semi")
+    kept = docs.join(stay, docs.doc_id.eqNullSafe(stay.stays), "left_semi")
     repeated = not stay.groupBy("stays").count().filter("count > 1").isEmpty()
     return kept.dropDuplicates(["doc_id"]) if repeated else kept
 
