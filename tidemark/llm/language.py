@@ -26,10 +26,10 @@ BUCKETS = 1 << 15
 ORDERS = (2, 3, 4)
 #: Added to every count.
 PRIOR = 0.5
-#: How sharply margins count.
-SHARPNESS = 12.0
+#: How sharply margins count in a loss, and losses in a score.
+SHARPNESS, CERTAINTY = 12.0, 2.0
 #: A lead in score under which a prediction is ambiguous.
-AMBIGUOUS = 0.1
+AMBIGUOUS = 0.05
 _FOLD = arrays.LOWER.copy()
 _FOLD[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
 
@@ -118,7 +118,7 @@ class Codes:
         """The best language's number, its score, and its lead over the next."""
         z = SHARPNESS * margins[:, None, :] * self.code[None]
         loss = (np.logaddexp(0, -z) * self.weight).sum(axis=2)
-        share = np.exp(-SHARPNESS * (loss - loss.min(axis=1, keepdims=True)))
+        share = np.exp(-CERTAINTY * (loss - loss.min(axis=1, keepdims=True)))
         share /= share.sum(axis=1, keepdims=True)
         ranked = np.sort(share, axis=1)
         lead = ranked[:, -1] - ranked[:, -2] if share.shape[1] > 1 else ranked[:, -1]
