@@ -41,6 +41,8 @@ def chunks(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
         end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
+    # Workers live on between tasks; what batches before held goes back now.
+    pa.default_memory_pool().release_unused()
 
 
 def spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

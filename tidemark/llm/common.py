@@ -15,7 +15,7 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
 #: Bytes of a batch that a Python worker gets at a time.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
