@@ -61,6 +61,15 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names)
 
 
+#: Rows up to which a table of a few numbers a row goes to every executor.
+FEW = 500_000
+
+
+def broadcast_if_few(df: DataFrame) -> DataFrame:
+    """The table marked for a broadcast if it has few rows; else it is joined as Spark sees fit."""
+    return F.broadcast(df) if df.count() <= FEW else df
+
+
 def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
     """The table with its own columns of these names under others, and which ones to rename back."""
     back = {f"own {c}": c for c in names if c in df.columns}

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import arrays, hash_store
-from .common import cut_lineage, new_folder, pick, set_aside, table
+from .common import broadcast_if_few, cut_lineage, new_folder, pick, set_aside, table
 
 ORDER = 4
 #: Entries in an array file, about.
@@ -111,7 +111,7 @@ def model_entries(counts: DataFrame) -> DataFrame:
         by_order[k] = cut_lineage(by_order[k + 1].groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("gram")).agg(F.count("*").alias("n")))
     lower, out = None, []
     for k in range(1, ORDER + 1):
-        grams = by_order[k].join(F.broadcast(_discounts(by_order[k])), "lang").withColumn("ctx", F.shiftright("gram", 8))
+        grams = by_order[k].join(broadcast_if_few(cut_lineage(_discounts(by_order[k]))), "lang").withColumn("ctx", F.shiftright("gram", 8))
         contexts = grams.groupBy("lang", "ctx").agg(F.sum("n").alias("total"), F.sum(_discount(F.col("n"), F.col("d"))).alias("held"))
         contexts = contexts.withColumn("spare", F.col("held") / F.col("total"))
         p = grams.join(contexts, ["lang", "ctx"])
@@ -277,13 +277,13 @@ class Judge:
         self.bits = write_model(gram_counts(docs.withColumn("lang", F.lit(""))), self.folder)
         self.measured = cut_lineage(measure(docs, self.folder, self.bits))
         good = _figures(self.measured).filter(~F.col("base_failed"))
-        middle = good.groupBy("band_lang").agg(*[F.percentile_approx(k, 0.5, 1000).alias(f"{k}_middle") for k in bands])
+        middle = broadcast_if_few(cut_lineage(good.groupBy("band_lang").agg(*[F.percentile_approx(k, 0.5, 1000).alias(f"{k}_middle") for k in bands])))
         away = [(1.4826 * F.percentile_approx(F.abs(F.col(k) - F.col(f"{k}_middle")), 0.5, 1000)).alias(f"{k}_deviation") for k in bands]
-        good = good.join(F.broadcast(middle), "band_lang")
+        good = good.join(middle, "band_lang")
         spread = good.groupBy("band_lang", "length").agg(*away)
         # What languages together deviate at a length: a language with few texts of it is judged by no less.
         common = [(1.4826 * F.percentile_approx(F.abs(F.col(k) / F.col(f"{k}_middle") - 1), 0.5, 1000)).alias(f"{k}_common") for k in bands]
-        self.ends = cut_lineage(spread.join(F.broadcast(middle), "band_lang").join(F.broadcast(good.groupBy("length").agg(*common)), "length"))
+        self.ends = cut_lineage(spread.join(middle, "band_lang").join(broadcast_if_few(cut_lineage(good.groupBy("length").agg(*common))), "length"))
 
     def verdicts(self, measured: DataFrame) -> DataFrame:
         """Adds base_failed, word_ppl, char_ppl (nats), kept.
@@ -291,7 +291,7 @@ class Judge:
         base_failed: under 10 words, or over a fifth of the words in repeated windows. kept: not that, and within both bands of the
         language (null: a language of its own). Null and blank texts fail. Repeated rows are judged alike.
         """
-        found = _figures(measured).join(F.broadcast(self.ends), ["band_lang", "length"], "left")
+        found = _figures(measured).join(broadcast_if_few(self.ends), ["band_lang", "length"], "left")
         kept = ~F.col("base_failed")
         for k, (below, above) in self.bands.items():
             deviation = F.greatest(F.col(f"{k}_deviation"), F.col(f"{k}_middle") * F.greatest(F.col(f"{k}_common"), F.lit(LEAST_DEVIATION)))

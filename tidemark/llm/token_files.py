@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import arrays
 from .bpe import vocabulary_path
-from .common import new_folder, pick, table
+from .common import broadcast_if_few, new_folder, pick, table
 from .fingerprints import _search
 
 MAGIC = b"TDMK1\n"
@@ -34,8 +34,6 @@ MODEL = "byte_bpe_50k.json"
 #: Units that a worker remembers the ids of; beyond this it starts anew.
 MEMORY = 1_000_000
 CHUNK = 2 << 20
-#: Files whose starts are small enough to go to every executor.
-MOST_BROADCAST = 500_000
 #: Bytes before which a blank is no cut: white space, and first bytes of characters among which there is white space.
 _UNSAFE = np.zeros(256, bool)
 _UNSAFE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -245,9 +243,8 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )
 
-    # A row of starts for each file: to every executor at once if they are few, else joined.
-    few = spark.read.schema("range int").parquet(folder).count() <= MOST_BROADCAST
-    return files.join(F.broadcast(starts) if few else starts, ["range", "seq"]).select("raw", "first").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    # A row of starts for each file.
+    return files.join(broadcast_if_few(starts), ["range", "seq"]).select("raw", "first").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
