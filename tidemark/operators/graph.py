@@ -45,8 +45,8 @@ def neighbours(edge: DataFrame, name: str) -> DataFrame:
 
 def scales(node: DataFrame, edge: DataFrame) -> DataFrame:
     """nodes, edges, max_count, max_weight: what a drawing scales by."""
-    n = node.agg(F.count("*").alias("nodes"), F.max("count").alias("max_count"))
-    return n.crossJoin(edge.agg(F.count("*").alias("edges"), F.max("weight").alias("max_weight")))
+    both = node.select(F.col("count").alias("c"), F.lit(None).cast("long").alias("w")).unionByName(edge.select(F.lit(None).cast("long").alias("c"), F.col("weight").alias("w")))
+    return both.agg(F.count("c").alias("nodes"), F.max("c").alias("max_count"), F.count("w").alias("edges"), F.max("w").alias("max_weight"))
 
 
 def view(node: DataFrame, edge: DataFrame, min_weight: int, label_from: int = 20, search: str | None = None) -> tuple[DataFrame, DataFrame]:

@@ -63,7 +63,8 @@ def graph_json(node: DataFrame, edge: DataFrame) -> DataFrame:
     """`value`: one JSON object of nodes by falling count and links. A picture's graph is small after its thresholds."""
     n = node.agg(F.transform(_list(F.struct((-F.col("count")).alias("o"), "id", "count", "category", "color")), lambda x: F.struct(x["id"].alias("id"), x["count"].alias("count"), x["category"].alias("category"), x["color"].alias("color"))).alias("nodes"))
     e = edge.agg(_list(F.struct("source", "target", "weight")).alias("links"))
-    return n.crossJoin(e).select(F.to_json(F.struct("nodes", "links")).alias("value"))
+    one = F.lit(1).alias("one")
+    return n.select(one, "nodes").join(e.select(one, "links"), "one").select(F.to_json(F.struct("nodes", "links")).alias("value"))
 
 
 _PAGE = Template("""<!DOCTYPE html>
