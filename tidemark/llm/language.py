@@ -29,7 +29,7 @@ PRIOR = 0.5
 #: How sharply margins count in a loss, and losses in a score.
 SHARPNESS, CERTAINTY = 12.0, 2.0
 #: A lead in score under which a prediction is ambiguous.
-AMBIGUOUS = 0.05
+AMBIGUOUS = 0.01
 _FOLD = arrays.LOWER.copy()
 _FOLD[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
 
