@@ -402,6 +402,14 @@ def test_articles(spark, empty_sf):
     assert articles.op9(spark, empty_sf).collect() == []
 
 
+def test_templates_rule_articles(spark):
+    """Lines that a host's pages share go from articles too; a text split over articles stays whole, whatever stands in a line with it."""
+    page = lambda i: f"<body><div class=wrap><article><h1>Title {i}</h1><p>By <b>author {i}</b></p><p>First part {i}</p><p>Posted by the editors</p></article><article><p>Second {i}</p></article></div><footer>End {i}</footer></body>"
+    pages = spark.createDataFrame([(i, "http://a.example/", page("abcde"[i])) for i in range(5)], "page_id long, url string, html string").repartition(2)
+    got = {r.page_id: r.text for r in articles.main_text(pages).collect()}
+    assert got == {i: f"Title {c}\nBy author {c}\nFirst part {c}\nSecond {c}" for i, c in enumerate("abcde")}
+
+
 def test_tree_matching_merges_by_order():
     page = lambda x: articles.fold(articles.parse(x))
     tree = page("<body><h1>a</h1><div><p>x</p></div></body>")

@@ -5,9 +5,10 @@ matching (the greatest number of node pairs with equal labels and order, by dyna
 nodes merge, others are added. Every node counts its texts with a bounded summary, so a text that most pages share at a node is
 template, and other places are slots. The content root of a host is the deepest container that holds nearly all text of slots.
 
-A page's text comes from its article element if it has one, else from its host's content root, else from its body; parts that
-are marked as menus, footers, adverts, comments and the like are left out, and outside article elements so are template texts. In
-these pages adverts, menus and footers vary as the articles do, so slots alone can't tell them apart; the marks do.
+A page's text is what stands under its host's content root, less the blocks that are wholly template text, in article elements
+too; if there are article (else main) elements under the root, all of these are the text, in page order. Parts that are marked as
+menus, footers, adverts, comments and the like are left out of template and text: in the given pages they vary as the articles do,
+so slots alone can't tell them apart.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ SHARED, LEAST_PAGES = 0.6, 3
 CONTENT = 0.98
 #: Rules up to this many bytes go to every executor at once; more are joined by host.
 BROADCAST_BYTES = 16 << 20
+#: Elements that are the text by their mark, the surest first.
+ARTICLES = ("article", "main")
 _CONTAINERS = frozenset("article main div section body td #root".split())
 
 
@@ -184,39 +187,46 @@ def place(way: tuple[str, ...], text: int) -> int:
     return text ^ zlib.crc32("/".join(way).encode("utf-8", "surrogatepass")) << 12
 
 
-def _find(node: Node, way: list[str]) -> list[Node]:
-    found = [node]
+Placed = tuple[Node, tuple[str, ...]]
+
+
+def _find(node: Node, way: list[str]) -> list[Placed]:
+    """The nodes on the way, with their own; an article or main element on it stands for all that is below."""
+    found: list[Placed] = [(node, ())]
     for key in way:
-        found = [k for x in found for k in x.kids if isinstance(k, Node) and k.key == key]
-    return found
+        found = [y for x, at in found for y in ([(x, at)] if x.tag in ARTICLES else [(k, (*at, k.key)) for k in x.kids if isinstance(k, Node) and k.key == key])]
+    return [(x, at) for x, at in found if not x.out]
 
 
-def _articles(node: Node, tag: str) -> list[Node]:
-    out = []
-    for kid in node.kids:
-        if isinstance(kid, Node) and not kid.out:
-            out += [kid] if kid.tag == tag else _articles(kid, tag)
-    return out
+def _articles(node: Node, way: tuple[str, ...], tag: str) -> list[Placed]:
+    if node.tag == tag:
+        return [(node, way)]
+    return [x for kid in node.kids if isinstance(kid, Node) and not kid.out for x in _articles(kid, (*way, kid.key), tag)]
 
 
 def blocks(node: Node, way: tuple[str, ...] = (), shared: frozenset[int] = frozenset()) -> list[str]:
-    """Texts of the blocks below a node in order: white space is one blank, no block is empty."""
+    """Texts of the blocks below a node in order, less those of template texts only: white space is one blank, no block is empty."""
     out: list[str] = []
     run: list[str] = []
+    fresh = False
 
     def flush() -> None:
+        nonlocal fresh
         text = clean("".join(run))
         run.clear()
-        if text:
+        if text and fresh:
             out.append(text)
+        fresh = False
 
     def walk(x: Node, way: tuple[str, ...], heading_only: bool) -> None:
+        nonlocal fresh
         own = "".join(k for k in x.kids if isinstance(k, str)) if shared else ""
         known = bool(own) and place(way, text_id(clean(own))) in shared
         for kid in x.kids:
             if isinstance(kid, str):
-                if not known and not heading_only:
+                if not heading_only:
                     run.append(kid)
+                    fresh = fresh or not known and not kid.isspace()
             elif not kid.out:
                 block = kid.tag in BLOCKS or kid.tag == "header"
                 if block:
@@ -235,14 +245,14 @@ def blocks(node: Node, way: tuple[str, ...] = (), shared: frozenset[int] = froze
 def extract(page: str, way: list[str], shared: frozenset[int]) -> str:
     """The main text of a page under its host's rules."""
     tree = parse(page)
-    for tag in ("article", "main"):
-        if found := _articles(tree, tag):
-            best = max((blocks(x) for x in found), key=lambda b: sum(map(len, b)))
-            if best:
-                return "\n".join(best)
-    nodes = [n for n in _find(tree, way) if not n.out] if way else []
-    out = [b for n in nodes for b in blocks(n, tuple(way), shared)]
-    return "\n".join(out or blocks(tree, (), shared) or blocks(tree))
+    for nodes in ([x for x in _find(tree, way) if way], [(tree, ())]):
+        for tag in ARTICLES:
+            if out := [b for n, at in nodes for x, on in _articles(n, at, tag) for b in blocks(x, on, shared)]:
+                return "\n".join(out)
+        if out := [b for n, at in nodes for b in blocks(n, at, shared)]:
+            return "\n".join(out)
+    # A page of template texts alone.
+    return "\n".join([b for x, _ in _articles(tree, (), "article") for b in blocks(x)] or blocks(tree))
 
 
 def _with_host(pages: DataFrame) -> DataFrame:
