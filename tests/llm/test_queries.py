@@ -410,6 +410,16 @@ def test_templates_rule_articles(spark):
     assert got == {i: f"Title {c}\nBy author {c}\nFirst part {c}\nSecond {c}" for i, c in enumerate("abcde")}
 
 
+def test_template_texts_are_counted_exactly(spark):
+    """A line that all pages share is known among any number of others; copies of a page count as one page."""
+    body = lambda i: "".join(f"<p>Paragraph {i} {j}</p>" for j in range(60))
+    rows = [(i, "http://a.example/", f"<body><div>{body(i)}<p>All rights reserved</p></div></body>") for i in range(6)]
+    rows += [(10 + i, "http://b.example/", f"<body><div>{body(min(i, 2))}</div></body>") for i in range(20)]
+    got = {r.page_id: r.text for r in articles.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    want = lambda i: "\n".join(f"Paragraph {i} {j}" for j in range(60))
+    assert got == {i: want(i) for i in range(6)} | {10 + i: want(min(i, 2)) for i in range(20)}
+
+
 def test_tree_matching_merges_by_order():
     page = lambda x: articles.fold(articles.parse(x))
     tree = page("<body><h1>a</h1><div><p>x</p></div></body>")

@@ -2,8 +2,8 @@
 
 The pages of a host are folded into one template tree. Like siblings are folded into one node; trees are aligned by simple tree
 matching (the greatest number of node pairs with equal labels and order, by dynamic programming over children), aligned
-nodes merge, others are added. Every node counts its texts with a bounded summary, so a text that most pages share at a node is
-template, and other places are slots. The content root of a host is the deepest container that holds nearly all text of slots.
+nodes merge, others are added. Spark counts exactly how many different pages of a host have a text at a node: a text that most
+pages share is template, and other places are slots. The content root of a host is the deepest container that holds nearly all text of slots.
 
 A page's text is what stands under its host's content root, less the blocks that are wholly template text, in article elements
 too; if there are article (else main) elements under the root, all of these are the text, in page order. Parts that are marked as
@@ -16,17 +16,17 @@ from __future__ import annotations
 import html
 import json
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, pick, table
+from .common import broadcast_if_few, cut_lineage, pick, table
 from .dom import BLOCKS, HEADINGS, Node, parse
 
-#: Texts that a template node tells apart.
-KEPT = 32
 #: A text is template if this part of a host's pages have it at a node, of at least so many different pages.
 SHARED, LEAST_PAGES = 0.6, 3
 #: The content root holds this part of all text in slots.
@@ -39,8 +39,8 @@ _CONTAINERS = frozenset("article main div section body td #root".split())
 
 
 def text_id(text: str) -> int:
-    raw = text.encode("utf-8", "surrogatepass")
-    return zlib.crc32(raw) << 24 ^ zlib.adler32(raw) << 8 ^ len(raw) & 0xFF
+    """A signed 64-bit hash."""
+    return int.from_bytes(xxhash.xxh64_digest(text.encode("utf-8", "surrogatepass")), "big", signed=True)
 
 
 def clean(text: str) -> str:
@@ -48,32 +48,24 @@ def clean(text: str) -> str:
 
 
 class Template:
-    """A node of a host's tree: label, pages seen, characters of text, text counts, children by label in order."""
+    """A node of a host's tree: label, pages seen, characters of text, children by label in order."""
 
-    __slots__ = ("key", "n", "chars", "texts", "kids")
+    __slots__ = ("key", "n", "chars", "kids")
 
     def __init__(self, key: str) -> None:
         self.key, self.n, self.chars = key, 0, 0
-        self.texts: dict[int, list[int]] = {}
         self.kids: dict[str, Template] = {}
 
     def dump(self) -> list:
-        return [self.key, self.n, self.chars, [[t, *c] for t, c in self.texts.items()], [k.dump() for k in self.kids.values()]]
+        return [self.key, self.n, self.chars, [k.dump() for k in self.kids.values()]]
 
     @classmethod
     def load(cls, x: list) -> Template:
         out = cls(x[0])
         out.n, out.chars = x[1], x[2]
-        out.texts = {t: [n, size] for t, n, size in x[3]}
-        out.kids = {k[0]: cls.load(k) for k in x[4]}
+        out.kids = {k[0]: cls.load(k) for k in x[3]}
         return out
 
-    def trim(self) -> None:
-        """Keeps the texts that can be frequent: all counts fall by the (KEPT + 1)-th (Misra-Gries)."""
-        if len(self.texts) > KEPT:
-            cut = sorted((c[0] for c in self.texts.values()), reverse=True)[KEPT]
-            self.texts = {t: [n - cut, size] for t, (n, size) in self.texts.items() if n > cut}
-
 
 def fold(node: Node) -> Template:
     """The template of a single page; parts that are marked as no article are left out."""
@@ -86,13 +78,19 @@ def fold(node: Node) -> Template:
         elif not kid.out:
             one = fold(kid)
             merge(out.kids[one.key], one, same_page=True) if one.key in out.kids else out.kids.setdefault(one.key, one)
-    text = clean("".join(own))
-    if text:
-        out.chars = len(text)
-        out.texts[text_id(text)] = [1, len(text)]
+    out.chars = len(clean("".join(own)))
     return out
 
 
+def texts(node: Node, way: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], str]]:
+    """The way and the own text of every node that fold() counts."""
+    if text := clean("".join(k for k in node.kids if isinstance(k, str))):
+        yield way, text
+    for kid in node.kids:
+        if isinstance(kid, Node) and not kid.out:
+            yield from texts(kid, (*way, kid.key))
+
+
 def _score(a: Template, b: Template) -> int:
     """Simple tree matching: the most pairs of nodes in an order-keeping match of two trees with one label."""
     x, y = list(a.kids.values()), list(b.kids.values())
@@ -134,12 +132,6 @@ def merge(into: Template, other: Template, same_page: bool = False) -> Template:
     if not same_page:
         into.n += other.n
     into.chars += other.chars
-    for t, (n, size) in other.texts.items():
-        if t in into.texts:
-            into.texts[t][0] += 0 if same_page else n
-        else:
-            into.texts[t] = [n, size]
-    into.trim()
     matched = _aligned(into, other)
     for key, kid in other.kids.items():
         if key in matched or key in into.kids:
@@ -157,18 +149,12 @@ def merge(into: Template, other: Template, same_page: bool = False) -> Template:
     return into
 
 
-def rules(tree: Template, different: int) -> tuple[list[str], list[int]]:
-    """The labels on the way to the content root, and ids of template texts (mixed with their node's way)."""
-    shared: list[int] = []
+def rules(tree: Template, template: dict[int, int]) -> list[str]:
+    """The labels on the way to the content root, given the characters of template texts at nodes."""
     slots: dict[tuple[str, ...], int] = {}
 
     def walk(node: Template, way: tuple[str, ...]) -> int:
-        mass = node.chars
-        for t, (n, size) in node.texts.items():
-            if different >= LEAST_PAGES and n >= SHARED * tree.n:
-                shared.append(place(way, t))
-                mass -= n * size
-        mass = max(mass, 0) + sum(walk(k, (*way, k.key)) for k in node.kids.values())
+        mass = max(0, node.chars - template.get(place(way), 0)) + sum(walk(k, (*way, k.key)) for k in node.kids.values())
         slots[way] = mass
         return mass
 
@@ -180,11 +166,11 @@ def rules(tree: Template, different: int) -> tuple[list[str], list[int]]:
         way = (*way, node.key)
         if node.key.partition(".")[0] in _CONTAINERS:
             root = way
-    return list(root), sorted(shared)
+    return list(root)
 
 
-def place(way: tuple[str, ...], text: int) -> int:
-    return text ^ zlib.crc32("/".join(way).encode("utf-8", "surrogatepass")) << 12
+def place(way: tuple[str, ...], text: str = "") -> int:
+    return text_id("/".join(way) + "\n" + text)
 
 
 Placed = tuple[Node, tuple[str, ...]]
@@ -221,7 +207,7 @@ def blocks(node: Node, way: tuple[str, ...] = (), shared: frozenset[int] = froze
     def walk(x: Node, way: tuple[str, ...], heading_only: bool) -> None:
         nonlocal fresh
         own = "".join(k for k in x.kids if isinstance(k, str)) if shared else ""
-        known = bool(own) and place(way, text_id(clean(own))) in shared
+        known = bool(own) and place(way, clean(own)) in shared
         for kid in x.kids:
             if isinstance(kid, str):
                 if not heading_only:
@@ -259,16 +245,45 @@ def _with_host(pages: DataFrame) -> DataFrame:
     return pages.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)))
 
 
-PART = "host string, part int, tree string, pages array<long>"
+PART = "host string, part int, tree string"
+
+
+def _merged(trees: pa.ChunkedArray) -> Template:
+    first, *more = (Template.load(json.loads(raw)) for raw in trees.to_pylist())
+    for one in more:
+        first = merge(first, one)
+    return first
 
 
-def _merged(rows: Iterator[tuple[str, list[int]]]) -> tuple[Template, list[int]] | None:
-    tree, seen = None, set()
-    for raw, pages in rows:
-        one = Template.load(json.loads(raw))
-        tree = one if tree is None else merge(tree, one)
-        seen |= set(pages)
-    return tree, sorted(seen)[:LEAST_PAGES]
+def shared_texts(pages: DataFrame) -> DataFrame:
+    """host, node, place, chars: the texts that at least SHARED of a host's different pages have at a node, and their characters in all pages.
+
+    Counts are exact. Pages with equal HTML are one page; a host with fewer than LEAST_PAGES has no such texts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["host", "page", "node", "place", "chars"]
+        for batch in batches:
+            rows: list[list] = [[] for _ in names]
+            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+                found: dict[tuple[tuple[str, ...], str], int] = defaultdict(int)
+                for way, text in texts(parse(page or "")):
+                    found[way, text] += len(text)
+                ident = text_id(page or "")
+                # A row without a place counts the page itself.
+                for row in [(host, ident, None, None, 0), *((host, ident, place(way), place(way, text), n) for (way, text), n in found.items())]:
+                    for column, value in zip(rows, row, strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.string()), *(pa.array(x, pa.int64()) for x in rows[1:])], names=names)
+
+    found = _with_host(pages).select("host", "html").mapInArrow(run, "host string, page long, node long, place long, chars long")
+    each = found.groupBy("host", "node", "place", "page").agg(F.sum("chars").alias("chars"))
+    counts = each.groupBy("host", "node", "place").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+    # What a single page has is no template: neither it nor a host of so few pages has to be kept.
+    counts = cut_lineage(counts.filter("n > 1"))
+    hosts = counts.filter(F.col("place").isNull() & (F.col("n") >= LEAST_PAGES)).select("host", F.col("n").alias("pages"))
+    often = counts.filter("place is not null").join(broadcast_if_few(hosts), "host").filter(F.col("n") >= SHARED * F.col("pages"))
+    return often.select("host", "node", "place", "chars")
 
 
 def induce(pages: DataFrame) -> DataFrame:
@@ -282,30 +297,27 @@ def induce(pages: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         trees: dict[str, Template] = {}
-        seen: dict[str, set[int]] = {}
         for batch in batches:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 one = fold(parse(page or ""))
                 trees[host] = merge(trees[host], one) if host in trees else one
-                some = seen.setdefault(host, set())
-                if len(some) < LEAST_PAGES:
-                    some.add(text_id(page or ""))
         part = TaskContext.get().partitionId() % 64
         for host, tree in trees.items():
-            yield pa.RecordBatch.from_arrays([pa.array([host]), pa.array([part], pa.int32()), pa.array([json.dumps(tree.dump())]), pa.array([sorted(seen[host])], pa.list_(pa.int64()))], names=["host", "part", "tree", "pages"])
+            yield pa.RecordBatch.from_arrays([pa.array([host]), pa.array([part], pa.int32()), pa.array([json.dumps(tree.dump())])], names=["host", "part", "tree"])
 
     def join(group: pa.Table) -> pa.Table:
-        tree, seen = _merged(zip(group.column("tree").to_pylist(), group.column("pages").to_pylist(), strict=True))
-        return pa.table({"host": group.column("host")[:1], "part": group.column("part")[:1], "tree": pa.array([json.dumps(tree.dump())]), "pages": pa.array([seen], pa.list_(pa.int64()))})
+        return pa.table({"host": group.column("host")[:1], "part": group.column("part")[:1], "tree": pa.array([json.dumps(_merged(group.column("tree")).dump())])})
 
-    def last(group: pa.Table) -> pa.Table:
-        tree, seen = _merged(zip(group.column("tree").to_pylist(), group.column("pages").to_pylist(), strict=True))
-        way, shared = rules(tree, len(seen))
+    def last(group: pa.Table, often: pa.Table) -> pa.Table:
+        template: dict[int, int] = defaultdict(int)
+        for node, chars in zip(often.column("node").to_pylist(), often.column("chars").to_pylist(), strict=True):
+            template[node] += chars
+        way, shared = rules(_merged(group.column("tree")), template), sorted(often.column("place").to_pylist())
         return pa.table({"host": group.column("host")[:1], "way": pa.array([way], pa.list_(pa.string())), "shared": pa.array([shared], pa.list_(pa.int64()))})
 
     parts = _with_host(pages).select("host", "html").mapInArrow(local, PART)
     joined = parts.groupBy("host", "part").applyInArrow(join, PART)
-    return joined.groupBy("host").applyInArrow(last, "host string, way array<string>, shared array<long>")
+    return joined.groupBy("host").cogroup(shared_texts(pages).groupBy("host")).applyInArrow(last, "host string, way array<string>, shared array<long>")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
