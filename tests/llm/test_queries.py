@@ -191,6 +191,21 @@ def test_quality_keeps_prose_and_drops_noise(spark):
     assert kept == {r[0] for r in plain}
 
 
+def test_quality_bands_need_support_and_count_copies_once(spark):
+    """A noisy document alone in its length or language is rejected; copies over half of a language neither move its median nor pass as noise."""
+    import random
+
+    from tests.llm.conftest import frame, prose
+
+    rng = random.Random(8)
+    noise = lambda lang, n: " ".join(w + rng.choice(["###", "$$$", "&&&", "%%%"]) for w in prose(rng, lang, n).split())
+    plain = [[i, prose(rng, ("en", "de")[i % 2], rng.randint(60, 120)), ("en", "de")[i % 2], "s"] for i in range(200)]
+    hot = noise("de", 80)
+    odd = [[1000, noise("en", 3000), "en", "s"], [1001, noise("fr", 90), "fr", "s"], [1002, prose(rng, "en", 3000), "en", "s"], *([2000 + i, hot, "de", "s"] for i in range(150))]
+    kept = {r.doc_id for r in quality.accepted(frame(spark, plain + odd)).collect()}
+    assert len(kept & set(range(200))) >= 190 and 1002 in kept and not kept & {1000, 1001, *range(2000, 2150)}
+
+
 def test_model_is_a_distribution(spark, tmp_path):
     """Probabilities of all 256 bytes after any context sum to one, seen or not."""
     docs = spark.createDataFrame([("", "abcabcabd abd ü"), ("", "bca bca")], "lang string, text string")

@@ -3,8 +3,9 @@
 A modified Kneser-Ney model of byte 4-grams is counted by Spark over all texts and kept as sorted hash arrays in the shared
 folder, which workers map into memory. It spans all languages, so that a text which turns to another of them is no outlier. A
 document is rejected whose log-perplexity a word, or a character of its words, leaves its language's band: text strewn with symbols has dear
-words, tables have dear characters, repetition makes both cheap. Bands come from all documents that pass the base rules: the
-language's median, less or more so many deviations, where the deviation is that of documents of about the same length.
+words, tables have dear characters, repetition makes both cheap. Bands come from all different texts that pass the base rules: the language's median,
+less or more so many deviations, where the deviation is that of texts of about the same length. Copies of a text count once, in
+the model too. Lengths with few texts take in their neighbours, and a language with few is judged by the bands of all texts.
 """
 
 from __future__ import annotations
@@ -29,6 +30,14 @@ GATHER = 2_000_000
 BANDS = {"word_ppl": (8.0, 7.5), "char_ppl": (8.0, 4.5)}
 #: The least deviation that is believed, as a part of the median.
 LEAST_DEVIATION = 0.02
+#: Different texts that a median or a deviation needs.
+SUPPORT = 16
+#: How many powers of two around a length its deviation may be taken from: the first with so many texts.
+AROUND = (0, 1, 2, 4, 64)
+#: Deviations are counted by logarithm, in so many steps a unit.
+STEPS = 50
+#: In place of a language: all texts, by their common median and by their language's.
+EVERY, COMMON = "\0every", "\0common"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 _SYMBOL = np.zeros(256, bool)
@@ -89,6 +98,14 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return pick(docs, "lang", "text").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def different(docs: DataFrame) -> DataFrame:
+    """lang and text, each different text once. Only texts that occur more than once are shuffled, each task's copies as one."""
+    keyed = pick(docs, "lang", "text").withColumn("hash", F.xxhash64("text"))
+    again = broadcast_if_few(cut_lineage(keyed.groupBy("hash").count().filter("count > 1").select("hash")))
+    copies = keyed.join(again, "hash", "left_semi").groupBy("hash").agg(F.first("lang").alias("lang"), F.first("text").alias("text"))
+    return keyed.join(again, "hash", "left_anti").select("lang", "text").union(copies.select("lang", "text"))
+
+
 def _discount(n: Column, d: Column) -> Column:
     return F.when(n == 1, d["d1"]).when(n == 2, d["d2"]).otherwise(d["d3"])
 
@@ -266,6 +283,25 @@ def _figures(rows: DataFrame) -> DataFrame:
     return rows.withColumn("length", F.floor(F.log2(F.greatest("n_words", F.lit(1)).cast("double"))).cast("int")).withColumn("band_lang", F.coalesce("lang", F.lit("")))
 
 
+def _spread(rows: DataFrame, names: list[str]) -> DataFrame:
+    """band, length and, under each name, the relative deviation from the middle of the texts of about that length.
+
+    That is of the narrowest range of lengths with SUPPORT texts, else of all. Deviations are counted first, in steps of 2 %.
+    """
+    away = [F.struct(F.lit(k).alias("name"), F.abs(F.try_divide(k, f"{k}_middle") - 1).alias("away")) for k in names]
+    counted = rows.select("band", "length", F.explode(F.array(*away)).alias("x"))
+    counted = counted.groupBy("band", "length", F.col("x.name").alias("name"), F.round(F.log(F.greatest("x.away", F.lit(1e-6))) * STEPS).cast("int").alias("step")).agg(F.count("*").alias("n"))
+    counted = cut_lineage(counted)
+    # A few dozen lengths; each count goes to those of them that it is near.
+    at = cut_lineage(counted.select(F.col("length").alias("at")).distinct())
+    near = counted.withColumn("around", F.explode(F.lit(list(AROUND)))).crossJoin(F.broadcast(at)).filter(F.abs(F.col("at") - F.col("length")) <= F.col("around"))
+    found = near.groupBy("band", "at", "name", "around").agg(F.sum("n").alias("texts"), F.percentile("step", 0.5, F.col("n")).alias("step"))
+    found = found.filter((F.col("texts") >= SUPPORT) | (F.col("around") == max(AROUND)))
+    found = found.groupBy("band", F.col("at").alias("length"), "name").agg(F.min_by("step", "around").alias("step"))
+    deviation = lambda k: (1.4826 * F.exp(F.max(F.when(F.col("name") == k, F.col("step"))) / STEPS)).alias(k)
+    return cut_lineage(found.groupBy("band", "length").agg(*[deviation(k) for k in names]))
+
+
 class Judge:
     """A fitted model and the bands of every language and length.
 
@@ -274,16 +310,24 @@ class Judge:
 
     def __init__(self, docs: DataFrame, bands: dict[str, tuple[float, float]] = BANDS) -> None:
         self.folder, self.bands = new_folder(docs.sparkSession, "byte-lm"), bands
-        self.bits = write_model(gram_counts(docs.withColumn("lang", F.lit(""))), self.folder)
-        self.measured = cut_lineage(measure(docs, self.folder, self.bits))
+        self.bits = write_model(gram_counts(different(docs.withColumn("lang", F.lit("")))), self.folder)
+        self.measured = cut_lineage(measure(docs.withColumn("text_hash", F.xxhash64("text")), self.folder, self.bits, ("doc_id", "lang", "text_hash")))
         good = _figures(self.measured).filter(~F.col("base_failed"))
-        middle = broadcast_if_few(cut_lineage(good.groupBy("band_lang").agg(*[F.percentile_approx(k, 0.5, 1000).alias(f"{k}_middle") for k in bands])))
-        away = [(1.4826 * F.percentile_approx(F.abs(F.col(k) - F.col(f"{k}_middle")), 0.5, 1000)).alias(f"{k}_deviation") for k in bands]
-        good = good.join(middle, "band_lang")
-        spread = good.groupBy("band_lang", "length").agg(*away)
-        # What languages together deviate at a length: a language with few texts of it is judged by no less.
-        common = [(1.4826 * F.percentile_approx(F.abs(F.col(k) / F.col(f"{k}_middle") - 1), 0.5, 1000)).alias(f"{k}_common") for k in bands]
-        self.ends = cut_lineage(spread.join(middle, "band_lang").join(broadcast_if_few(cut_lineage(good.groupBy("length").agg(*common))), "length"))
+        good = cut_lineage(good.groupBy("band_lang", "text_hash").agg(*[F.first(c).alias(c) for c in ("length", *bands)]))
+        middles = lambda rows, *by: rows.groupBy(*by).agg(F.count("*").alias("texts"), *[F.percentile_approx(k, 0.5, 1000).alias(f"{k}_middle") for k in bands])
+        every = cut_lineage(middles(good).select(F.lit(EVERY).alias("every"), "*").drop("texts"))
+        langs = middles(good, "band_lang").crossJoin(F.broadcast(every.withColumnsRenamed({f"{k}_middle": f"{k}_every" for k in bands})))
+        few = F.col("texts") < SUPPORT
+        langs = langs.select("band_lang", F.when(few, F.col("every")).otherwise(F.col("band_lang")).alias("band"), *[F.when(few, F.col(f"{k}_every")).otherwise(F.col(f"{k}_middle")).alias(f"{k}_middle") for k in bands])
+        langs = broadcast_if_few(cut_lineage(langs))
+        own = good.join(langs, "band_lang")
+        rows = own.filter(F.col("band") != EVERY).unionByName(own.withColumn("band", F.lit(COMMON)))
+        rows = rows.unionByName(good.withColumn("band", F.lit(EVERY)).crossJoin(F.broadcast(every.drop("every"))))
+        spread = _spread(rows, list(bands))
+        common = spread.filter(F.col("band") == COMMON).select("length", *[F.col(k).alias(f"{k}_common") for k in bands])
+        spread = spread.select("band", "length", *[F.col(k).alias(f"{k}_deviation") for k in bands])
+        lengths = good.select("band_lang", "length").distinct().join(langs, "band_lang")
+        self.ends = cut_lineage(lengths.join(broadcast_if_few(spread), ["band", "length"]).join(F.broadcast(common), "length").drop("band"))
 
     def verdicts(self, measured: DataFrame) -> DataFrame:
         """Adds base_failed, word_ppl, char_ppl (nats), kept.
@@ -294,15 +338,15 @@ class Judge:
         found = _figures(measured).join(broadcast_if_few(self.ends), ["band_lang", "length"], "left")
         kept = ~F.col("base_failed")
         for k, (below, above) in self.bands.items():
-            deviation = F.greatest(F.col(f"{k}_deviation"), F.col(f"{k}_middle") * F.greatest(F.col(f"{k}_common"), F.lit(LEAST_DEVIATION)))
+            deviation = F.col(f"{k}_middle") * F.greatest(f"{k}_deviation", f"{k}_common", F.lit(LEAST_DEVIATION))
             kept &= F.coalesce(F.col(k).between(F.col(f"{k}_middle") - below * deviation, F.col(f"{k}_middle") + above * deviation), F.lit(False))
-        return found.withColumn("kept", kept).select(*measured.columns, "base_failed", *self.bands, "kept")
+        return found.withColumn("kept", kept).select(*(c for c in measured.columns if c != "text_hash"), "base_failed", *self.bands, "kept")
 
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns. Texts are scored once more rather than shuffled to meet their verdicts."""
     judge = Judge(docs)
-    renamed, back = set_aside(docs, [*BASE, "nats", "base_failed", *judge.bands, "kept", "length", "band_lang", *judge.ends.columns])
+    renamed, back = set_aside(docs, [*BASE, "nats", "base_failed", *judge.bands, "kept", "length", "band_lang", "text_hash", *judge.ends.columns])
     rows = judge.verdicts(measure(renamed, judge.folder, judge.bits, tuple(renamed.columns)))
     return rows.filter("kept").select(*renamed.columns).withColumnsRenamed(back)
 
