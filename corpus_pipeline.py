@@ -24,7 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity of about 0.8 or more."""
+    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
     return simhash.representatives(docs)
 
 

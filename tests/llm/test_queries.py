@@ -445,6 +445,33 @@ def test_tree_matching_merges_by_order():
     assert again.dump() == tree.dump() and again.kids["body"].n == 2
 
 
+def test_near_copies_are_those_from_the_similarity_on(spark):
+    """All pairs from 0.80 to 0.85 are linked and none from 0.70 to 0.79, in one tile or several."""
+    rng = __import__("random").Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    shingles = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    rows, want = [], {}
+    for g in range(400):
+        base, (low, high) = [word() for _ in range(300)], ((0.8, 0.85) if g % 2 else (0.7, 0.79))
+        copy, alike = list(base), 1.0
+        while alike > high:
+            copy[rng.randrange(300)] = word()
+            a, b = shingles(base), shingles(copy)
+            alike = len(a & b) / len(a | b)
+        if alike < low:
+            continue
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(copy))]
+        want |= {2 * g: 2 * g, 2 * g + 1: 2 * g + (alike < 0.8)}
+    assert len(rows) > 600
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()} == want
+    ids = simhash.wide_fingerprints(docs).selectExpr("doc_id", "xxhash64(fp, n) as id")
+    first = ids.agg({"id": "min"}).first()[0]
+    all_one = ids.selectExpr("id as u", f"{first} as v")
+    label = {r.u: r.root for r in simhash.components(simhash.verified(docs, all_one, tile=100)).collect()}
+    assert len(label) == 2 * len(set(label.values())) == sum(want[2 * g] == want[2 * g + 1] for g in range(400) if 2 * g in want) * 2
+
+
 def test_near_copies(spark):
     """Copies, light edits and a crowd of them are one group each; texts that share a passage are not."""
     rng = __import__("random").Random(9)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import arrays
-from .common import cut_lineage, pick, table
+from .common import broadcast_if_few, cut_lineage, pick, table
 
 RADIUS = 4
 SHINGLE = 4
@@ -31,14 +31,17 @@ STRIP = 1 << 18
 CHUNK = 2_000_000
 
 
-def _fingerprints(buf: np.ndarray, offsets: np.ndarray, shingle: int, words: int = 1) -> tuple[np.ndarray, np.ndarray]:
+def _fingerprints(buf: np.ndarray, offsets: np.ndarray, shingle: int, words: int = 1, sets: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The fingerprint of each text of a chunk, so many 64-bit words, zero without words; and its number of shingles.
 
-    The first word votes with the shingles' hashes, the others with hashes of those.
+    The first word votes with the shingles' hashes, the others with hashes of those. With a list for sets, each different shingle
+    votes and counts once, and the list gets the sorted hashes of each text.
     """
     lower = arrays.LOWER[buf]
     starts, ends, first = arrays.spans(lower, offsets)
     out, shingles = np.zeros((len(offsets) - 1, words), np.uint64), np.zeros(len(offsets) - 1, np.int64)
+    if sets is not None:
+        sets += [np.zeros(0, np.uint64)] * len(out)
     if not len(starts):
         return out, shingles
     # Words joined by one blank: where each word then starts and ends.
@@ -61,6 +64,9 @@ def _fingerprints(buf: np.ndarray, offsets: np.ndarray, shingle: int, words: int
         n = max(1, b - a - shingle + 1)
         begins, stops = at[a : a + n].tolist(), (at[min(a + shingle, b) : b + 1] - 1).tolist()
         h = np.array([hash64(raw[s:e], SEED) for s, e in zip(begins, stops, strict=True)], np.uint64)
+        if sets is not None:
+            h = np.unique(h)
+            sets[i - len(out)], n = h, len(h)
         shingles[i] = n
         for w in range(words):
             votes = h if w == 0 else arrays.mix(h + np.uint64(w * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
@@ -199,21 +205,28 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     return fps.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: For near copies: 64-bit words of a fingerprint, differing bits, words in a shingle, the least similarity meant, documents in a tile.
-WIDE, WIDE_RADIUS, WIDE_SHINGLE, SIMILARITY, WIDE_TILE = 4, 44, 5, 0.8, 1 << 15
+#: For near copies: 64-bit words of a fingerprint, differing bits of a candidate, words in a shingle, the least similarity, documents in a tile.
+WIDE, WIDE_RADIUS, WIDE_SHINGLE, SIMILARITY, WIDE_TILE = 4, 62, 5, 0.8, 1 << 15
+#: Documents of a group of candidates whose shingles a task holds at once, twice over.
+VERIFY_TILE = 4096
 
 
-def wide_fingerprints(docs: DataFrame, shingle: int = WIDE_SHINGLE, words: int = WIDE) -> DataFrame:
-    """doc_id, fp (binary) and n, the number of shingles, of every whole text. No shuffle."""
+def wide_fingerprints(docs: DataFrame, shingle: int = WIDE_SHINGLE, words: int = WIDE, sets: bool = False) -> DataFrame:
+    """doc_id, fp (binary) and n, the number of different shingles, of every whole text; with sets their hashes too. No shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in arrays.chunks(batch.column("text")):
-                fps, n = _fingerprints(buf, offsets, shingle, words)
+                found: list[np.ndarray] = []
+                fps, n = _fingerprints(buf, offsets, shingle, words, found)
                 raw, size = fps.astype("<u8").tobytes(), 8 * words
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array([raw[k : k + size] for k in range(0, len(raw), size)], pa.binary()), pa.array(n)], names=["doc_id", "fp", "n"])
+                columns = [batch.column("doc_id").slice(lo, hi - lo), pa.array([raw[k : k + size] for k in range(0, len(raw), size)], pa.binary()), pa.array(n)]
+                if sets:
+                    columns.append(pa.array([x.astype("<u8").tobytes() for x in found], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "n", "hashes"][: len(columns)])
 
-    return pick(docs, "doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("fp", "binary").add("n", "long"))
+    schema = docs.select("doc_id").schema.add("fp", "binary").add("n", "long")
+    return pick(docs, "doc_id", "text").mapInArrow(run, schema.add("hashes", "binary") if sets else schema)
 
 
 def link_wide(left_ids: np.ndarray, left: np.ndarray, right_ids: np.ndarray, right: np.ndarray, radius: int, forest: Forest) -> None:
@@ -265,15 +278,69 @@ def wide_links(distinct: DataFrame, radius: int = WIDE_RADIUS, similarity: float
     return pairs.select("left", "right").repartition(n).mapInArrow(run, "u long, v long")
 
 
+def verify_tile(left: list[tuple], right: list[tuple], radius: int, similarity: float, forest: Forest) -> None:
+    """Joins the pairs (id, fp, hashes) within the radius whose sets of shingles are so similar, but for those that are joined already."""
+    both = [*left, *right]
+    fps = np.frombuffer(b"".join(x[1] for x in both), "<u8").reshape(len(both), -1)
+    sets = [np.frombuffer(x[2], "<u8") for x in both]
+    size = np.array([len(x) for x in sets])
+    label = np.arange(len(both))
+    for i in range(len(left)):
+        lo = len(left) if right else i + 1
+        apart = np.bitwise_count(fps[lo:] ^ fps[i]).sum(axis=1, dtype=np.int64)
+        near = (apart <= radius) & (np.minimum(size[lo:], size[i]) >= similarity * np.maximum(size[lo:], size[i]))
+        for j in (lo + np.flatnonzero(near & (label[lo:] != label[i]))).tolist():
+            if label[j] == label[i]:
+                continue
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if shared >= similarity * (size[i] + size[j] - shared):
+                label[label == label[j]] = label[i]
+                forest.join(both[i][0], both[j][0])
+
+
+def verified(docs: DataFrame, candidates: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, tile: int = VERIFY_TILE) -> DataFrame:
+    """Edges (u, v) that connect the rows linked by pairs within the radius and of at least so similar sets of shingles.
+
+    Pairs are sought within each component of the candidates' edges, in tiles, so that no table of pairs arises. The shingles of
+    one text for each fingerprint of a candidate are shuffled, those of other texts are not.
+    """
+    label = components(candidates).withColumnRenamed("u", "id")
+    label = broadcast_if_few(cut_lineage(label))
+    sets = wide_fingerprints(docs, sets=True).withColumn("id", F.xxhash64("fp", "n")).join(label, "id", "left_semi")
+    sets = sets.groupBy("id").agg(F.first("fp").alias("fp"), F.first("hashes").alias("hashes")).join(label, "id")
+    blocks = label.groupBy("root").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))
+    tiles = sets.join(blocks, "root").groupBy("root", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")).agg(F.collect_list(F.struct("id", "fp", "hashes")).alias("left"), F.first("blocks").alias("blocks"))
+    tiles = cut_lineage(tiles)
+    large = tiles.filter("blocks > 1").select("root", "block", "left")
+    across = large.join(large.withColumnsRenamed({"left": "right", "block": "other"}), "root").filter("block < other").select("left", "right")
+    pairs = tiles.select("left", F.slice("left", 1, 0).alias("right")).union(across)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+        for batch in batches:
+            for k in range(batch.num_rows):
+                sides = []
+                for side in ("left", "right"):
+                    rows = batch.column(side)[k].values
+                    ids = rows.field("id").to_numpy(zero_copy_only=False).view(np.uint64).tolist()
+                    sides.append(list(zip(ids, rows.field("fp").to_pylist(), rows.field("hashes").to_pylist(), strict=True)))
+                verify_tile(*sides, radius, similarity, forest)
+        yield from _stars(forest)
+
+    return pairs.mapInArrow(run, "u long, v long")
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
-    """doc_id and component_id, the least doc_id reachable, of every row, for documents about as similar as SIMILARITY or more.
+    """doc_id and component_id, the least doc_id reachable, of every row, over pairs whose shingles are at least as similar as SIMILARITY.
 
-    Two texts of word-shingle similarity J differ in about acos(2J / (1 + J)) / pi of their fingerprints' bits: 39 of 256 at 0.8, where
-    four in five are within the radius, as are nearly all from 0.85 and one in a hundred at 0.6. Copies meet as one fingerprint first.
+    Two texts of word-shingle similarity J differ in about acos(2J / (1 + J)) / pi of their fingerprints' bits: 39 of 256 at 0.8, with a
+    deviation of 6, so the radius lies four deviations above. It only finds candidates; their shingles decide. Copies meet as one
+    fingerprint first.
     """
     fps = cut_lineage(wide_fingerprints(docs).withColumn("id", F.xxhash64("fp", "n")))
     distinct = cut_lineage(fps.groupBy("id").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min("doc_id").alias("least")))
-    return fps.join(_component_ids(distinct, wide_links(distinct), "id"), "id").select("doc_id", "component_id")
+    edges = verified(docs, cut_lineage(wide_links(distinct)))
+    return fps.join(_component_ids(distinct, edges, "id"), "id").select("doc_id", "component_id")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
