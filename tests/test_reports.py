@@ -58,7 +58,7 @@ def test_scan(spark, root, reports):
 
 def test_parse(reports):
     got = {r.ticker: r for r in R.parse_reports(reports).collect()}
-    assert got["1101"].meta_industry == "Semiconductors" and float(got["1101"].market_cap_m) == 19579
+    assert got["1101"].meta_industry == "Semiconductors" and float(got["1101"].market_cap_m) == 12345
     assert got["2201"].meta_sector is None and got["2201"].market_cap_m is None
     assert "### 主要供應商" in got["1101"].customers and got["2202"].desc == "" and got["2202"].finance == ""
     assert all(r.body + r.finance == r.content for r in got.values())
@@ -262,7 +262,7 @@ def test_statements(spark):
 
 def test_rendered_tables_read_back(reports):
     got = {(r.freq, str(r.period), r.metric): r.value for r in S.parse_rendered(reports.filter("ticker = '1101'")).collect()}
-    assert got == {("A", "2025-12-31", "Revenue"): 1782.17, ("A", "2024-12-31", "Revenue"): 1480.9, ("A", "2025-12-31", "Gross Profit"): None, ("A", "2024-12-31", "Gross Profit"): 10.0, ("Q", "2025-12-31", "Revenue"): 544.25}
+    assert got == {("A", "2025-12-31", "Revenue"): 4321.5, ("A", "2024-12-31", "Revenue"): 3210.25, ("A", "2025-12-31", "Gross Profit"): None, ("A", "2024-12-31", "Gross Profit"): 10.0, ("Q", "2025-12-31", "Revenue"): 987.75}
 
 
 def info(spark, *rows):
