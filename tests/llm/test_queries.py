@@ -334,7 +334,6 @@ def test_shards_are_even(spark):
 
 def test_token_files(spark, sf, rows):
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     start, want = 0, []
     for doc_id, text, *_ in sorted(rows, key=key):
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
@@ -346,13 +345,55 @@ def test_token_files(spark, sf, rows):
 def test_units_are_safe():
     path = P.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
-    texts = odd_texts(3000, 30)
+    texts = odd_texts(3000, 30) + ["hello <|endoftext|> world", "<|endoftext|><|endoftext|>", "x<|endoftext|", "|>a<|endoftext|>b", *thue_morse(4096), "<|endoftext|>"]
     found = [x for _, ids, ends in token_files.encode_with_end(pa.array(texts), path, 7) for x in np.split(ids, ends[:-1])]
     for text, ids in zip(texts, found, strict=True):
         assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 7], text
 
 
+def thue_morse(n):
+    one = "".join("ab"[i.bit_count() & 1] for i in range(n))
+    return [one, one.translate(str.maketrans("ab", "ba"))]
+
+
+@pytest.mark.parametrize("n", [256, 1024, 2048, 4096, 8192])
+def test_spans_with_different_bytes_hash_differently(n):
+    """Strings on which polynomials modulo a power of two agree; as lines, words, terms and units."""
+    a, b = thue_morse(n)
+    (chunk,) = quality.arrays.chunks(pa.array([f"{a}\n{b}"]))
+    starts, ends, _ = quality.arrays.spans(*chunk[2:])
+    for seed in (0, 1):
+        h = quality.arrays.span_hashes(chunk[2], starts, ends, seed)
+        assert h[0] != h[1]
+    assert quality.base_counts(*chunk[2:])["n_dup_lines"].tolist() == [0]
+    sigs, _ = fingerprints._of_texts([a, b], 64)
+    assert (sigs[0] != sigs[1]).any()
+
+
+def test_hashes_do_not_depend_on_the_place():
+    rng = np.random.default_rng(5)
+    raw = rng.integers(0, 4, 3000, dtype=np.uint8)
+    starts = rng.integers(0, 2400, 2000)
+    ends = starts + rng.integers(0, 600, 2000)
+    by_bytes = collections.defaultdict(set)
+    for a, b, h in zip(starts, ends, quality.arrays.span_hashes(raw, starts, ends), strict=True):
+        by_bytes[raw[a:b].tobytes()].add(int(h))
+    assert all(len(x) == 1 for x in by_bytes.values()) and len(set().union(*by_bytes.values())) == len(by_bytes)
+
+
+def test_units_that_collide_are_told_apart(monkeypatch):
+    """With a hash that often collides, ids are still the library's."""
+    path = P.path("byte_bpe_50k.json")
+    whole = token_files.arrays.span_hashes
+    monkeypatch.setattr(token_files.arrays, "span_hashes", lambda *x: whole(*x) if len(x) > 3 else whole(*x) % np.uint64(50))
+    coder, library = token_files.Encoder(path), Tokenizer.from_file(path)
+    for k in range(5):
+        texts = odd_texts(50 * (k + 1), 30)[50 * k :]
+        (chunk,) = token_files.arrays.chunks(pa.array(texts))
+        ids, n = coder.encode(*chunk[2:])
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_planes_round_trip():
     ids = np.random.default_rng(1).integers(0, 1 << 32, 10_000, dtype=np.uint32)
     raw = token_files.pack(ids, [[3, 0, 10_000]], block=999)

@@ -10,18 +10,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 CHUNK_BYTES = 1 << 19
-_M64 = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-#: A random 64-bit value for each byte.
-_BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, _M64, 256, dtype=np.uint64, endpoint=True)
-_powers: dict[str, np.ndarray] = {}
+#: Spans of more bytes are hashed by XXH64, one by one.
+_LONG = 256
+_LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def chunks(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -70,21 +68,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(kind: str, base: int, n: int) -> np.ndarray:
-    if kind not in _powers or len(_powers[kind]) < n:
-        steps = np.full(max(n, 1 << 16), np.uint64(base))
-        steps[0] = 1
-        _powers[kind] = np.multiply.accumulate(steps)
-    return _powers[kind][:n]
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span, 8 bytes at a time: each block is added to what the blocks before gave, and mixed.
 
-
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span: differences of one running polynomial, then mixed."""
+    Seeds give independent hashes. Mixing is no polynomial, so that no family of strings is known to collide.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    run = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE[buf] * _power("up", _BASE, len(buf)), out=run[1:])
-    return mix((run[ends] - run[starts]) * _power("down", _BASE_INV, len(buf))[starts])
+    length = ends - starts
+    out = mix(length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((seed * 0xC2B2AE3D27D4EB4F + 0x165667B19E3779F9) & ((1 << 64) - 1)))
+    padded = np.concatenate((buf, np.zeros(8, np.uint8)))
+    block = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))
+    live = np.flatnonzero((length <= _LONG) & (length > 0))
+    at, left, h = starts[live], length[live], out[live]
+    while len(live):
+        h = mix(h ^ (block[at] & _LOW_BYTES[np.minimum(left, 8)]))
+        out[live] = h
+        more = left > 8
+        live, at, left, h = live[more], at[more] + 8, left[more] - 8, h[more]
+    for i in np.flatnonzero(length > _LONG).tolist():
+        out[i] = xxhash.xxh64_intdigest(memoryview(padded)[starts[i] : ends[i]], seed)
+    return out
 
 
 def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

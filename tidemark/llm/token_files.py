@@ -12,6 +12,7 @@ any file system that Spark writes.
 from __future__ import annotations
 
 import json
+import re
 import struct
 from collections.abc import Iterator
 from functools import cache
@@ -48,61 +49,85 @@ class Encoder:
 
     Texts are cut before a blank that is followed by another character than white space, between an ASCII letter and a mark, and between
     a lone line feed and an ASCII letter. No match of the pattern crosses these places, nor does one before them look beyond, so the
-    ids of a text are those of its units in turn. Units are told apart by 64-bit hashes.
+    ids of a text are those of its units in turn. An added token in a text (as ``<|endoftext|>``) is a unit, as it is for the library, whose
+    settings are left as they are; with ``special_as_text`` it is text like any other. Units are known by one 64-bit hash and checked by
+    another; a chunk in which they disagree is encoded text by text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_as_text: bool = False) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = special_as_text
+        added = self.library.get_added_tokens_decoder().values()
+        self.whole = [t.content.encode() for t in added if not (special_as_text and t.special)]
+        #: Added tokens that take in what is around them, or are sought in normalised text, let no text be cut.
+        self.cuts = self.library.normalizer is None and not any(t.lstrip or t.rstrip or t.single_word for t in added)
         vocab = self.library.get_vocab()
-        # In a byte-level vocabulary each character of a token stands for one byte.
+        # In a byte-level vocabulary each character of a token stands for one byte; an added one stands for itself.
         self.width = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.width[i] = len(token)
+        for t in added:
+            self.width[vocab[t.content]] = len(t.content.encode())
         self._forget()
 
     def _forget(self) -> None:
         self.at: dict[int, int] = {}
+        self.check = np.zeros(1 << 16, np.uint64)
         self.first, self.length, self.ids, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, "<u4"), 0
 
-    def _learn(self, hashes: list[int], spans: list[tuple[int, int]], raw: bytes) -> None:
+    def _learn(self, hashes: list[int], checks: np.ndarray, spans: list[tuple[int, int]], raw: bytes) -> None:
         joined, alone = [], []
-        for h, (a, b) in zip(hashes, spans, strict=True):
-            (joined if b - a > 1 and raw[a] == 0x20 and not _UNSAFE[raw[a + 1]] else alone).append((h, a, b))
+        for h, c, (a, b) in zip(hashes, checks.tolist(), spans, strict=True):
+            (joined if b - a > 1 and raw[a] == 0x20 and not _UNSAFE[raw[a + 1]] else alone).append((h, a, b, c))
         groups = [joined[k : k + 1000] for k in range(0, len(joined), 1000)] + [[x] for x in alone]
-        texts = [b"".join(raw[a:b] for _, a, b in g).decode() for g in groups]
+        texts = [b"".join(raw[a:b] for _, a, b, _ in g).decode() for g in groups]
         for group, found in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(found.ids, "<u4")
-            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([b - a for _, a, b in group])) + 1
+            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([b - a for _, a, b, _ in group])) + 1
             n = len(self.at)
             while n + len(group) > len(self.first):
-                self.first, self.length = np.resize(self.first, 2 * len(self.first)), np.resize(self.length, 2 * len(self.length))
+                self.first, self.length, self.check = (np.resize(x, 2 * len(x)) for x in (self.first, self.length, self.check))
             while self.used + len(ids) > len(self.ids):
                 self.ids = np.resize(self.ids, 2 * len(self.ids))
             begins = np.concatenate(([0], ends[:-1]))
             self.first[n : n + len(group)], self.length[n : n + len(group)] = begins + self.used, ends - begins
+            self.check[n : n + len(group)] = [c for *_, c in group]
             self.ids[self.used : self.used + len(ids)] = ids
             self.used += len(ids)
             self.at.update(zip((h for h, *_ in group), range(n, n + len(group)), strict=True))
 
+    def _plainly(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What encode() gives, by the library alone."""
+        texts = [bytes(buf[a:b]).decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        found = [np.array(x.ids, "<u4") for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate(found), np.array([len(x) for x in found], np.int64)
+
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a chunk in a row, and how many each text has."""
         n = len(offsets) - 1
         if not len(buf):
             return np.zeros(0, "<u4"), np.zeros(n, np.int64)
+        if not self.cuts:
+            return self._plainly(buf, offsets)
         cut = np.zeros(len(buf), bool)
         cut[:-1] = (buf[:-1] == 0x20) & ~_UNSAFE[buf[1:]]
         cut[1:] |= _LETTER[buf[:-1]] & _MARK[buf[1:]]
         cut[2:] |= ((_LETTER | _MARK)[buf[:-2]]) & (buf[1:-1] == 0x0A) & _LETTER[buf[2:]]
+        raw = buf.tobytes()
+        if any(t in raw for t in self.whole):
+            # The library takes the longest added token that begins first.
+            for m in re.finditer(b"|".join(map(re.escape, sorted(self.whole, key=len, reverse=True))), raw):
+                cut[m.start() + 1 : m.end()] = False
+                cut[[m.start(), *([m.end()] if m.end() < len(buf) else [])]] = True
         cut[offsets[:-1][np.diff(offsets) > 0]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(buf))
-        hashes = arrays.span_hashes(buf, starts, ends)
+        hashes, checks = arrays.span_hashes(buf, starts, ends), arrays.span_hashes(buf, starts, ends, 1)
         order = np.argsort(hashes)
         at, times = arrays.runs(hashes[order])
         where = order[at]
@@ -113,9 +138,11 @@ class Encoder:
         new = [i for i, h in enumerate(keys) if h not in self.at]
         if new:
             first = where[new]
-            self._learn([keys[i] for i in new], list(zip(starts[first].tolist(), ends[first].tolist(), strict=True)), buf.tobytes())
+            self._learn([keys[i] for i in new], checks[first], list(zip(starts[first].tolist(), ends[first].tolist(), strict=True)), raw)
         unit = np.empty(len(starts), np.int64)
         unit[order] = np.repeat(np.array([self.at[h] for h in keys], np.int64), times)
+        if (self.check[unit] != checks).any():
+            return self._plainly(buf, offsets)
         length = self.length[unit]
         upto = np.cumsum(length)
         ids = self.ids[np.repeat(self.first[unit] - (upto - length), length) + np.arange(upto[-1])]
