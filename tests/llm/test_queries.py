@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from tidemark.llm import articles, bpe, fingerprints, language, mixing, quality, sharding, simhash, token_files, word_lm
+from tidemark.llm import articles, bpe, fingerprints, hash_store, language, mixing, quality, sharding, simhash, token_files, word_lm
 from tidemark.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -208,12 +208,90 @@ def test_quality_bands_need_support_and_count_copies_once(spark):
 
 def test_model_is_a_distribution(spark, tmp_path):
     """Probabilities of all 256 bytes after any context sum to one, seen or not."""
-    docs = spark.createDataFrame([("", "abcabcabd abd ü"), ("", "bca bca")], "lang string, text string")
-    folder = f"file://{tmp_path}/lm"
-    bits = quality.write_model(quality.gram_counts(docs), folder)
+    docs = spark.createDataFrame([("abcabcabd abd ü",), ("bca bca",)], "text string")
+    model = quality.write_model(quality.gram_counts(docs), f"file://{tmp_path}/lm")
     for context in (b"abc", b"zzz", b"xab", b"\0\0\0", b"\0\0a"):
         grams = np.array([int.from_bytes(context + bytes([c]), "big") for c in range(256)], np.uint32)
-        assert np.exp(quality.log_probability(folder, bits, "", grams)).sum() == pytest.approx(1, abs=1e-5)
+        assert np.exp(quality.log_probability(model, grams)).sum() == pytest.approx(1, abs=1e-5)
+
+
+def plain_byte_model(texts):
+    """log p of the last byte of four, by dictionaries."""
+    order = {4: collections.Counter(padded[i : i + 4] for t in texts for padded in [b"\0\0\0" + t.encode()] for i in range(len(padded) - 3))}
+    for k in (3, 2, 1):
+        order[k] = collections.Counter(g[1:] for g in order[k + 1])
+    d = {k: quality.discounts(*(sum(n == c for n in order[k].values()) for c in (1, 2, 3, 4))) for k in order}
+
+    def p(gram):
+        k = len(gram)
+        if not k:
+            return 1 / 256
+        after = [n for g, n in order[k].items() if g[:-1] == gram[:-1]]
+        if not after:
+            return p(gram[1:])
+        n = order[k].get(gram, 0)
+        return ((n - d[k][min(n, 3) - 1] if n else 0) + sum(d[k][min(x, 3) - 1] for x in after) * p(gram[1:])) / sum(after)
+
+    return p
+
+
+def test_byte_model_and_bands_are_the_plain_ones(spark):
+    """Probabilities, medians, deviations and verdicts against dictionaries and lists."""
+    import random
+    import statistics
+
+    from tests.llm.conftest import frame, prose
+
+    rng = random.Random(2)
+    rows = [[i, prose(rng, ("en", "de")[i % 2], 40 + i % 20), ("en", "de")[i % 2], "s"] for i in range(60)]
+    rows += [[100, " ".join(w + "%%$$#" for w in prose(rng, "en", 45).split()), "en", "s"], [101, rows[0][1], "en", "s"], [102, "the the of of and and to to in in the of and to in " * 3, "en", "s"]]
+    judge = quality.Judge(frame(spark, rows), ["doc_id"])
+    got = {r.doc_id: r for r in judge.verdicts().collect()}
+    p = plain_byte_model({t for _, t, *_ in rows})
+    figures = {}
+    for d, t, lang, _ in rows:
+        padded = b"\0\0\0" + t.encode()
+        nats = -sum(math.log(p(padded[i : i + 4])) for i in range(len(padded) - 3))
+        n, chars, *_ , repeated = base(t)
+        assert got[d].nats == pytest.approx(nats, rel=1e-5)
+        if n >= 10 and 100 * repeated <= 20 * n:
+            figures[d] = (lang, t, int(math.log2(n)), nats / n, nats / chars)
+    unique = {(lang, t): x for lang, t, *x in figures.values()}
+    for which, k in ((1, "word_ppl"), (2, "char_ppl")):
+        middle = {}
+        for lang in ("en", "de"):
+            values = sorted(x[which] for (at, _), x in unique.items() if at == lang)
+            middle[lang] = values[(len(values) - 1) // 2]
+        away = {lang: statistics.median([abs(x[which] / middle[lang] - 1) for (at, _), x in unique.items() if at == lang]) for lang in middle}
+        common = statistics.median([abs(x[which] / middle[at] - 1) for (at, _), x in unique.items()])
+        low, high = quality.BANDS[k]
+        for d, (lang, _, _, *x) in figures.items():
+            spread = max(1.4826 * away[lang], 1.4826 * common, quality.LEAST_DEVIATION) * middle[lang]
+            z = (x[which - 1] - middle[lang]) / spread
+            if z > 1.1 * high:
+                assert got[d].above and not got[d].kept
+            if z < -1.1 * low:
+                assert got[d].below and not got[d].kept
+            if got[d].above and which == 1:
+                assert z > 0.9 * high or got[d].char_ppl > got[101].char_ppl
+    assert not got[100].kept and got[100].above
+    assert sum(r.kept for r in got.values()) >= 58
+
+
+def test_lower_band_drops_repetition(spark):
+    """Text of the commonest words over and over, which the windows of five do not see, is too cheap."""
+    import random
+
+    from tests.llm.conftest import frame
+
+    rng = random.Random(12)
+    vocab = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    word = lambda: vocab[min(int(rng.paretovariate(0.3)) - 1, 2999)]
+    plain = [[i, " ".join(word() for _ in range(rng.randint(130, 250))), "en", "s"] for i in range(150)]
+    cheap = " ".join(w for _ in range(6) for w in rng.sample(vocab[:5] * 6, 30))
+    got = {r.doc_id: r for r in quality.Judge(frame(spark, [*plain, [999, cheap, "en", "s"]]), ["doc_id"]).verdicts().collect()}
+    assert got[999].below and not got[999].base_failed and not got[999].kept
+    assert sum(got[i].kept for i in range(150)) >= 149
 
 
 def test_bpe(spark, sf, rows):
@@ -403,7 +481,12 @@ def test_planes_round_trip():
     assert not len(token_files.unpack(token_files.pack(np.zeros(0, np.uint32), [])))
 
 
-def test_word_lm(spark, sf, rows):
+@pytest.mark.parametrize(("shard_bytes", "chunk", "gather"), [(16 << 20, 2 << 20, 3_000_000), (5000, 1 << 16, 20_000)])
+def test_word_lm(spark, sf, rows, monkeypatch, shard_bytes, chunk, gather):
+    """With one cell or many, and with long texts whole or in pieces."""
+    import functools
+
+    monkeypatch.setattr(word_lm, "fit", functools.partial(word_lm.fit, shard_bytes=shard_bytes))
     tokens = [(d, [*WORD.findall((t or "").translate(LOWER)), "\0end"]) for d, t, *_ in rows]
     train = [x for d, x in tokens if remainder(d) != 1]
     seen = collections.Counter(w for x in train for w in x)
@@ -434,6 +517,44 @@ def test_word_lm(spark, sf, rows):
         assert r.base_score == pytest.approx(plain)
 
 
+def test_pieces_are_the_texts():
+    texts = ["", None, "ab  cd " * 50, "x" * 900 + " y", " " * 700 + "z " * 300, "é日 \n" * 200, "a b", "x" * 2000]
+    for limit in (7, 64, 500):
+        found, starts = [b""] * len(texts), []
+        for lo, hi, buf, offsets, more in word_lm.arrays.pieces(pa.array(texts), limit):
+            for i in range(lo, hi):
+                found[i] += buf[offsets[i - lo] : offsets[i - lo + 1]].tobytes()
+            assert hi == lo + 1 or not more
+            if more:
+                starts.append(len(found[lo]))
+                assert re.fullmatch(rb".*[\x20\x09-\x0d]", found[lo], re.S)
+        assert found == [(t or "").encode() for t in texts]
+
+
+def test_token_pieces(monkeypatch):
+    """Tokens and the tokens before them are the same whether a text is cut or not."""
+    texts = pa.array(["a b c d " * 100, None, "e", "long " * 400, ""])
+
+    def run(chunk):
+        monkeypatch.setattr(word_lm, "CHUNK", chunk)
+        parts = list(word_lm._tokens(texts))
+        return np.concatenate([x[2] for x in parts]).tolist(), np.concatenate([x[4] for x in parts]).tolist()
+
+    assert run(1 << 20) == run(50) == run(7)
+
+
+def test_counts_of_any_size(tmp_path):
+    """Counts beyond a byte and beyond 32 bits come back as they are; a missing file is an error."""
+    keys, n = np.array([1, 5, 9, 1 << 63], np.uint64), np.array([3, 255, 1 << 40, 254])
+    hash_store.write(f"file://{tmp_path}", "x1", keys, [("small", n), ("<f4", n)])
+    present = hash_store.shards_present([1, 3], 2)
+    look = lambda keys, shard: hash_store.find(f"file://{tmp_path}", "x", present, ("small", "<f4"), keys, np.full(len(keys), shard))
+    assert look(np.array([9, 2, 1 << 63, 1, 5], np.uint64), 1)[0].tolist() == [1 << 40, 0, 254, 3, 255]
+    assert look(keys, 2)[0].tolist() == [0] * 4
+    with pytest.raises(FileNotFoundError):
+        look(keys, 3)
+
+
 PAGES = [
     ("http://a.example/1", "<html><head><title>T</title><style>p{}</style></head><body><nav><a href=x>Menu</a></nav><div class='ad'>Buy</div><article><h1>Head &amp; tail</h1><p>One\n two<p><b>Three<br>four</b></p></article><footer>End</footer></body>", "Head & tail\nOne two\nThree four"),
     ("http://b.example/1", "<body><div id=top>Site name</div><div class=text><h2>First</h2><p>Alpha beta gamma</p></div><div class='user-comments'><p>Nice</p></div><p>Copyright line</p></body>", "First\nAlpha beta gamma"),

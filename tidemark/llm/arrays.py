@@ -13,8 +13,9 @@ import pyarrow as pa
 import xxhash
 
 CHUNK_BYTES = 1 << 19
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: White space.
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Spans of more bytes are hashed by XXH64, one by one.
@@ -29,7 +30,8 @@ def chunks(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
     """
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = col.cast(pa.large_string()).fill_null("")
+    if not pa.types.is_large_binary(col.type):
+        col = col.cast(pa.large_string()).fill_null("")
     if not len(col):
         return
     offsets = np.frombuffer(col.buffers()[1], np.int64)[col.offset : col.offset + len(col) + 1]
@@ -43,11 +45,31 @@ def chunks(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
     pa.default_memory_pool().release_unused()
 
 
+def pieces(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]:
+    """As chunks(), but a row longer than the limit comes in several pieces; the last value says whether the row goes on.
+
+    A piece ends where a word begins behind white space, so that no word is cut; a longer stretch without such a place stays whole.
+    """
+    for first, end, buf, offsets in chunks(col, limit):
+        at = 0
+        while len(buf) - at > 2 * limit:
+            cut, look = 0, at + limit
+            while not cut and look < len(buf):
+                space = SPACE[buf[look - 1 : look + limit]]
+                found = np.flatnonzero(space[:-1] & ~space[1:])
+                cut, look = look + int(found[0]) if len(found) else 0, look + limit
+            if not cut:
+                break
+            yield first, end, buf[at:cut], np.array([0, cut - at]), True
+            at = cut
+        yield first, end, buf[at:], np.array([0, len(buf) - at]) if at else offsets, False
+
+
 def spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each text (and the end) the index of its first word."""
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = ~_SPACE[buf]
+    word = ~SPACE[buf]
     edge = np.zeros(len(buf) + 1, bool)
     edge[offsets] = True
     before, after = edge[:-1].copy(), edge[1:].copy()

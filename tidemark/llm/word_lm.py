@@ -1,12 +1,14 @@
 """Scoring texts with an interpolated modified Kneser-Ney bigram model of words.
 
-Counting: each task packs its bigrams, sorted and counted, into one blob for each shard of contexts; a shard's blobs are merged into a
-sorted hash array of bigrams with counts, and one of contexts with their totals and numbers of successors seen once, twice and more.
-What a shard knows of its second words (occurrences, distinct contexts) goes on to the shards of words. All arrays are
-files in the shared folder, which the workers that score map into memory. The model grows with the corpus; nothing of it passes
-through the driver but sums for each shard.
+Counting: each task packs its bigrams, sorted and counted, into one blob for each shard. Shards are cells of a grid, rows by the hash of
+the first word and columns by that of the second, so the successors of a hot word are dealt over a row of shards and its predecessors over a
+column. A shard's blobs are merged into a sorted hash array of bigrams with counts; what it knows of its contexts (totals, successors seen once,
+twice and more) and of its second words (occurrences, distinct contexts) goes on to the shards of contexts and words, which add up. All arrays
+are files in the shared folder, which the workers that score map into memory. The number of shards grows with the corpus; nothing of the
+model passes through the driver but a few sums for each shard.
 
 p(w | v) = (c(v, w) - D) / c(v) + g(v) q(w), with q the same over numbers of contexts, then uniform over the words and an unknown one.
+Words are known by 64-bit hashes: among a billion different words about 0.03 pairs share one.
 """
 
 from __future__ import annotations
@@ -17,49 +19,56 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import arrays, hash_store
 from .common import held_out, new_folder, pick, table
+from .hash_store import SMALL, top
 
-#: Hashes of words have 48 bits, so that a bigram takes 12 bytes before packing.
-_BITS = 48
-_M48 = (1 << _BITS) - 1
 START, END = np.uint64(0x5A17), np.uint64(0xE4D0)
 #: Tokens that a task gathers before it packs them.
 GATHER = 3_000_000
+#: Bytes of text for each shard: their bigrams take about half as much packed.
+SHARD_BYTES = 16 << 20
+#: At most so many partitions for the shards.
+PARTITIONS = 20_000
 CHUNK = 2 << 20
-LN10 = np.log(10.0)
 
 
-def word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the tokens of all texts, each text's ended by END, and each text's first."""
+def word_hashes(buf: np.ndarray, offsets: np.ndarray, more: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens of all texts, each text's ended by END, and each text's first. With more, the one text goes on: no end yet."""
     lower = arrays.LOWER[buf]
     starts, ends, first = arrays.spans(lower, offsets)
-    n = len(offsets) - 1
+    hashes, n = arrays.span_hashes(lower, starts, ends), len(offsets) - 1
+    if more:
+        return hashes, first
     out = np.full(len(starts) + n, END)
-    out[np.arange(len(starts)) + np.repeat(np.arange(n), np.diff(first))] = arrays.span_hashes(lower, starts, ends) & np.uint64(_M48)
+    out[np.arange(len(starts)) + np.repeat(np.arange(n), np.diff(first))] = hashes
     return out, first + np.arange(n + 1)
 
 
-def _contexts(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[first[:-1]] = START
-    return before
+def _tokens(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, bool]]:
+    """First and end row, tokens, each text's first, the token before each, and whether the text goes on; long texts come in pieces."""
+    last = START
+    for lo, hi, buf, offsets, more in arrays.pieces(col, CHUNK):
+        tokens, first = word_hashes(buf, offsets, more)
+        before = np.empty_like(tokens)
+        before[1:] = tokens[:-1]
+        before[first[:-1][np.diff(first) > 0]] = START
+        if len(before) and last != START:
+            before[0] = last
+        last = (tokens[-1] if len(tokens) else last) if more else START
+        yield lo, hi, tokens, first, before, more
 
 
 def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return arrays.mix(arrays.mix(left) + right)
 
 
-def _six(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
-
-
-def _from_six(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
+def _grid(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
+    """The cell of each pair: the top half of the bits are the first word's, the rest the second's."""
+    columns = bits // 2
+    return (top(left, bits - columns) << columns) | top(right, columns)
 
 
 def _small(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -73,6 +82,10 @@ def _from_small(raw: bytes, large: bytes) -> np.ndarray:
     return out
 
 
+def _words(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u8")
+
+
 def _summed(left: np.ndarray, right: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs in order, with the sums of their counts."""
     vocab, ids = np.unique(np.concatenate((left, right)), return_inverse=True)
@@ -80,39 +93,45 @@ def _summed(left: np.ndarray, right: np.ndarray, n: np.ndarray | None) -> tuple[
     if n is None:
         packed.sort()
         at, total = arrays.runs(packed)
-        packed = packed[at]
     else:
         order = np.argsort(packed)
         packed = packed[order]
         at, _ = arrays.runs(packed)
         total = np.add.reduceat(n[order], at) if len(at) else n
-        packed = packed[at]
+    packed = packed[at]
     return vocab[(packed >> np.uint64(32)).astype(np.int64)], vocab[(packed & np.uint64(0xFFFFFFFF)).astype(np.int64)], total
 
 
+def _table(schema: str, rows: list[list]) -> pa.Table:
+    kinds = {"int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(fields)})
+
+
 PACKED = "shard int, lefts binary, spread binary, spread_large binary, rights binary, n binary, n_large binary"
 
 
 def _pack_pairs(tokens: list[np.ndarray], before: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
     left, right, n = _summed(np.concatenate(before), np.concatenate(tokens), None)
-    edges = np.searchsorted(left >> np.uint64(_BITS - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+    shard = _grid(left, right, bits)
+    order = np.argsort(shard, kind="stable")
+    left, right, n = left[order], right[order], n[order]
+    edges = np.searchsorted(shard[order], np.arange((1 << bits) + 1))
     for s in np.flatnonzero(np.diff(edges)).tolist():
         a, b = edges[s], edges[s + 1]
         at, spread = arrays.runs(left[a:b])
-        row = [s, _six(left[a:b][at]), *_small(spread), _six(right[a:b]), *_small(n[a:b])]
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32() if i == 0 else pa.binary()) for i, x in enumerate(row)], names=[x.split()[0] for x in PACKED.split(", ")])
+        yield from _table(PACKED, [[s, left[a:b][at].tobytes(), *_small(spread), right[a:b].tobytes(), *_small(n[a:b])]]).to_batches()
 
 
 def pairs(docs: DataFrame, bits: int) -> DataFrame:
-    """Blobs of counted bigrams of all whole texts, for each shard of contexts."""
+    """Blobs of counted bigrams of all whole texts, for each cell of the grid."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, before, size = [], [], 0
         for batch in batches:
-            for *_, buf, offsets in arrays.chunks(batch.column("text"), CHUNK):
-                t, first = word_hashes(buf, offsets)
+            for _, _, t, _, b, _ in _tokens(batch.column("text")):
                 tokens.append(t)
-                before.append(_contexts(t, first))
+                before.append(b)
                 size += len(t)
                 if size >= GATHER:
                     yield from _pack_pairs(tokens, before, bits)
@@ -123,59 +142,54 @@ def pairs(docs: DataFrame, bits: int) -> DataFrame:
     return pick(docs, "text").mapInArrow(run, PACKED)
 
 
-WORDS = "place int, words binary, seen binary, seen_large binary, kinds binary, kinds_large binary, sums array<long>"
+PARTS = "kind string, shard int, keys binary, counts binary, large binary, sums array<long>"
+#: What is known of a context and of a word, in this order.
+CONTEXT, WORD = ("total", "once", "twice", "more"), ("seen", "kinds")
 
 
-def _merge_contexts(folder: str, bits: int):
+def _merge_pairs(folder: str, bits: int):
+    """Writes a cell's bigrams; gives what it knows of its contexts and second words, by their shards, and how many of its bigrams count 1 to 4."""
+
     def merge(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
         get = lambda name: group.column(name).to_pylist()
-        lefts = [np.repeat(_from_six(a), _from_small(b, c)) for a, b, c in zip(get("lefts"), get("spread"), get("spread_large"), strict=True)]
-        rights = [_from_six(x) for x in get("rights")]
+        lefts = [np.repeat(_words(a), _from_small(b, c)) for a, b, c in zip(get("lefts"), get("spread"), get("spread_large"), strict=True)]
+        rights = [_words(x) for x in get("rights")]
         ns = [_from_small(a, b) for a, b in zip(get("n"), get("n_large"), strict=True)]
         left, right, n = _summed(np.concatenate(lefts), np.concatenate(rights), np.concatenate(ns))
-        at, _ = arrays.runs(left)
-        save = lambda name, kind, values: hash_store.write_array(folder, f"{name}", values.astype(kind))
-        save(f"context{shard}.keys", "<u8", left[at])
-        save(f"context{shard}.total", "<u8", np.add.reduceat(n, at))
-        for k, name in ((1, "once"), (2, "twice")):
-            save(f"context{shard}.{name}", "<u4", np.add.reduceat((n == k).astype(np.int64), at))
-        save(f"context{shard}.more", "<u4", np.add.reduceat((n > 2).astype(np.int64), at))
         keys = pair_keys(left, right)
         order = np.argsort(keys)
-        save(f"pair{shard}.keys", "<u8", keys[order])
-        save(f"pair{shard}.n", "<u4", np.minimum(n[order], (1 << 32) - 1))
+        hash_store.write(folder, f"pair{shard}", keys[order], [(SMALL, n[order])])
+        at, _ = arrays.runs(left)
+        sums = lambda flags: np.add.reduceat(flags.astype(np.int64), at)
         words, ids = np.unique(right, return_inverse=True)
-        seen, kinds = np.bincount(ids, n, len(words)).astype(np.int64), np.bincount(ids, minlength=len(words))
-        edges = np.searchsorted(words >> np.uint64(_BITS - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-        rows = []
-        for s in np.flatnonzero(np.diff(edges)).tolist():
-            a, b = edges[s], edges[s + 1]
-            rows.append([s, _six(words[a:b]), *_small(seen[a:b]), *_small(kinds[a:b]), None])
-        rows.append([-1, *[None] * 5, [int((n == k).sum()) for k in (1, 2, 3, 4)]])
-        return _table(WORDS, rows)
+        known = [("context", left[at], np.stack([sums(n), sums(n == 1), sums(n == 2), sums(n > 2)], axis=1))]
+        known.append(("word", words, np.stack([np.bincount(ids, n, len(words)).astype(np.int64), np.bincount(ids, minlength=len(words))], axis=1)))
+        rows = [["pair", shard, None, None, None, [int((n == k).sum()) for k in (1, 2, 3, 4)]]]
+        for kind, hashes, counts in known:
+            to = top(hashes, bits)
+            edges = np.searchsorted(to, np.arange(to[0], to[-1] + 2))
+            rows += [[kind, int(to[a]), hashes[a:b].tobytes(), *_small(counts[a:b].ravel()), None] for a, b in zip(edges[:-1], edges[1:], strict=True) if a < b]
+        return _table(PARTS, rows)
 
     return merge
 
 
-def _table(schema: str, rows: list[list]) -> pa.Table:
-    kinds = {"int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
-    fields = [x.split() for x in schema.split(", ")]
-    return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(fields)})
-
+def _merge_parts(folder: str):
+    """Adds up what the cells know of a shard of contexts or words, writes it, and gives its sums."""
 
-def _merge_words(folder: str):
     def merge(group: pa.Table) -> pa.Table:
-        place = group.column("place")[0].as_py()
-        get = lambda name: group.column(name).to_pylist()
-        if place < 0:
-            return _table("place int, sums array<long>", [[place, np.array(get("sums")).sum(axis=0).tolist()]])
-        words, ids = np.unique(np.concatenate([_from_six(x) for x in get("words")]), return_inverse=True)
-        add = lambda a, b: np.bincount(ids, np.concatenate([_from_small(x, y) for x, y in zip(get(a), get(b), strict=True)]), len(words)).astype(np.int64)
-        seen, kinds = add("seen", "seen_large"), add("kinds", "kinds_large")
-        for name, kind, values in (("keys", "<u8", words), ("seen", "<u8", seen), ("kinds", "<u4", kinds)):
-            hash_store.write_array(folder, f"word{place}.{name}", values.astype(kind))
-        return _table("place int, sums array<long>", [[place, [int(seen.sum()), len(words), int(kinds.sum()), *[int((kinds == k).sum()) for k in (1, 2, 3, 4)]]]])
+        kind, shard = group.column("kind")[0].as_py(), group.column("shard")[0].as_py()
+        if kind == "pair":
+            sums = group.column("sums")[0].as_py()
+        else:
+            width = len(CONTEXT if kind == "context" else WORD)
+            keys, ids = np.unique(np.concatenate([_words(x) for x in group.column("keys").to_pylist()]), return_inverse=True)
+            counts = np.concatenate([_from_small(a, b) for a, b in zip(group.column("counts").to_pylist(), group.column("large").to_pylist(), strict=True)]).reshape(-1, width)
+            added = [np.bincount(ids, counts[:, k], len(keys)).astype(np.int64) for k in range(width)]
+            hash_store.write(folder, f"{kind}{shard}", keys, [(SMALL, x) for x in added])
+            sums = [] if kind == "context" else [int(added[0].sum()), len(keys), int(added[1].sum()), *[int((added[1] == k).sum()) for k in (1, 2, 3, 4)]]
+        return _table("kind string, shard int, sums array<long>", [[kind, shard, sums]])
 
     return merge
 
@@ -190,10 +204,11 @@ def discounts(counts: list[int]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Where the arrays are, and the few numbers beside them."""
+    """Where the arrays are, which shards there are of each kind, and the few numbers beside them."""
 
     folder: str
     bits: int
+    present: dict[str, np.ndarray]
     tokens: int
     words: int
     kinds: int
@@ -202,63 +217,66 @@ class Model:
     word_spare: float
 
 
-def fit(docs: DataFrame, folder: str) -> Model:
+def fit(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> Model:
     """Counts all whole texts (null: empty) and writes the model to the folder. An empty table gives a model of nothing."""
-    bits = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length())
-    merged = pairs(docs, bits).groupBy("shard").applyInArrow(_merge_contexts(folder, bits), WORDS)
-    rows = dict(merged.groupBy("place").applyInArrow(_merge_words(folder), "place int, sums array<long>").collect())
-    pair_counts = rows.pop(-1, [0] * 4)
-    total = np.array(list(rows.values()), np.int64).reshape(-1, 7).sum(axis=0).tolist()
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(2, int(np.ceil(np.log2(max(size, 1) / shard_bytes))))
+    n = min(1 << bits, PARTITIONS)
+    merged = pairs(docs, bits).repartition(n, "shard").groupBy("shard").applyInArrow(_merge_pairs(folder, bits), PARTS)
+    rows = merged.repartition(n, "kind", "shard").groupBy("kind", "shard").applyInArrow(_merge_parts(folder), "kind string, shard int, sums array<long>").collect()
+    present = {kind: hash_store.shards_present([r.shard for r in rows if r.kind == kind], bits) for kind in ("pair", "context", "word")}
+    add = lambda kind, width: np.array([r.sums for r in rows if r.kind == kind], object).reshape(-1, width).sum(axis=0).tolist() if present[kind].any() else [0] * width
+    pair_counts, total = add("pair", 4), add("word", 7)
     d = discounts(total[3:])
     n1, n2 = total[3], total[4]
     spare = float(d[1] * n1 + d[2] * n2 + d[3] * (total[1] - n1 - n2)) / total[2] if total[2] else 1.0
-    return Model(folder, bits, total[0], total[1], total[2], discounts(pair_counts), d, spare)
-
-
-def _word_shard(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h >> np.uint64(_BITS - bits)).astype(np.int64)
+    return Model(folder, bits, present, total[0], total[1], total[2], discounts(pair_counts), d, spare)
 
 
 def token_scores(model: Model, tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each token: the count in training, log10 of the model's probability, log10 of the base probability."""
+    look = lambda kind, fields, keys, shards: hash_store.find(model.folder, kind, model.present[kind], (SMALL,) * fields, keys, shards)
     words, at = np.unique(tokens, return_inverse=True)
-    known = hash_store.find(model.folder, "word", model.bits, {"seen": "<u8", "kinds": "<u4"}, words, _word_shard(words, model.bits))
-    kinds = known["kinds"].astype(np.float64)
-    q = np.maximum(kinds - model.word_discount[np.minimum(known["kinds"], 3)], 0) / max(model.kinds, 1) + model.word_spare / (model.words + 1)
-    seen = known["seen"].astype(np.float64)
+    seen, kinds = look("word", 2, words, top(words, model.bits))
+    q = np.maximum(kinds - model.word_discount[np.minimum(kinds, 3)], 0) / max(model.kinds, 1) + model.word_spare / (model.words + 1)
     base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
     vocab, ids = np.unique(before, return_inverse=True)
-    ctx = hash_store.find(model.folder, "context", model.bits, {"total": "<u8", "once": "<u4", "twice": "<u4", "more": "<u4"}, vocab, _word_shard(vocab, model.bits))
-    total = ctx["total"].astype(np.float64)
+    total, once, twice, several = look("context", 4, vocab, top(vocab, model.bits))
     d = model.pair_discount
-    spare = np.where(total > 0, (d[1] * ctx["once"] + d[2] * ctx["twice"] + d[3] * ctx["more"]) / np.maximum(total, 1), 1.0)
+    spare = np.where(total > 0, (d[1] * once + d[2] * twice + d[3] * several) / np.maximum(total, 1), 1.0)
     pair, back = np.unique(ids * np.int64(len(words)) + at, return_inverse=True)
     left, right = np.divmod(pair, len(words))
-    shards, keys = _word_shard(vocab[left], model.bits), pair_keys(vocab[left], words[right])
-    order = np.lexsort((keys, shards))
-    n = np.zeros(len(pair), np.int64)
-    n[order] = hash_store.find(model.folder, "pair", model.bits, {"n": "<u4"}, keys[order], shards[order])["n"]
+    (n,) = look("pair", 1, pair_keys(vocab[left], words[right]), _grid(vocab[left], words[right], model.bits))
     p = np.maximum(n - d[np.minimum(n, 3)], 0) / np.maximum(total[left], 1) + spare[left] * q[right]
     return seen[at], np.log10(p)[back], base[at]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score of every whole text; null and blank texts are the end token alone. No shuffle."""
+    """doc_id, n_tokens, n_known, base_score and score of every whole text; null and blank texts are the end token alone. No shuffle.
+
+    Repeated rows each get the same scores. A long text is scored piece by piece.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
         for batch in batches:
-            for lo, hi, buf, offsets in arrays.chunks(batch.column("text"), CHUNK):
-                tokens, first = word_hashes(buf, offsets)
-                seen, p, base = token_scores(model, tokens, _contexts(tokens, first))
+            held = [0, 0, 0.0, 0.0]
+            for lo, hi, tokens, first, before, more in _tokens(batch.column("text")):
+                seen, p, base = token_scores(model, tokens, before)
                 add = lambda x: np.add.reduceat(x, first[:-1])  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(add((seen > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(p))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+                if more:
+                    held = [a + b for a, b in zip(held, (len(tokens), int((seen > 0).sum()), base.sum(), p.sum()), strict=True)]
+                    continue
+                columns = [np.diff(first), add((seen > 0).astype(np.int64)), add(base), add(p)]
+                for column, x in zip(columns, held, strict=True):
+                    column[0] += x
+                held = [0, 0, 0.0, 0.0]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), *map(pa.array, columns)], names=names)
 
     return pick(docs, "doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("n_tokens", "long").add("n_known", "long").add("base_score", "double").add("score", "double"))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.filter(~held_out(1)), new_folder(spark, "word-lm"))
     done = score(docs, model)
