@@ -376,11 +376,58 @@ def test_links_join_chains_and_crowds(spark):
 
 def test_representatives(spark, sf, rows):
     kept = simhash.representatives(spark.read.parquet(f"{sf}/documents.parquet"))
-    ids = [r.doc_id for r in kept.select("doc_id").collect()]
-    assert len(set(ids)) == len(ids) and kept.columns == spark.read.parquet(f"{sf}/documents.parquet").columns
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    ids = [d for d, _ in found]
+    # Two documents share the id 110.
+    assert len(set(found)) == len(found) and ids.count(110) == 2 and kept.columns == spark.read.parquet(f"{sf}/documents.parquet").columns
     assert 7 in ids and not {103, 104} & set(ids)
 
 
+def test_representatives_tell_rows_by_id_and_text(spark):
+    """Rows without an id, or with one id and unlike texts, are documents of their own; copies of a text are one."""
+    rng = __import__("random").Random(3)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40))
+    unlike = [text() for _ in range(6)]
+    rows = list(zip([None, None, None, 5, 5, 6], unlike, range(6), strict=True))
+    schema = "doc_id long, text string, at int"
+    got = simhash.representatives(spark.createDataFrame(rows, schema).repartition(3)).collect()
+    assert sorted(r.text for r in got) == sorted(unlike) and {r["at"] for r in got} == set(range(6))
+    more = [*rows, (None, unlike[3], 9), (7, unlike[0], 8), (6, unlike[5], 1), (None, None, 3), (8, "", 4)]
+    got = simhash.representatives(spark.createDataFrame(more, schema).repartition(3)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(7, unlike[0], 8), *rows[1:5], (6, unlike[5], 1), (8, "", 4)], key=str)
+
+
+def test_components_of_long_paths_and_stars(spark):
+    """A path of 2,000 nodes in order, one in random order, and a star, with hot keys dealt apart or not."""
+    rng = __import__("random").Random(7)
+    shuffled = rng.sample(range(10_000, 12_000), 2000)
+    edges = [*zip(range(2000), range(1, 2001)), *zip(shuffled, shuffled[1:]), *((20_000, k) for k in range(20_001, 20_500)), (5, 5)]  # noqa: B905
+    got = collections.defaultdict(set)
+    for r in simhash.components(spark.createDataFrame(edges, "u long, v long").repartition(3)).collect():
+        got[r.root].add(r.u)
+    assert sorted(map(sorted, got.values())) == [list(range(2001)), list(range(10_000, 12_000)), list(range(20_000, 20_500))]
+
+
+def test_hot_join_is_a_join(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT", 100)
+    monkeypatch.setattr(simhash, "HOT_KEYS", 5)
+    rows = spark.createDataFrame([(i % 50 if i % 3 else 7, i) for i in range(1000)], "k int, x int")
+    named = spark.createDataFrame([(k, f"n{k}") for k in range(0, 50, 2)] + [(7, "hot")], "k int, name string")
+    got = sorted(map(tuple, simhash.hot_join(rows, named, "k").select("k", "x", "name").collect()))
+    assert got == sorted(map(tuple, rows.join(named, "k").select("k", "x", "name").collect())) and len(got) > 500
+
+
+def test_crowds_are_joined_by_rows():
+    """5,000 near copies: 25 million pairs, a few thousand steps."""
+    rng = np.random.default_rng(1)
+    bits = np.uint64(1) << rng.integers(0, 64, (5000, 2), dtype=np.uint64)
+    crowd = np.unique(np.uint64(0x0123456789ABCDEF) ^ bits[:, 0] ^ bits[:, 1])
+    far = rng.integers(1, 1 << 63, 3000, dtype=np.uint64)
+    forest, began = simhash.Forest(), __import__("time").perf_counter()
+    simhash.link_tile(np.concatenate((crowd, far)), np.concatenate((crowd, far)), 4, forest)
+    assert {forest.root(int(x)) for x in crowd} == {int(crowd.min())} and __import__("time").perf_counter() - began < 10
+
+
 def test_shards(spark, sf, rows):
     got = sharding.op7(spark, sf).collect()
     want = collections.Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t, *_ in rows)

@@ -42,7 +42,7 @@ def write(folder: str, name: str, keys: np.ndarray, fields: list[tuple[str, np.n
 
 #: So many files stay mapped in a worker; the oldest go first.
 @lru_cache(maxsize=8192)
-def _mapped(folder: str, name: str, kinds: tuple[str, ...]) -> tuple[np.ndarray, list]:
+def mapped(folder: str, name: str, kinds: tuple[str, ...]) -> tuple[np.ndarray, list]:
     """Keys and fields, mapped. From a store that is no local path the file is first copied to an unnamed one, which goes with the process."""
     files, path = fs.FileSystem.from_uri(folder)
     if isinstance(files, fs.LocalFileSystem):
@@ -99,7 +99,7 @@ def find(folder: str, prefix: str, present: np.ndarray, kinds: tuple[str, ...],
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         if not present[shards[a]]:
             continue
-        there, fields = _mapped(folder, f"{prefix}{shards[a]}", kinds)
+        there, fields = mapped(folder, f"{prefix}{shards[a]}", kinds)
         at = np.minimum(np.searchsorted(there, keys[a:b]), len(there) - 1)
         here = there[at] == keys[a:b]
         for values, field in zip(out, fields, strict=True):

@@ -3,7 +3,7 @@
 Fingerprints are grouped into tiles by the population counts of their four quarters. Two fingerprints within the radius have
 counts that differ by no more than the radius over all quarters, so only such pairs of tiles are compared: numpy exclusive-or and
 bit counts over blocks of at most TILE fingerprints. Each task keeps a union-find over the links it sees and gives one edge for
-each linked fingerprint, not one for each pair; components follow by iterated minima.
+each linked fingerprint, not one for each pair; components follow by random contraction.
 """
 
 from __future__ import annotations
@@ -15,11 +15,11 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import arrays
-from .common import broadcast_if_few, cut_lineage, pick, table
+from . import arrays, hash_store
+from .common import broadcast_if_few, cut_lineage, new_folder, pick, set_aside, table
 
 RADIUS = 4
 SHINGLE = 4
@@ -114,15 +114,39 @@ class Forest:
         return members, [self.root(x) for x in members]
 
 
+def join_near(near: np.ndarray, rows: np.ndarray, cols: np.ndarray, label: np.ndarray) -> None:
+    """Gives nodes that a row of flags joins one label, the least of theirs. Rows and columns say which node each is.
+
+    Work is by rows, and by labels that meet, not by pairs: in a crowd the first row joins all that it is near.
+    """
+    for i in np.flatnonzero(near.any(axis=1)).tolist():
+        met = label[cols[near[i]]]
+        own = label[rows[i]]
+        if (met != own).any():
+            met = np.unique(np.append(met, own))
+            if len(met) == 2:
+                label[label == met[1]] = met[0]
+            else:
+                label[np.isin(label, met)] = met[0]
+
+
+def _pass_on(ids: np.ndarray, label: np.ndarray, forest: Forest) -> None:
+    """One edge for each node that got another's label."""
+    linked = np.flatnonzero(label != np.arange(len(label)))
+    for a, b in zip(ids[linked].tolist(), ids[label[linked]].tolist(), strict=True):
+        if a != b:
+            forest.join(a, b)
+
+
 def link_tile(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest) -> None:
     """Joins all pairs within the radius, a strip of rows at a time."""
+    ids = np.unique(np.concatenate((left, right)))
+    label, at, to = np.arange(len(ids)), np.searchsorted(ids, left), np.searchsorted(ids, right)
     rows_a_strip = max(1, STRIP // max(1, len(right)))
     for lo in range(0, len(left), rows_a_strip):
         near = np.bitwise_count(left[lo : lo + rows_a_strip, None] ^ right[None, :]) <= radius
-        rows, cols = np.nonzero(near)
-        for a, b in zip(left[lo + rows].tolist(), right[cols].tolist(), strict=True):
-            if a != b:
-                forest.join(a, b)
+        join_near(near, at[lo : lo + rows_a_strip], to, label)
+    _pass_on(ids, label, forest)
 
 
 def _stars(forest: Forest) -> Iterator[pa.RecordBatch]:
@@ -166,31 +190,63 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     return _links(pairs, radius)
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """Node and least node reachable, for all nodes with an edge.
+#: Rows of a key beyond which a join deals them apart, and the most keys that can be so: there are no more than rows / max(HOT, rows / HOT_KEYS).
+HOT, HOT_KEYS = 1_000_000, 10_000
+
+
+def hot_join(rows: DataFrame, named: DataFrame, key: str) -> DataFrame:
+    """Joins rows to a table that has each key once. Keys that hold more than HOT rows go to every task, HOT_KEYS of them at most."""
+    total = rows.count()
+    if total <= HOT:
+        return rows.join(named, key)
+    often = cut_lineage(rows.groupBy(key).count().filter(F.col("count") > max(HOT, total // HOT_KEYS)).select(key))
+    if often.isEmpty():
+        return rows.join(named, key)
+    often = F.broadcast(often)
+    apart = rows.join(F.broadcast(cut_lineage(named.join(often, key, "left_semi"))), key)
+    return rows.join(often, key, "left_anti").join(named, key).unionByName(apart)
 
-    Each round a node's root becomes the least root among its neighbours, then its root's root; it ends when nothing changes.
+
+def components(edges: DataFrame) -> DataFrame:
+    """u and root, a node that stands for its component, for all nodes with an edge.
+
+    Each round every node points to its neighbour of least random number (or itself), then to where that points; nodes that point to
+    one are contracted. Edges shrink by a constant factor a round, in expectation, until there are none. No cap on rounds.
     """
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).filter("u <> v").distinct()
-    both = cut_lineage(both)
-    label = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root")))
-    for _ in range(rounds):
-        around = both.join(label.withColumnsRenamed({"u": "v", "root": "r"}), "v").groupBy("u").agg(F.min("r").alias("r"))
-        lower = label.join(around, "u").select("u", F.col("root").alias("was"), F.least("root", "r").alias("mid"))
-        jumped = lower.join(lower.select(F.col("u").alias("mid"), F.col("mid").alias("r2")), "mid", "left")
-        nxt = cut_lineage(jumped.select("u", "was", F.least("mid", F.coalesce("r2", "mid")).alias("root")))
-        label = nxt.select("u", "root")
-        if nxt.filter("root <> was").isEmpty():
-            return label
-    raise RuntimeError(f"components had not settled after {rounds} rounds")
+    left = cut_lineage(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u <> v").distinct())
+    maps: list[DataFrame] = []
+    while not left.isEmpty():
+        number = lambda c: F.struct(F.xxhash64(F.lit(len(maps)), c).alias("number"), F.col(c).alias("node"))  # noqa: B023, E731
+        both = left.select("u", number("v").alias("to")).union(left.select(F.col("v").alias("u"), number("u").alias("to")))
+        points = cut_lineage(both.groupBy("u").agg(F.min("to").alias("to")).select("u", F.least("to", number("u"))["node"].alias("mid")))
+        jumped = cut_lineage(hot_join(points, points.select(F.col("u").alias("mid"), F.col("mid").alias("root")), "mid").select("u", "root"))
+        maps.append(jumped)
+        moved = hot_join(left, jumped, "u").select("v", F.col("root").alias("ru"))
+        moved = hot_join(moved, jumped.withColumnsRenamed({"u": "v", "root": "rv"}), "v")
+        left = cut_lineage(moved.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).filter("u <> v").distinct())
+    if not maps:
+        return left.select("u", F.col("v").alias("root"))
+    # What a round's nodes became in the end, from the last round back.
+    label = maps.pop()
+    while maps:
+        before = maps.pop()
+        later = before.select(F.col("root").alias("mid")).distinct().join(label.withColumnRenamed("u", "mid"), "mid", "left")
+        later = later.select("mid", F.coalesce("root", "mid").alias("root"))
+        label = cut_lineage(hot_join(before.withColumnRenamed("root", "mid"), later, "mid").select("u", "root"))
+    return label
+
+
+def _rooted(distinct: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """The rows with root, the same for all of a component."""
+    label = components(edges)
+    return distinct.join(label.withColumnRenamed("u", key), key, "left").withColumn("root", F.coalesce("root", key))
 
 
 def _component_ids(distinct: DataFrame, edges: DataFrame, key: str) -> DataFrame:
     """key and component_id, the least of `least` over its component."""
-    label = components(edges)
-    rooted = distinct.select(key, "least").join(label.withColumnRenamed("u", key), key, "left").withColumn("root", F.coalesce("root", key))
+    rooted = cut_lineage(_rooted(distinct.select(key, "least"), edges, key))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select(key, "component_id")
+    return hot_join(rooted, least, "root").select(key, "component_id")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, tile: int = TILE) -> DataFrame:
@@ -202,7 +258,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     fps = cut_lineage(fingerprints(docs, shingle))
     distinct = cut_lineage(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
     ids = _component_ids(distinct, links(distinct, radius, tile), "fp")
-    return fps.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return hot_join(fps, ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 #: For near copies: 64-bit words of a fingerprint, differing bits of a candidate, words in a shingle, the least similarity, documents in a tile.
@@ -211,8 +267,9 @@ WIDE, WIDE_RADIUS, WIDE_SHINGLE, SIMILARITY, WIDE_TILE = 4, 62, 5, 0.8, 1 << 15
 VERIFY_TILE = 4096
 
 
-def wide_fingerprints(docs: DataFrame, shingle: int = WIDE_SHINGLE, words: int = WIDE, sets: bool = False) -> DataFrame:
-    """doc_id, fp (binary) and n, the number of different shingles, of every whole text; with sets their hashes too. No shuffle."""
+def wide_fingerprints(docs: DataFrame, shingle: int = WIDE_SHINGLE, words: int = WIDE, sets: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Kept columns (doc_id), fp (binary) and n, the number of different shingles, of every whole text; with sets their hashes too. No shuffle."""
+    keep = keep or ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,13 +277,13 @@ def wide_fingerprints(docs: DataFrame, shingle: int = WIDE_SHINGLE, words: int =
                 found: list[np.ndarray] = []
                 fps, n = _fingerprints(buf, offsets, shingle, words, found)
                 raw, size = fps.astype("<u8").tobytes(), 8 * words
-                columns = [batch.column("doc_id").slice(lo, hi - lo), pa.array([raw[k : k + size] for k in range(0, len(raw), size)], pa.binary()), pa.array(n)]
+                columns = [*(batch.column(c).slice(lo, hi - lo) for c in keep), pa.array([raw[k : k + size] for k in range(0, len(raw), size)], pa.binary()), pa.array(n)]
                 if sets:
                     columns.append(pa.array([x.astype("<u8").tobytes() for x in found], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "n", "hashes"][: len(columns)])
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "fp", "n", "hashes"][: len(columns)])
 
-    schema = docs.select("doc_id").schema.add("fp", "binary").add("n", "long")
-    return pick(docs, "doc_id", "text").mapInArrow(run, schema.add("hashes", "binary") if sets else schema)
+    schema = docs.select(*keep).schema.add("fp", "binary").add("n", "long")
+    return pick(docs, *keep, "text").mapInArrow(run, schema.add("hashes", "binary") if sets else schema)
 
 
 def link_wide(left_ids: np.ndarray, left: np.ndarray, right_ids: np.ndarray, right: np.ndarray, radius: int, forest: Forest) -> None:
@@ -235,6 +292,8 @@ def link_wide(left_ids: np.ndarray, left: np.ndarray, right_ids: np.ndarray, rig
     a, b = by_count(left), by_count(right)
     left_ids, left, right_ids, right = left_ids[a], left[a], right_ids[b], right[b]
     ones_left, ones_right = (np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (left, right))
+    ids = np.unique(np.concatenate((left_ids, right_ids)))
+    label, at, to = np.arange(len(ids)), np.searchsorted(ids, left_ids), np.searchsorted(ids, right_ids)
     rows_a_strip = max(1, STRIP // max(1, len(right)))
     for lo in range(0, len(left), rows_a_strip):
         hi = min(lo + rows_a_strip, len(left))
@@ -242,40 +301,54 @@ def link_wide(left_ids: np.ndarray, left: np.ndarray, right_ids: np.ndarray, rig
         apart = np.zeros((hi - lo, d - c), np.uint16)
         for w in range(left.shape[1]):
             apart += np.bitwise_count(left[lo:hi, w, None] ^ right[None, c:d, w])
-        rows, cols = np.nonzero(apart <= radius)
-        for x, y in zip(left_ids[lo + rows].tolist(), right_ids[c + cols].tolist(), strict=True):
-            if x != y:
-                forest.join(x, y)
+        join_near(apart <= radius, at[lo:hi], to[c:d], label)
+    _pass_on(ids, label, forest)
+
+
+def _pairs_of_tiles(tiles: DataFrame, run, near: Column) -> DataFrame:
+    """Edges of the pairs of tiles (a, b; a row of numbers each) that are near. Workers read the tiles from the shared folder."""
+    a, b = (tiles.select(F.struct("*").alias(x)) for x in ("a", "b"))
+    n = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return a.join(b, near).repartition(n, F.xxhash64("a", "b")).mapInArrow(run, "u long, v long")
 
 
 def wide_links(distinct: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, tile: int = WIDE_TILE) -> DataFrame:
     """Edges (u, v) that connect the rows (id, fp, n) whose fingerprints are within the radius.
 
-    Texts so similar have numbers of shingles in that ratio, so tiles are steps of it and meet their own and the next step.
+    Sets of shingles of that similarity have numbers in that ratio, so tiles are steps of it and meet their own and the next step: no
+    pair that similar is missed. Tiles are files in the shared folder; what is dealt to tasks are pairs of their numbers, step by step.
     """
+    spark = distinct.sparkSession
+    folder, words = new_folder(spark, "simhash-tiles"), WIDE
     step = F.floor(F.ln(F.greatest("n", F.lit(1)).cast("double")) / -math.log(similarity)).cast("int")
     keyed = distinct.select("id", "fp", step.alias("step"))
     # A few hundred rows: steps grow with the logarithm of a text's length.
     sizes = cut_lineage(keyed.groupBy("step").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks")))
-    tiles = keyed.join(F.broadcast(sizes), "step").groupBy("step", F.pmod("id", F.col("blocks")).cast("int").alias("block")).agg(F.collect_list(F.struct("id", "fp")).alias("rows"))
-    tiles = cut_lineage(tiles)
-    left = tiles.select(F.col("rows").alias("left"), F.col("step").alias("from"), F.col("block").alias("left_block"), F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step"))
-    pairs = left.join(tiles.withColumnRenamed("rows", "right"), "step").filter((F.col("from") != F.col("step")) | (F.col("left_block") <= F.col("block")))
+    dealt = keyed.join(F.broadcast(sizes), "step").withColumn("block", F.pmod("id", F.col("blocks")).cast("int"))
+
+    def write(group: pa.Table) -> pa.Table:
+        step, block = (group.column(c)[0].as_py() for c in ("step", "block"))
+        ids = group.column("id").to_numpy().view(np.uint64)
+        fps = np.frombuffer(b"".join(group.column("fp").to_pylist()), "<u8").reshape(len(ids), words)
+        order = np.argsort(ids)
+        hash_store.write(folder, f"tile{step}-{block}", ids[order], [("<u8", fps[order, w]) for w in range(words)])
+        return pa.table({"step": pa.array([step], pa.int32()), "block": pa.array([block], pa.int32())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
         for batch in batches:
-            for k in range(batch.num_rows):
+            for pair in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
                 sides = []
-                for side in ("left", "right"):
-                    rows = batch.column(side)[k].values
-                    ids, fps = rows.field("id").to_numpy(), b"".join(rows.field("fp").to_pylist())
-                    sides += [ids.view(np.uint64), np.frombuffer(fps, "<u8").reshape(len(ids), -1)]
+                for x in pair:
+                    ids, fps = hash_store.mapped(folder, f"tile{x['step']}-{x['block']}", ("<u8",) * words)
+                    sides += [np.array(ids), np.stack(fps, axis=1)]
                 link_wide(*sides, radius, forest)
         yield from _stars(forest)
 
-    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.select("left", "right").repartition(n).mapInArrow(run, "u long, v long")
+    tiles = cut_lineage(dealt.select("step", "block", "id", "fp").groupBy("step", "block").applyInArrow(write, "step int, block int"))
+    same, after = F.col("a.step") == F.col("b.step"), F.col("a.step") + 1 == F.col("b.step")
+    edges = _pairs_of_tiles(tiles, run, same & (F.col("a.block") <= F.col("b.block")))
+    return edges.union(_pairs_of_tiles(tiles, run, after))
 
 
 def verify_tile(left: list[tuple], right: list[tuple], radius: int, similarity: float, forest: Forest) -> None:
@@ -301,33 +374,72 @@ def verify_tile(left: list[tuple], right: list[tuple], radius: int, similarity:
 def verified(docs: DataFrame, candidates: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, tile: int = VERIFY_TILE) -> DataFrame:
     """Edges (u, v) that connect the rows linked by pairs within the radius and of at least so similar sets of shingles.
 
-    Pairs are sought within each component of the candidates' edges, in tiles, so that no table of pairs arises. The shingles of
-    one text for each fingerprint of a candidate are shuffled, those of other texts are not.
+    Pairs are sought within each component of the candidates' edges, so that no table of pairs arises. A component of more than a tile is
+    written to tiles in the shared folder, and pairs of their numbers are dealt to tasks. The shingles of one text for each fingerprint of
+    a candidate are shuffled, those of other texts are not.
     """
-    label = components(candidates).withColumnRenamed("u", "id")
-    label = broadcast_if_few(cut_lineage(label))
+    folder = new_folder(docs.sparkSession, "shingle-tiles")
+    label = broadcast_if_few(cut_lineage(components(candidates).withColumnRenamed("u", "id")))
     sets = wide_fingerprints(docs, sets=True).withColumn("id", F.xxhash64("fp", "n")).join(label, "id", "left_semi")
     sets = sets.groupBy("id").agg(F.first("fp").alias("fp"), F.first("hashes").alias("hashes")).join(label, "id")
-    blocks = label.groupBy("root").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))
-    tiles = sets.join(blocks, "root").groupBy("root", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")).agg(F.collect_list(F.struct("id", "fp", "hashes")).alias("left"), F.first("blocks").alias("blocks"))
-    tiles = cut_lineage(tiles)
-    large = tiles.filter("blocks > 1").select("root", "block", "left")
-    across = large.join(large.withColumnsRenamed({"left": "right", "block": "other"}), "root").filter("block < other").select("left", "right")
-    pairs = tiles.select("left", F.slice("left", 1, 0).alias("right")).union(across)
+    blocks = cut_lineage(label.groupBy("root").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks")))
+    many = cut_lineage(blocks.filter("blocks > 1"))
+    sets = cut_lineage(hot_join(sets, blocks, "root").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).select("root", "block", "blocks", "id", "fp", "hashes"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows_of(table: pa.Table) -> list[tuple]:
+        ids = table.column("id").to_numpy().view(np.uint64).tolist()
+        return list(zip(ids, table.column("fp").to_pylist(), table.column("hashes").to_pylist(), strict=True))
+
+    def whole(group: pa.Table) -> pa.Table:
+        forest = Forest()
+        verify_tile(rows_of(group), [], radius, similarity, forest)
+        found = list(_stars(forest))
+        return pa.Table.from_batches(found) if found else pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+
+    edges = sets.groupBy("root", "block").applyInArrow(whole, "u long, v long")
+    if many.isEmpty():
+        return edges
+
+    def write(group: pa.Table) -> pa.Table:
+        root, block = (group.column(c)[0].as_py() for c in ("root", "block"))
+        rows = sorted(rows_of(group))
+        ends = np.cumsum([len(h) // 8 for *_, h in rows])
+        fps = np.frombuffer(b"".join(f for _, f, _ in rows), "<u8").reshape(len(rows), -1)
+        name = f"shingles{root}-{block}"
+        hash_store.write(folder, name, np.array([i for i, *_ in rows], np.uint64), [("<u8", ends), *(("<u8", w) for w in fps.T)])
+        hash_store.write(folder, f"{name}-hashes", np.frombuffer(b"".join(h for *_, h in rows), "<u8"), [])
+        return pa.table({"root": pa.array([root], pa.int64()), "block": pa.array([block], pa.int32())})
+
+    def read(tile: dict) -> list[tuple]:
+        name = f"shingles{tile['root']}-{tile['block']}"
+        ids, (ends, *fps) = hash_store.mapped(folder, name, ("<u8",) * (1 + WIDE))
+        hashes, _ = hash_store.mapped(folder, f"{name}-hashes", ())
+        ends = ends.astype(np.int64)
+        starts, fps = np.concatenate(([0], ends[:-1])), np.stack(fps, axis=1)
+        return [(i, f.tobytes(), hashes[a:b].tobytes()) for i, f, a, b in zip(ids.tolist(), fps, starts.tolist(), ends.tolist(), strict=True)]
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
         for batch in batches:
-            for k in range(batch.num_rows):
-                sides = []
-                for side in ("left", "right"):
-                    rows = batch.column(side)[k].values
-                    ids = rows.field("id").to_numpy(zero_copy_only=False).view(np.uint64).tolist()
-                    sides.append(list(zip(ids, rows.field("fp").to_pylist(), rows.field("hashes").to_pylist(), strict=True)))
-                verify_tile(*sides, radius, similarity, forest)
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                verify_tile(read(a), read(b), radius, similarity, forest)
         yield from _stars(forest)
 
-    return pairs.mapInArrow(run, "u long, v long")
+    tiles = cut_lineage(sets.filter("blocks > 1").groupBy("root", "block").applyInArrow(write, "root long, block int"))
+    return edges.union(_pairs_of_tiles(tiles, across, (F.col("a.root") == F.col("b.root")) & (F.col("a.block") < F.col("b.block"))))
+
+
+def _copies(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, id), distinct fingerprints (id, fp, n), and the edges that connect near copies."""
+    hashed = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    fps = cut_lineage(wide_fingerprints(hashed, keep=["doc_id", "text_hash"]).withColumn("id", F.xxhash64("fp", "n")))
+    distinct = cut_lineage(fps.groupBy("id").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min("doc_id").alias("least"), F.min(_key("doc_id", "text_hash")).alias("stays")))
+    return fps, distinct, verified(docs, cut_lineage(wide_links(distinct)))
+
+
+def _key(doc_id: str, text_hash: str) -> Column:
+    """What tells the rows of a component apart: ids ascending, rows without one last, equal ids by their text."""
+    return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("stays_id"), F.col(text_hash).alias("stays_hash"))
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -337,22 +449,28 @@ def near_copies(docs: DataFrame) -> DataFrame:
     deviation of 6, so the radius lies four deviations above. It only finds candidates; their shingles decide. Copies meet as one
     fingerprint first.
     """
-    fps = cut_lineage(wide_fingerprints(docs).withColumn("id", F.xxhash64("fp", "n")))
-    distinct = cut_lineage(fps.groupBy("id").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min("doc_id").alias("least")))
-    edges = verified(docs, cut_lineage(wide_links(distinct)))
-    return fps.join(_component_ids(distinct, edges, "id"), "id").select("doc_id", "component_id")
+    fps, distinct, edges = _copies(docs)
+    return hot_join(fps, _component_ids(distinct, edges, "id"), "id").select("doc_id", "component_id")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """One document of each component of near copies, that of the least doc_id, with all its columns.
+    """One document of each component of near copies, with all its columns: the one of least doc_id.
 
-    Of rows that repeat a doc_id one stays, whichever; rows without one count as one document.
+    A row is told by its doc_id and text, so rows that share a doc_id, or have none, with unlike texts are documents of their own; a row
+    without a doc_id stays only where its component has none with one. Of rows equal in both one stays, the first by its other columns.
     """
-    found = near_copies(docs)
-    stay = cut_lineage(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")))
-    kept = docs.join(stay, docs.doc_id.eqNullSafe(stay.stays), "left_semi")
-    repeated = not stay.groupBy("stays").count().filter("count > 1").isEmpty()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    _, distinct, edges = _copies(docs)
+    rooted = _rooted(distinct.select("id", "stays"), edges, "id")
+    stay = cut_lineage(rooted.groupBy("root").agg(F.min("stays").alias("stays")).select("stays.stays_id", "stays.stays_hash"))
+    renamed, back = set_aside(docs, ["stays_id", "stays_hash", "at"])
+    kept = renamed.join(stay, F.col("doc_id").eqNullSafe(F.col("stays_id")) & (F.xxhash64("text") == F.col("stays_hash")), "left_semi")
+    keys = renamed.select("doc_id", F.xxhash64("text").alias("stays_hash"))
+    if not keys.groupBy("doc_id", "stays_hash").count().filter("count > 1").isEmpty():
+        # A row each for the repeated: equal texts, so any other column may differ.
+        rest = [F.to_json(F.struct(c)) for c in renamed.columns if c not in ("doc_id", "text")]
+        first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*rest)
+        kept = kept.withColumn("at", F.row_number().over(first)).filter("at = 1").drop("at")
+    return kept.withColumnsRenamed(back)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
