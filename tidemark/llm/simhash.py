@@ -194,9 +194,9 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
 HOT, HOT_KEYS = 1_000_000, 10_000
 
 
-def hot_join(rows: DataFrame, named: DataFrame, key: str) -> DataFrame:
-    """Joins rows to a table that has each key once. Keys that hold more than HOT rows go to every task, HOT_KEYS of them at most."""
-    total = rows.count()
+def hot_join(rows: DataFrame, named: DataFrame, key: str, total: int | None = None) -> DataFrame:
+    """Joins rows, so many, to a table that has each key once. Keys that hold more than HOT rows go to every task, HOT_KEYS of them at most."""
+    total = rows.count() if total is None else total
     if total <= HOT:
         return rows.join(named, key)
     often = cut_lineage(rows.groupBy(key).count().filter(F.col("count") > max(HOT, total // HOT_KEYS)).select(key))
@@ -213,17 +213,16 @@ def components(edges: DataFrame) -> DataFrame:
     Each round every node points to its neighbour of least random number (or itself), then to where that points; nodes that point to
     one are contracted. Edges shrink by a constant factor a round, in expectation, until there are none. No cap on rounds.
     """
-    left = cut_lineage(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u <> v").distinct())
-    maps: list[DataFrame] = []
-    while not left.isEmpty():
+    tidy = lambda rows, u, v: cut_lineage(rows.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).filter("u <> v").distinct())
+    left, maps = tidy(edges, "u", "v"), []
+    while n := left.count():
         number = lambda c: F.struct(F.xxhash64(F.lit(len(maps)), c).alias("number"), F.col(c).alias("node"))  # noqa: B023, E731
         both = left.select("u", number("v").alias("to")).union(left.select(F.col("v").alias("u"), number("u").alias("to")))
-        points = cut_lineage(both.groupBy("u").agg(F.min("to").alias("to")).select("u", F.least("to", number("u"))["node"].alias("mid")))
-        jumped = cut_lineage(hot_join(points, points.select(F.col("u").alias("mid"), F.col("mid").alias("root")), "mid").select("u", "root"))
+        points = both.groupBy("u").agg(F.min("to").alias("to")).select("u", F.least("to", number("u"))["node"].alias("mid"))
+        jumped = cut_lineage(hot_join(points, points.select(F.col("u").alias("mid"), F.col("mid").alias("root")), "mid", 2 * n).select("u", "root"))
         maps.append(jumped)
-        moved = hot_join(left, jumped, "u").select("v", F.col("root").alias("ru"))
-        moved = hot_join(moved, jumped.withColumnsRenamed({"u": "v", "root": "rv"}), "v")
-        left = cut_lineage(moved.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).filter("u <> v").distinct())
+        moved = hot_join(left, jumped, "u", n).select("v", F.col("root").alias("ru"))
+        left = tidy(hot_join(moved, jumped.select(F.col("u").alias("v"), F.col("root").alias("rv")), "v", n), "ru", "rv")
     if not maps:
         return left.select("u", F.col("v").alias("root"))
     # What a round's nodes became in the end, from the last round back.
