@@ -207,31 +207,49 @@ def hot_join(rows: DataFrame, named: DataFrame, key: str, total: int | None = No
     return rows.join(often, key, "left_anti").join(named, key).unionByName(apart)
 
 
+def _merged(edges: DataFrame) -> DataFrame:
+    """Edges that connect the same nodes, fewer: those of a node meet in a task, which gives one for each node that is not its component's least there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+        for batch in batches:
+            for u, v in zip(*(batch.column(c).to_numpy().view(np.uint64).tolist() for c in ("u", "v")), strict=True):
+                forest.join(u, v)
+        yield from _stars(forest)
+
+    return edges.select("u", "v").filter("u <> v").repartition("u").mapInArrow(run, "u long, v long").filter("u <> v")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """u and root, a node that stands for its component, for all nodes with an edge.
 
-    Each round every node points to its neighbour of least random number (or itself), then to where that points; nodes that point to
-    one are contracted. Edges shrink by a constant factor a round, in expectation, until there are none. No cap on rounds.
+    Edges of a node are merged where they meet first. Then, each round, every node points to its least neighbour (or itself), and nodes that
+    point to one are contracted: stars with the least node in the middle, which tasks give, are done in one round. Every other round goes
+    by random numbers and points one step on, so that whatever is left shrinks by a constant factor in two, in expectation. No cap on rounds.
     """
     tidy = lambda rows, u, v: cut_lineage(rows.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).filter("u <> v").distinct())
-    left, maps = tidy(edges, "u", "v"), []
+    left, maps = tidy(_merged(edges), "u", "v"), []
     while n := left.count():
-        number = lambda c: F.struct(F.xxhash64(F.lit(len(maps)), c).alias("number"), F.col(c).alias("node"))  # noqa: B023, E731
+        chance = len(maps) % 2
+        # In order of the unsigned numbers, as in the tasks.
+        number = lambda c: F.struct((F.xxhash64(F.lit(len(maps)), c) if chance else (F.col(c) < 0).cast("long")).alias("number"), F.col(c).alias("node"))  # noqa: B023, E731
         both = left.select("u", number("v").alias("to")).union(left.select(F.col("v").alias("u"), number("u").alias("to")))
-        points = both.groupBy("u").agg(F.min("to").alias("to")).select("u", F.least("to", number("u"))["node"].alias("mid"))
-        jumped = cut_lineage(hot_join(points, points.select(F.col("u").alias("mid"), F.col("mid").alias("root")), "mid", 2 * n).select("u", "root"))
-        maps.append(jumped)
-        moved = hot_join(left, jumped, "u", n).select("v", F.col("root").alias("ru"))
-        left = tidy(hot_join(moved, jumped.select(F.col("u").alias("v"), F.col("root").alias("rv")), "v", n), "ru", "rv")
+        points = both.groupBy("u").agg(F.min("to").alias("to")).select("u", F.least("to", number("u"))["node"].alias("root"))
+        if chance:
+            points = hot_join(points.withColumnRenamed("root", "mid"), points.withColumnRenamed("u", "mid"), "mid", 2 * n).select("u", "root")
+        points = cut_lineage(points)
+        maps.append((n, points))
+        moved = hot_join(left, points, "u", n).select("v", F.col("root").alias("ru"))
+        left = tidy(hot_join(moved, points.select(F.col("u").alias("v"), F.col("root").alias("rv")), "v", n), "ru", "rv")
     if not maps:
         return left.select("u", F.col("v").alias("root"))
     # What a round's nodes became in the end, from the last round back.
-    label = maps.pop()
+    label = maps.pop()[1]
     while maps:
-        before = maps.pop()
+        n, before = maps.pop()
         later = before.select(F.col("root").alias("mid")).distinct().join(label.withColumnRenamed("u", "mid"), "mid", "left")
         later = later.select("mid", F.coalesce("root", "mid").alias("root"))
-        label = cut_lineage(hot_join(before.withColumnRenamed("root", "mid"), later, "mid").select("u", "root"))
+        label = cut_lineage(hot_join(before.withColumnRenamed("root", "mid"), later, "mid", 2 * n).select("u", "root"))
     return label
 
 
@@ -370,19 +388,21 @@ def verify_tile(left: list[tuple], right: list[tuple], radius: int, similarity:
                 forest.join(both[i][0], both[j][0])
 
 
-def verified(docs: DataFrame, candidates: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, tile: int = VERIFY_TILE) -> DataFrame:
+def verified(docs: DataFrame, candidates: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, tile: int = VERIFY_TILE, texts: DataFrame | None = None) -> DataFrame:
     """Edges (u, v) that connect the rows linked by pairs within the radius and of at least so similar sets of shingles.
 
     Pairs are sought within each component of the candidates' edges, so that no table of pairs arises. A component of more than a tile is
-    written to tiles in the shared folder, and pairs of their numbers are dealt to tasks. The shingles of one text for each fingerprint of
-    a candidate are shuffled, those of other texts are not.
+    written to tiles in the shared folder, and pairs of their numbers are dealt to tasks. With ``texts`` (id, stays_hash: a text for each
+    fingerprint) only those of candidates are read again and shingled.
     """
     folder = new_folder(docs.sparkSession, "shingle-tiles")
     label = broadcast_if_few(cut_lineage(components(candidates).withColumnRenamed("u", "id")))
+    if texts is not None:
+        wanted = broadcast_if_few(cut_lineage(texts.join(label, "id", "left_semi").select("stays_hash").distinct()))
+        docs = docs.select("doc_id", "text").join(wanted, F.xxhash64("text") == F.col("stays_hash"), "left_semi")
     sets = wide_fingerprints(docs, sets=True).withColumn("id", F.xxhash64("fp", "n")).join(label, "id", "left_semi")
     sets = sets.groupBy("id").agg(F.first("fp").alias("fp"), F.first("hashes").alias("hashes")).join(label, "id")
     blocks = cut_lineage(label.groupBy("root").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks")))
-    many = cut_lineage(blocks.filter("blocks > 1"))
     sets = cut_lineage(hot_join(sets, blocks, "root").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).select("root", "block", "blocks", "id", "fp", "hashes"))
 
     def rows_of(table: pa.Table) -> list[tuple]:
@@ -396,7 +416,7 @@ def verified(docs: DataFrame, candidates: DataFrame, radius: int = WIDE_RADIUS,
         return pa.Table.from_batches(found) if found else pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
 
     edges = sets.groupBy("root", "block").applyInArrow(whole, "u long, v long")
-    if many.isEmpty():
+    if blocks.filter("blocks > 1").isEmpty():
         return edges
 
     def write(group: pa.Table) -> pa.Table:
@@ -433,7 +453,7 @@ def _copies(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     hashed = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     fps = cut_lineage(wide_fingerprints(hashed, keep=["doc_id", "text_hash"]).withColumn("id", F.xxhash64("fp", "n")))
     distinct = cut_lineage(fps.groupBy("id").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min("doc_id").alias("least"), F.min(_key("doc_id", "text_hash")).alias("stays")))
-    return fps, distinct, verified(docs, cut_lineage(wide_links(distinct)))
+    return fps, distinct, verified(docs, cut_lineage(wide_links(distinct)), texts=distinct.select("id", "stays.stays_hash"))
 
 
 def _key(doc_id: str, text_hash: str) -> Column:
