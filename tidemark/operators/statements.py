@@ -50,11 +50,15 @@ def metrics(table: DataFrame) -> DataFrame:
     return out.withColumns({m: margin(c(over), c("Revenue")) for m, over in dims.MARGINS.items()}).select(*KEY, "period", *[c(m) for m in dims.METRICS])
 
 
-def latest_periods(table: DataFrame) -> DataFrame:
-    """The newest periods that report revenue, three years and four quarters, with their rank; amounts in millions."""
-    w = Window.partitionBy(*KEY).orderBy(F.desc("period"))
+def latest_periods(table: DataFrame, order: str | None = None, reported: bool = True) -> DataFrame:
+    """The newest periods that report revenue, three years and four quarters, with their rank; amounts in millions.
+
+    With ``order``, a column, the first ones by it; with reported False, whether they report revenue or not: periods as delivered.
+    """
+    w = Window.partitionBy(*KEY).orderBy(order or F.desc("period"))
     most = F.create_map(*[F.lit(x) for kv in dims.PERIODS.items() for x in kv])[F.col("freq")]
-    found = table.filter(F.col("Revenue").isNotNull()).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most)
+    rows = table.filter(F.col("Revenue").isNotNull()) if reported else table
+    found = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most)
     scaled = [F.col(f"`{m}`") if "%" in m else (F.col(f"`{m}`") / 1_000_000).alias(m) for m in dims.METRICS]
     return found.select(*KEY, "period", "rank", *scaled)
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import dims
-from tidemark.functions import entities as E
 from tidemark.functions import numbers as N
 from tidemark.functions import text as T
 from tidemark.operators import graph as G
@@ -229,11 +228,6 @@ def scoped_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name", "c_mktsegment").agg(F.count("*").alias("customers"))
 
 
-def canonical_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The category and canonical name of every entity that is listed, from the dimension itself."""
-    return dims.categories(spark).select("profile", "name", E.category(F.col("name"), "index").alias("index_category"), E.canonical(F.col("name")).alias("canonical"))
-
-
 def line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     return table(spark, sf_dir, "documents").select("doc_id", F.size(F.filter(F.split(T.strip(text), "\n"), lambda x: T.strip(x) != "")).cast("long").alias("full_lines"), F.char_length(text).cast("long").alias("chars"))

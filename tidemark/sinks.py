@@ -99,8 +99,8 @@ def write_text(page: DataFrame, column: str, folder: str) -> None:
 
 
 def write_by(reports: DataFrame, column: str, folder: str) -> None:
-    """Reports dealt out into folders by a column."""
-    reports.repartition(column).write.mode("overwrite").partitionBy(column).parquet(folder)
+    """Reports dealt out into folders by a column; a hot folder is written by many tasks."""
+    reports.repartitionByRange(column, "ticker").write.mode("overwrite").partitionBy(column).parquet(folder)
 
 
 def append_new(fresh: DataFrame, existing: DataFrame, folder: str) -> None:

@@ -19,11 +19,9 @@ def _path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def read_reports(spark: SparkSession, root: str, names: str = "report") -> DataFrame:
-    """ticker, company, sector, path, content of every file under the root that is named so. The path is the key's source, not line 1."""
-    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
-    rows = files.select(_path().alias("path"), F.col("value").alias("content")).filter(F.col("path").rlike(NAMES[names]))
-    return rows.select(
+def named(files: DataFrame, names: str = "report") -> DataFrame:
+    """ticker, company, sector, path, content of the files (path, content) that are named so. The path is the key's source, not line 1."""
+    return files.filter(F.col("path").rlike(NAMES[names])).select(
         F.nullif(F.regexp_extract("path", r"/(\d{4})[^/]*\.md$", 1), F.lit("")).alias("ticker"),
         F.nullif(F.regexp_extract("path", r"/\d{4}_([^/]+)\.md$", 1), F.lit("")).alias("company"),
         F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("sector"),
@@ -32,6 +30,12 @@ def read_reports(spark: SparkSession, root: str, names: str = "report") -> DataF
     )
 
 
+def read_reports(spark: SparkSession, root: str, names: str = "report") -> DataFrame:
+    """The reports among the files under the root."""
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
+    return named(files.select(_path().alias("path"), F.col("value").alias("content")), names)
+
+
 def last_wins(reports: DataFrame) -> DataFrame:
     """One report a ticker: that of the last path."""
     rest = [c for c in reports.columns if c != "ticker"]
@@ -64,8 +68,8 @@ def parse_reports(reports: DataFrame) -> DataFrame:
 
 
 def write_snapshot(reports: DataFrame, folder: str) -> None:
-    """A new version of all reports as Parquet by sector, so that later scans skip sectors."""
-    reports.repartition("sector").write.mode("errorifexists").partitionBy("sector").parquet(folder)
+    """A new version of all reports as Parquet by sector, so that later scans skip sectors. A hot sector is written by many tasks."""
+    reports.repartitionByRange("sector", "ticker").write.mode("errorifexists").partitionBy("sector").parquet(folder)
 
 
 def read_snapshot(spark: SparkSession, folder: str) -> DataFrame:
