@@ -93,6 +93,89 @@ def test_language(spark, sf, rows):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def plain_grams(text):
+    """All 2-, 3- and 4-grams of the folded bytes, blanks before them."""
+    folded = b"   " + b"".join(w + b" " for w in re.findall(rb"[a-z\x80-\xff]+", text.translate(LOWER).encode()))
+    return [folded[i - k + 1 : i + 1] for i in range(3, len(folded)) for k in (2, 3, 4)]
+
+
+def bucket(gram):
+    k = len(gram)
+    code = (int.from_bytes(gram, "big") ^ (k * 0x1F123BB5 & 0xFFFFFFFF)) * 0x9E3779B1 & 0xFFFFFFFF
+    return code >> (33 - language.BUCKETS.bit_length())
+
+
+def test_language_model_is_the_plain_one():
+    """Odds, margins and decoding against dictionaries; a text's are the same whatever stands around it."""
+    train = {"de": "das haus und der garten, über die straße", "en": "the house and the garden in winter", "fr": "la maison et le jardin où été"}
+    n = np.zeros((3, language.BUCKETS))
+    for i, text in enumerate(train.values()):
+        for g in plain_grams(text):
+            n[i, bucket(g)] += 1
+    codes = language.Codes(list(train), n)
+    texts = ["the garden", "das haus", "la maison et", "x", "winter straße", "the house la maison"]
+    p = [(n[i] + 0.5) / (n[i] + 0.5).sum() for i in range(3)]
+    (chunk,) = language.arrays.chunks(pa.array(texts))
+    together = codes.margins(*chunk[2:])
+    for text, margins in zip(texts, together, strict=True):
+        (one,) = language.arrays.chunks(pa.array([text]))
+        assert np.allclose(codes.margins(*one[2:])[0], margins, atol=1e-5)
+        want = []
+        for bit in codes.code.T:
+            sides = [sum(p[i] for i in range(3) if bit[i] == s) / sum(bit == s) for s in (1, -1)]
+            want.append(np.mean([math.log(sides[0][bucket(g)]) - math.log(sides[1][bucket(g)]) for g in plain_grams(text)]))
+        assert np.allclose(margins, want, atol=1e-4), text
+        loss = [sum(w * math.log1p(math.exp(-language.SHARPNESS * m * c)) for w, m, c in zip(codes.weight, want, code, strict=True)) for code in codes.code]
+        share = np.exp(-language.CERTAINTY * (np.array(loss) - min(loss)))
+        best, score, _ = codes.decode(margins[None])
+        assert best[0] == np.argmin(loss) and score[0] == pytest.approx(share.max() / share.sum(), rel=1e-3)
+
+
+def test_texts_in_two_languages_are_ambiguous(spark):
+    """Half and half is flagged and goes, a text in one language or with a quarter of another stays, one without letters goes."""
+    import random
+
+    from tests.llm.conftest import frame, prose
+
+    rng = random.Random(5)
+    pure = [[i, prose(rng, ("en", "de", "fr")[i % 3], 80), ("en", "de", "fr")[i % 3], "s"] for i in range(150)]
+    half = [[1000 + i, prose(rng, "en", 60) + " " + prose(rng, "de", 53), "en", "s"] for i in range(20)]
+    mostly = [[2000 + i, prose(rng, "fr", 90) + " " + prose(rng, "en", 20), "fr", "s"] for i in range(10)]
+    docs = frame(spark, pure + half + mostly + [[3000, "1 2 3", "en", "s"]])
+    codes = language.fit(docs.filter("doc_id < 1000"))
+    got = {r.doc_id: r for r in language.identify(docs.select("doc_id", "text"), codes).collect()}
+    assert not any(got[r[0]].ambiguous for r in pure + mostly) and sum(got[r[0]].ambiguous for r in half) >= 14
+    kept = {r.doc_id for r in language.in_a_language(docs, codes).collect()}
+    assert kept == {d for d, r in got.items() if not r.ambiguous} - {3000}
+
+
+def test_long_texts_are_like_short_ones(monkeypatch):
+    """Fingerprints, languages and base counts of a text in pieces are those of the whole."""
+    rng = np.random.default_rng(4)
+    text = " ".join(f"w{x}" + ("\n" if x % 9 == 0 else "") for x in rng.zipf(1.3, 30_000) % 5000)
+    (chunk,) = fingerprints.arrays.chunks(pa.array([text]), 1 << 30)
+    whole, counts = fingerprints.signatures(*chunk[2:]), quality.base_counts(*chunk[2:])
+    monkeypatch.setattr(fingerprints.arrays, "CHUNK_BYTES", 10_000)
+    monkeypatch.setattr(fingerprints, "TERMS", 512)
+    assert (fingerprints.signatures(*chunk[2:])[0] == whole[0]).all()
+    assert {k: v.tolist() for k, v in quality.base_counts(*chunk[2:]).items()} == {k: v.tolist() for k, v in counts.items()}
+    assert [int(counts[c][0]) for c in quality.BASE] == list(base(text))
+
+
+def test_ranges(spark):
+    """A binary search in the plan, of one size for any number of bounds."""
+    for bounds in ([], [5], [1, 3, 9], list(range(0, 9000, 3))):
+        keys = [-5, 0, 1, 2, 3, 4, 5, 8, 9, 10, 8997, 10**12]
+        got = spark.createDataFrame([(k,) for k in keys], "k long").select("k", fingerprints.range_of(spark_col("k"), bounds).alias("r"))
+        assert {r.k: r.r for r in got.collect()} == {k: sum(b <= k for b in bounds) for k in keys}
+
+
+def spark_col(name):
+    from pyspark.sql import functions as F
+
+    return F.col(name)
+
+
 def test_codewords_keep_apart():
     for n in (2, 3, 4, 6):
         code = language.codewords(n)

@@ -12,12 +12,14 @@ tables at two independent parts of the hash. Nothing is gathered from the corpus
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from . import arrays
 from .common import pick, table
@@ -25,6 +27,8 @@ from .common import pick, table
 SAMPLES = 64
 #: Bytes of text that are fingerprinted at a time.
 CHUNK = 1 << 20
+#: Terms that are drawn for at a time.
+TERMS = 1 << 16
 _ROWS = 4096
 _tables: dict[int, tuple[np.ndarray, ...]] = {}
 
@@ -61,26 +65,44 @@ def _heights(terms: np.ndarray, weights: np.ndarray, samples: int) -> np.ndarray
     return c
 
 
+def _terms(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the different words; text, word and weight of all words of all texts, by text. A long text is read in pieces."""
+    n = len(offsets) - 1
+    if n == 1 and len(buf) > 2 * arrays.CHUNK_BYTES:
+        parts = []
+        for _, _, part, part_offsets, _ in arrays.pieces(pa.array([memoryview(buf)], pa.large_binary()), arrays.CHUNK_BYTES):
+            starts, ends, _ = arrays.spans(part, part_offsets)
+            parts.append(np.unique(arrays.span_hashes(part, starts, ends), return_counts=True))
+        vocab, back = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+        weight = np.bincount(back, np.concatenate([c for _, c in parts]), len(vocab)).astype(np.int64)
+        return vocab, np.zeros(len(vocab), np.int64), np.arange(len(vocab)), weight
+    starts, ends, first = arrays.spans(buf, offsets)
+    vocab, ids = np.unique(arrays.span_hashes(buf, starts, ends), return_inverse=True)
+    keys = np.sort(np.repeat(np.arange(n), np.diff(first)) * max(1, len(vocab)) + ids)
+    at, weight = arrays.runs(keys)
+    doc, ids = np.divmod(keys[at], max(1, len(vocab)))
+    return vocab, doc, ids, weight
+
+
 def signatures(buf: np.ndarray, offsets: np.ndarray, samples: int = SAMPLES) -> tuple[np.ndarray, np.ndarray]:
     """Signatures (a row of 16-bit values for each text) and which texts have no word; those have a row of zeros."""
-    starts, ends, first = arrays.spans(buf, offsets)
+    vocab, doc, ids, weight = _terms(buf, offsets)
     n = len(offsets) - 1
-    out, empty = np.zeros((n, samples), np.uint16), np.diff(first) == 0
-    if not len(starts):
+    out, empty = np.zeros((n, samples), np.uint16), np.bincount(doc, minlength=n) == 0
+    if not len(doc):
         return out, empty
-    vocab, ids = np.unique(arrays.span_hashes(buf, starts, ends), return_inverse=True)
-    doc = np.repeat(np.arange(n), np.diff(first))
-    keys = np.sort(doc * len(vocab) + ids)
-    at, weight = arrays.runs(keys)
-    doc, ids = np.divmod(keys[at], len(vocab))
+    # A word of one weight is drawn for once in all texts; many at a time would be large.
     weighted, back = np.unique(ids * np.int64(1 << 31) + weight, return_inverse=True)
-    height = _heights(vocab[weighted >> 31], weighted & ((1 << 31) - 1), samples)
-    docs_first = arrays.runs(doc)[0]
-    for lo in range(0, len(docs_first), 64):
-        hi = min(lo + 64, len(docs_first))
-        a, b = docs_first[lo], docs_first[hi] if hi < len(docs_first) else len(doc)
-        least = np.minimum.reduceat(height[back[a:b]], docs_first[lo:hi] - a, axis=0)
-        out[doc[docs_first[lo:hi]]] = (least.view(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(16)
+    drawn = lambda w: _heights(vocab[w >> 31], w & ((1 << 31) - 1), samples)
+    table = drawn(weighted) if len(weighted) <= TERMS else None
+    least = np.full((n, samples), np.inf, np.float32)
+    for lo in range(0, len(doc), TERMS // 4):
+        part = slice(lo, lo + TERMS // 4)
+        height = drawn(weighted[back[part]]) if table is None else table[back[part]]
+        at, _ = arrays.runs(doc[part])
+        rows = doc[part][at]
+        least[rows] = np.minimum(least[rows], np.minimum.reduceat(height, at, axis=0))
+    out[~empty] = (least[~empty].view(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(16)
     return out, empty
 
 
@@ -107,12 +129,31 @@ def fingerprint(df: DataFrame, text: str = "text", samples: int = SAMPLES, out:
     return df.mapInArrow(run, schema)
 
 
-def _search(value: Column, bounds: list[int], lo: int, hi: int) -> Column:
-    """The number of bounds that are not above the value, as a balanced tree of comparisons."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(value < bounds[mid], _search(value, bounds, lo, mid)).otherwise(_search(value, bounds, mid + 1, hi))
+def whole_id(docs: DataFrame) -> Column:
+    """The doc_id as a long, the least one of all for a null. Ids must be whole numbers."""
+    kind = docs.schema["doc_id"].dataType
+    if not isinstance(kind, IntegralType):
+        raise ValueError(f"doc_id must be a whole number, not {kind.simpleString()}")
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+
+
+def _listed(numbers: list[int]) -> Column:
+    """An array of constants, one expression whatever its length."""
+    return F.from_json(F.lit(json.dumps(numbers)), "array<long>")
+
+
+def range_of(key: Column, bounds: list[int]) -> Column:
+    """The number of bounds that are not above the key: a binary search in a constant array, so plans do not grow with the bounds."""
+    steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)] if bounds else []
+    if not steps:
+        return F.lit(0)
+    step = lambda at, by: F.when(F.get(_listed(bounds), at + by - 1) <= key, at + by).otherwise(at)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+
+
+def bounds_of(key: Column, docs: DataFrame, n: int) -> list[int]:
+    """Keys that cut the rows into about so many equal ranges."""
+    return sorted({int(x) for x in docs.select(key.cast("double").alias("key")).approxQuantile("key", [i / n for i in range(1, n)], 0.25 / n)})
 
 
 def with_successors(docs: DataFrame) -> DataFrame:
@@ -122,16 +163,17 @@ def with_successors(docs: DataFrame) -> DataFrame:
     the last range. The driver gets one bound and one least id for each range. A null id sorts first; equal ids by text.
     """
     n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    ids = docs.select(key.alias("key"))
-    bounds = sorted({int(x) for x in ids.approxQuantile("key", [i / n for i in range(1, n)], 0.25 / n)})
-    place = _search(key, bounds, 0, len(bounds))
-    least = dict(ids.select(_search(F.col("key"), bounds, 0, len(bounds)).alias("range"), "key").groupBy("range").agg(F.min("key")).collect())
+    key = whole_id(docs)
+    bounds = bounds_of(key, docs, n)
+    keyed = docs.select(key.alias("key"), "doc_id", "text").withColumn("here", range_of(F.col("key"), bounds))
+    least = dict(keyed.groupBy("here").agg(F.min("key")).collect())
     order = sorted(least)
-    before = {least[r]: order[i - 1] for i, r in enumerate(order)}
-    to = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])[key] if before else F.lit(None).cast("int")
-    rows = docs.select(place.alias("here"), key.alias("key"), "doc_id", "text").withColumn("there", to)
-    both = rows.withColumn("at", F.explode(F.when(F.col("there").isNull(), F.array(F.struct(F.col("here").alias("range"), F.lit(0).alias("copy")))).otherwise(F.array(F.struct(F.col("here").alias("range"), F.lit(0).alias("copy")), F.struct(F.col("there").alias("range"), F.lit(1).alias("copy"))))))
+    before = {r: order[i - 1] for i, r in enumerate(order)}
+    ranges = range(len(bounds) + 1)
+    first = F.get(_listed([least.get(r, 0) for r in ranges]), F.col("here")) == F.col("key")
+    there = F.get(_listed([before.get(r, 0) for r in ranges]), F.col("here")).cast("int")
+    at = lambda r, copy: F.struct(r.alias("range"), F.lit(copy).alias("copy"))
+    both = keyed.withColumn("at", F.explode(F.when(first, F.array(at(F.col("here"), 0), at(there, 1))).otherwise(F.array(at(F.col("here"), 0)))))
     return both.select("at.range", "at.copy", "key", "doc_id", "text").repartition(n // 4, "range").sortWithinPartitions("range", "copy", "key", "text").drop("key")
 
 

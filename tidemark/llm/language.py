@@ -3,7 +3,9 @@
 Every language gets a codeword. For each bit, a binary n-gram classifier tells the languages with a 1 from those with a 0: the
 mean log-odds of the text's n-grams, each language counting alike. The prediction is the codeword of least loss, where the loss of a
 bit is log(1 + exp(-margin)) and weighs as much as that bit separates the languages in training. The softmax of the
-losses is the score; a text whose best two languages are close is flagged ambiguous.
+losses is the score. A text is flagged ambiguous whose nearest codeword leads the next by under a quarter of what it does for the language's
+own training text: texts half in one language and half in another. Equal losses go to the first language by name. Long texts are read
+in pieces that begin at words.
 
 Counts come from all training rows, as one row for each language and n-gram bucket; the driver gets BUCKETS numbers a language.
 """
@@ -28,14 +30,19 @@ ORDERS = (2, 3, 4)
 PRIOR = 0.5
 #: How sharply margins count in a loss, and losses in a score.
 SHARPNESS, CERTAINTY = 12.0, 2.0
-#: A lead in score under which a prediction is ambiguous.
-AMBIGUOUS = 0.01
+#: A lead under which a prediction is ambiguous; chosen on held-out rows and on texts joined of two languages.
+AMBIGUOUS = 0.25
+#: N-grams whose log-odds are added up at a time.
+STRIP = 1 << 18
 _FOLD = arrays.LOWER.copy()
 _FOLD[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
 
 
 def _features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams, ordered by text, and each text's first. All but letters and other non-ASCII bytes count as blanks; runs of those as one."""
+    """Buckets of all n-grams, ordered by text, and each text's first. All but letters and other non-ASCII bytes count as blanks; runs of those as one.
+
+    A text's n-grams begin with blanks before it, whatever texts stand around it.
+    """
     n = len(offsets) - 1
     folded = np.full(len(buf) + n, 0x20, np.uint8)
     folded[np.arange(len(buf)) + np.repeat(np.arange(n), np.diff(offsets))] = _FOLD[buf]
@@ -45,12 +52,17 @@ def _features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     ends = np.cumsum(keep)[offsets[1:] + np.arange(n)]
     x = folded[keep].astype(np.uint32)
     first = np.concatenate(([0], ends))
+    begin = first[:-1][np.diff(first) > 0]
     grams = []
     for k in ORDERS:
         code = np.zeros(len(x), np.uint32)
         for j in range(k - 1, -1, -1):
             shifted = np.full(len(x), 0x20, np.uint32)
             shifted[j:] = x[: len(x) - j]
+            # What stands before a text are blanks, not the text before it.
+            for i in range(j):
+                at = begin + i
+                shifted[at[at < len(x)]] = 0x20
             code = (code << np.uint32(8)) | shifted
         code = (code ^ np.uint32(k * 0x1F123BB5)) * np.uint32(0x9E3779B1)
         grams.append(code >> np.uint32(33 - BUCKETS.bit_length()))
@@ -64,7 +76,7 @@ def counts(labelled: DataFrame) -> DataFrame:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column("lang").to_pylist()
-            for lo, hi, buf, offsets in arrays.chunks(batch.column("text")):
+            for lo, hi, buf, offsets, _ in arrays.pieces(batch.column("text")):
                 grams, first = _features(buf, offsets)
                 for lang in set(langs[lo:hi]):
                     rows = np.repeat(np.array([x == lang for x in langs[lo:hi]]), np.diff(first))
@@ -92,6 +104,15 @@ def codewords(n: int, seed: int = 11) -> np.ndarray:
     return best if best is not None else rng.choice(np.array([1, -1], np.int8), (n, width))
 
 
+def _strips(cuts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of neighbouring cuts that span about STRIP n-grams."""
+    a = 0
+    while a < len(cuts) - 1:
+        b = max(a + 1, int(np.searchsorted(cuts, cuts[a] + 2 * STRIP, "right")) - 1)
+        yield a, b
+        a = b
+
+
 class Codes:
     """Languages, their codewords, and each bit's classifier and weight."""
 
@@ -102,27 +123,50 @@ class Codes:
         self.odds = np.array(odds, np.float32).T.reshape(BUCKETS, len(odds)).copy() if odds else np.zeros((BUCKETS, 0), np.float32)
         apart = np.array([(self.code[:, b] * (p @ self.odds[:, b])).min() for b in range(self.code.shape[1])]) if odds else np.zeros(0)
         self.weight = np.maximum(apart, 1e-3) / np.maximum(apart, 1e-3).sum() if len(apart) else apart
+        #: By how much the codeword of a language's training text is nearer than each other one.
+        whole = self.losses(p @ self.odds) if odds else np.zeros((len(langs), len(langs)))
+        self.pure = whole - np.diag(whole)[:, None]
 
     def margins(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The mean log-odds of every bit for every text."""
+        total, n = self.sums(buf, offsets)
+        return total / np.maximum(n, 1)[:, None]
+
+    def sums(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sums of log-odds, and of how many n-grams."""
         grams, first = _features(buf, offsets)
-        out, some = np.zeros((len(offsets) - 1, self.odds.shape[1])), np.flatnonzero(np.diff(first))
-        total = np.zeros((len(grams), self.odds.shape[1]), np.float32)
-        for k in range(grams.shape[1]):
-            total += self.odds[grams[:, k]]
-        if len(some):
-            out[some] = np.add.reduceat(total, first[some], axis=0, dtype=np.float64) / (np.diff(first)[some, None] * grams.shape[1])
-        return out
+        out = np.zeros((len(offsets) - 1, self.odds.shape[1]))
+        # So many n-grams at a time: a long text has many.
+        edges = np.unique(np.concatenate((np.arange(0, len(grams), STRIP), first)))
+        text = np.searchsorted(first, edges[:-1], "right") - 1
+        for lo in range(0, len(edges) - 1, 1024):
+            cuts = edges[lo : lo + 1025]
+            for a, b in _strips(cuts):
+                part = grams[cuts[a] : cuts[b]]
+                total = self.odds[part[:, 0]]
+                for k in range(1, grams.shape[1]):
+                    total += self.odds[part[:, k]]
+                np.add.at(out, text[lo + a : lo + b], np.add.reduceat(total, cuts[a:b] - cuts[a], axis=0, dtype=np.float64))
+        return out, np.diff(first) * grams.shape[1]
+
+    def losses(self, margins: np.ndarray) -> np.ndarray:
+        """The weighted loss of every codeword for every text."""
+        z = SHARPNESS * margins[:, None, :] * self.code[None]
+        return (np.logaddexp(0, -z) * self.weight).sum(axis=2)
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The best language's number, its score, and its lead over the next."""
-        z = SHARPNESS * margins[:, None, :] * self.code[None]
-        loss = (np.logaddexp(0, -z) * self.weight).sum(axis=2)
+        """The best language's number, its score, and its lead: by how much its codeword is nearer than the next, as a part of how
+        much it is for the language's training text as a whole."""
+        loss = self.losses(margins)
         share = np.exp(-CERTAINTY * (loss - loss.min(axis=1, keepdims=True)))
         share /= share.sum(axis=1, keepdims=True)
-        ranked = np.sort(share, axis=1)
-        lead = ranked[:, -1] - ranked[:, -2] if share.shape[1] > 1 else ranked[:, -1]
-        return share.argmax(axis=1), ranked[:, -1], lead
+        best = loss.argmin(axis=1)
+        if loss.shape[1] < 2:
+            return best, share.max(axis=1), np.ones(len(loss))
+        order = np.argsort(loss, axis=1, kind="stable")
+        rows = np.arange(len(loss))
+        gap = loss[rows, order[:, 1]] - loss[rows, order[:, 0]]
+        return best, share.max(axis=1), gap / np.maximum(self.pure[order[:, 0], order[:, 1]], 1e-9)
 
 
 def fit(labelled: DataFrame) -> Codes:
@@ -137,7 +181,7 @@ def fit(labelled: DataFrame) -> Codes:
 def identify(df: DataFrame, codes: Codes, text: str = "text") -> DataFrame:
     """Adds lang_pred, score and ambiguous to every row. No shuffle.
 
-    `und` with score 0 for a null text, one without a letter, and where nothing was learned.
+    `und` with score 0 for a null text, one without a letter, and where nothing was learned. Repeated rows are judged alike.
     """
     new = ("lang_pred", "score", "ambiguous", "has_letter")
     rows = df.drop(*new).withColumn("has_letter", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
@@ -149,9 +193,14 @@ def identify(df: DataFrame, codes: Codes, text: str = "text") -> DataFrame:
         for batch in batches:
             known = batch.column("has_letter").to_numpy(zero_copy_only=False) & bool(codes.langs)
             pred, score, lead = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows), np.ones(batch.num_rows)
-            for lo, hi, buf, offsets in arrays.chunks(batch.column(text)) if codes.langs else ():
-                best, score[lo:hi], lead[lo:hi] = codes.decode(codes.margins(buf, offsets))
-                pred[lo:hi] = np.array(codes.langs, object)[best]
+            total, n = 0.0, 0
+            for lo, hi, buf, offsets, more in arrays.pieces(batch.column(text)) if codes.langs else ():
+                sums, grams = codes.sums(buf, offsets)
+                total, n = total + sums, n + grams
+                if not more:
+                    best, score[lo:hi], lead[lo:hi] = codes.decode(total / np.maximum(n, 1)[:, None])
+                    pred[lo:hi] = np.array(codes.langs, object)[best]
+                    total, n = 0.0, 0
             pred[~known], score[~known] = "und", 0.0
             kept = [n for n in batch.schema.names if n != "has_letter"]
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + [pa.array(pred, pa.string()), pa.array(score), pa.array((lead < AMBIGUOUS) & known)], names=[*kept, "lang_pred", "score", "ambiguous"])

@@ -214,7 +214,7 @@ def _word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         starts, ends, first = arrays.spans(buf, offsets)
         return arrays.span_hashes(buf, starts, ends), np.diff(first)
     found = []
-    for _, _, part, part_offsets, _ in arrays.pieces(pa.array([memoryview(buf)], pa.large_binary())):
+    for _, _, part, part_offsets, _ in arrays.pieces(pa.array([memoryview(buf)], pa.large_binary()), arrays.CHUNK_BYTES):
         starts, ends, _ = arrays.spans(part, part_offsets)
         found.append(arrays.span_hashes(part, starts, ends))
     return np.concatenate(found), np.array([sum(map(len, found))])

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from . import arrays
 from .bpe import vocabulary_path
 from .common import broadcast_if_few, new_folder, pick, table
-from .fingerprints import _search
+from .fingerprints import bounds_of, range_of, whole_id
 
 MAGIC = b"TDMK1\n"
 BLOCK = 1 << 16
@@ -212,9 +212,8 @@ def write_files(docs: DataFrame, folder: str, model: str = MODEL, end_id: int =
     """
     path = vocabulary_path(model)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    bounds = sorted({int(x) for x in docs.select(key.alias("key")).approxQuantile("key", [i / (4 * n) for i in range(1, 4 * n)], 0.05 / n)})
-    rows = pick(docs, "doc_id", "text").select(_search(key, bounds, 0, len(bounds)).alias("range"), "doc_id", "text")
+    key = whole_id(docs)
+    rows = pick(docs, "doc_id", "text").select(range_of(key, bounds_of(key, docs, 4 * n)).alias("range"), "doc_id", "text")
     dealt = rows.repartition(n, "range").sortWithinPartitions("range", key, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
