@@ -222,6 +222,35 @@ def test_mix_blocks_are_disjoint_and_shards_even(spark, sf):
     assert set(n) == set(range(8)) and max(n.values()) - min(n.values()) <= 8
 
 
+def test_mix_is_the_plain_one(spark, sf):
+    """Which blocks are taken, their shards and places, against lists in the order of their hashes; and documents written in that order."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = mixing.mix(docs, block=8).withColumn("hash", spark_hash()).collect()
+    taken = collections.defaultdict(list)
+    for source in {r.source_no for r in rows}:
+        mine = sorted((r for r in rows if r.source_no == source), key=lambda r: (r["pass"], r.hash % mixing.BUCKETS, r.hash, r.doc_id or 0, r["size"], r["copy"], r["block"]))
+        upto = 0
+        for r in mine:
+            after = upto + r.words
+            want = upto < r.target and (after <= r.target or after - r.target <= r.target - upto)
+            assert r.taken == want
+            if want:
+                taken[source].append(r)
+            upto = after
+    dealt = mixing.split_quotas([len(taken[i]) for i in range(max(taken) + 1)], mixing.SHARDS)
+    for source, mine in taken.items():
+        assert [r.shard for r in mine] == [j for j, d in enumerate(dealt) for _ in range(d[source])]
+    got = [r.doc_id for r in mixing.mixed_documents(docs).select("doc_id").collect()]
+    whole = mixing.mix(docs, block=1 << 30).filter("taken").orderBy("shard", "place").collect()
+    assert got == [r.doc_id for r in whole]
+
+
+def spark_hash():
+    from pyspark.sql import functions as F
+
+    return F.xxhash64(F.lit(mixing.SEED), "pass", "doc_id", "size", "copy", "block")
+
+
 def test_split_quotas():
     for quotas in ([0, 0], [5, 0, 17], [1000, 10, 1], []):
         dealt = mixing.split_quotas(quotas, 8)
@@ -540,6 +569,14 @@ def test_shards_are_even(spark):
             assert len({r.shard for r in got if r.doc_id >= 5000}) == 1
 
 
+def test_cells_that_are_cut_again_give_the_same_cuts(spark, sf, monkeypatch):
+    """Medians found in one cell or by cutting cells down to single keys."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    want = sorted(map(tuple, sharding.shard(docs).collect()), key=str)
+    monkeypatch.setattr(sharding, "CELL", 1)
+    assert sorted(map(tuple, sharding.shard(docs).collect()), key=str) == want
+
+
 def test_token_files(spark, sf, rows):
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     start, want = 0, []

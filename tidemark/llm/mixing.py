@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from .common import WORD, cut_lineage, pick, set_aside, table
 
 BLOCK = 256
-BUCKETS = 1024
+#: Buckets of a source at least, and blocks that a bucket of a source of all words would hold.
+BUCKETS, BUCKET_BLOCKS = 1024, 100_000
 SHARDS = 8
 SEED = 20240611
 #: A source's target is at most so many times its size.
@@ -108,18 +109,20 @@ def mix(docs: DataFrame, shards: int = SHARDS, block: int = BLOCK, seed: int = S
     time), words, taken, shard (null if not taken), place (order within a shard).
 
     The order of blocks depends on doc_id, size, copy, block and pass only, so reruns agree. Null and blank texts are a block of no words;
-    rows that agree in doc_id, source and size are told apart by number. A hot source is dealt over BUCKETS buckets, whose sums
-    give each block its place; no task holds a source.
+    rows that agree in doc_id, source and size are told apart by number. A hot source is dealt over buckets, the more the more words there
+    are, whose sums give each block its place; no task holds a source.
     """
     sizes = cut_lineage(sized(docs))
     want = cut_lineage(targets(sizes))
+    total = want.agg(F.sum("source_size")).first()[0] or 0
+    buckets = max(BUCKETS, 1 << (total // block // BUCKET_BLOCKS).bit_length())
     passes = F.greatest(F.lit(1), F.ceil(F.col("target") / F.nullif("source_size", F.lit(0))).cast("int"))
     # Sources are matched null-safe; their table has a row for each source.
     with_target = sizes.join(want, sizes.source.eqNullSafe(want.source)).drop(want.source)
     rows = with_target.withColumn("pass", F.explode(F.sequence(F.lit(0), F.coalesce(passes, F.lit(1)) - 1)))
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("size") / block) - 1).cast("int"))))
     rows = rows.withColumn("words", F.least(F.lit(block), F.col("size") - F.col("block") * block))
-    rows = rows.withColumn("hash", F.xxhash64(F.lit(seed), "pass", "doc_id", "size", "copy", "block")).withColumn("bucket", F.pmod("hash", F.lit(BUCKETS)))
+    rows = rows.withColumn("hash", F.xxhash64(F.lit(seed), "pass", "doc_id", "size", "copy", "block")).withColumn("bucket", F.pmod("hash", F.lit(buckets)))
     key = ["source_no", "pass", "bucket"]
     by_source = Window.partitionBy("source_no").orderBy("pass", "bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy(*key).agg(F.sum("words").alias("w"), F.count("*").alias("n"))
@@ -142,15 +145,16 @@ def mix(docs: DataFrame, shards: int = SHARDS, block: int = BLOCK, seed: int = S
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix by whole documents, with all their columns: each as many times as it was drawn, none that was not.
 
-    A block is a document here, so that no text is cut; a source's words then miss its target by half a document at most.
+    A block is a document here, so that no text is cut; a source's words then miss its target by half a document at most. Rows come in the
+    tree's order: shard by shard, each shuffled, so that files written of them are the shards one after the other.
     """
-    renamed, back = set_aside(docs, ["size", "copy", "times", "time", *(f"drawn_{k}" for k in ("doc_id", "source", "size", "copy"))])
-    drawn = mix(docs, block=1 << 30).filter("taken").groupBy("doc_id", "source", "size", "copy").agg(F.count("*").cast("int").alias("times"))
-    drawn = drawn.withColumnsRenamed({k: f"drawn_{k}" for k in ("doc_id", "source", "size", "copy")})
+    renamed, back = set_aside(docs, ["size", "copy", "shard", "place", *(f"drawn_{k}" for k in ("doc_id", "source", "size", "copy"))])
+    drawn = mix(docs, block=1 << 30).filter("taken").select(*(F.col(k).alias(f"drawn_{k}") for k in ("doc_id", "source", "size", "copy")), "shard", "place")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     rows = renamed.withColumn("size", size).withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("text")))
     same = F.col("doc_id").eqNullSafe(F.col("drawn_doc_id")) & F.col("source").eqNullSafe(F.col("drawn_source")) & (F.col("size") == F.col("drawn_size")) & (F.col("copy") == F.col("drawn_copy"))
-    return rows.join(drawn, same).withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*renamed.columns).withColumnsRenamed(back)
+    placed = rows.join(drawn, same).repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
+    return placed.select(*renamed.columns).withColumnsRenamed(back)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 The law is `bytes`: shards are near equal in bytes. Rows with equal texts are a group and stay in one shard. Space is spanned by what
 can be told from a text alone (so a group is one point): size in bytes, bytes a character, lines. Nodes are split along their
 widest dimension (of 256 steps between the node's least and greatest value; ties by a hash of the text) at the weighted median,
-found from a histogram of at most 65,536 cells a node and then exactly within the one cell that holds it.
+found from a histogram of at most 65,536 cells a node, again within the cell that holds it until that is small, and then exactly.
 
 Large groups, over a hundredth of a shard, would make medians coarse. There are fewer than 100 a shard; each goes to the shard with the most room
 first, and the medians are weighted so that every leaf gets what room is left. Only a group larger than a whole shard, which
@@ -24,6 +24,8 @@ STEPS = 256
 DIMS = ("dim0", "dim1", "dim2")
 _HASH_BITS = 48
 PARTS = 256
+#: Groups of a cell that are sorted to find a median exactly; larger cells are cut again.
+CELL = 1 << 16
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -103,17 +105,26 @@ def kd_tree(groups: DataFrame, room: list[float]) -> list[tuple[DataFrame, dict]
         if keys:
             aim = _by_node({n: F.lit(float(g)) for n, g in goal.items()})
             keyed = now.withColumn("key", _by_node(keys)).filter("key is not null").select("node", "key", "bytes")
-            cell = F.shiftright("key", _HASH_BITS - 8)
-            hist = keyed.groupBy("node", cell.alias("cell")).agg(F.sum("bytes").alias("b"))
-            hist = hist.withColumn("before", F.coalesce(F.sum("b").over(Window.partitionBy("node").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            at = {r.node: (r.cell, r.before) for r in hist.filter(F.col("before") <= aim).groupBy("node").agg(F.max_by(F.struct("cell", "before"), "cell").alias("x")).select("node", "x.*").collect()}
-            inside = keyed.filter(cell == _by_node({n: F.lit(c) for n, (c, _) in at.items()}))
+            at, shift = {}, _HASH_BITS - 8
+            while True:
+                cell = F.shiftright("key", shift)
+                within = keyed.filter(F.shiftright("key", shift + 16) == _by_node({n: F.lit(c) for n, (c, *_) in at.items()})) if at else keyed
+                hist = within.groupBy("node", cell.alias("cell")).agg(F.sum("bytes").alias("b"), F.count("*").alias("n"))
+                start = _by_node({n: F.lit(b) for n, (_, b, _) in at.items()}) if at else F.lit(0)
+                hist = hist.withColumn("before", start + F.coalesce(F.sum("b").over(Window.partitionBy("node").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                found = hist.filter(F.col("before") <= aim).groupBy("node").agg(F.max_by(F.struct("cell", "before", "n"), "cell").alias("x")).select("node", "x.*").collect()
+                at = {r.node: (r.cell, r.before, r.n) for r in found}
+                if not shift or max(n for *_, n in at.values()) <= CELL:
+                    break
+                # The next 16 bits of the key, within the cells that hold the medians.
+                shift = max(0, shift - 16)
+            inside = keyed.filter(cell == _by_node({n: F.lit(c) for n, (c, *_) in at.items()}))
             inside = inside.groupBy("node", "key").agg(F.sum("bytes").alias("bytes"))
-            upto = F.sum("bytes").over(Window.partitionBy("node").orderBy("key")) + _by_node({n: F.lit(b) for n, (_, b) in at.items()})
+            upto = F.sum("bytes").over(Window.partitionBy("node").orderBy("key")) + _by_node({n: F.lit(b) for n, (_, b, _) in at.items()})
             off = F.abs(upto - aim)
             best = {r.node: r for r in inside.withColumn("upto", upto).withColumn("off", off).groupBy("node").agg(F.min_by(F.struct("key", "off"), F.struct("off", "key")).alias("x")).select("node", "x.*").collect()}
             for n, r in best.items():
-                cell_start = at[n][0] << (_HASH_BITS - 8)
+                cell_start = at[n][0] << shift
                 cuts[n] = r.key if r.off < abs(at[n][1] - goal[n]) else cell_start - 1
         level = {n: (keys[n], cuts[n]) for n in cuts}
         levels.append(level)

@@ -194,6 +194,26 @@ def _merge_parts(folder: str):
     return merge
 
 
+def _grouped(df: DataFrame, ids: str, n: int, merge, schema: str) -> DataFrame:
+    """The rows of each id merged where they meet: partition by partition, an id after the other, each id's partition being its number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            at, length = arrays.runs(batch.column(ids).to_numpy())
+            for a, k in zip(at.tolist(), length.tolist(), strict=True):
+                place = batch.column(ids)[a].as_py()
+                if held and place != now:
+                    yield from merge(pa.Table.from_batches(held)).to_batches()
+                    held = []
+                now = place
+                held.append(batch.slice(a, k))
+        if held:
+            yield from merge(pa.Table.from_batches(held)).to_batches()
+
+    return df.repartitionById(n, ids).sortWithinPartitions(ids).mapInArrow(run, schema)
+
+
 def discounts(counts: list[int]) -> np.ndarray:
     """Discounts of counts 0, 1, 2, 3 and more, from the numbers of things counted once to four times."""
     n1, n2, n3, n4 = counts
@@ -222,8 +242,10 @@ def fit(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> Model:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(2, int(np.ceil(np.log2(max(size, 1) / shard_bytes))))
     n = min(1 << bits, PARTITIONS)
-    merged = pairs(docs, bits).repartition(n, "shard").groupBy("shard").applyInArrow(_merge_pairs(folder, bits), PARTS)
-    rows = merged.repartition(n, "kind", "shard").groupBy("kind", "shard").applyInArrow(_merge_parts(folder), "kind string, shard int, sums array<long>").collect()
+    merged = _grouped(pairs(docs, bits), "shard", n, _merge_pairs(folder, bits), PARTS)
+    # What is known of contexts has even numbers, of words odd ones; the sums of a cell are a row of their own.
+    place = F.when(F.col("kind") == "pair", -1 - F.col("shard")).otherwise(2 * F.col("shard") + (F.col("kind") == "word").cast("int"))
+    rows = _grouped(merged.withColumn("place", place), "place", 2 * n, _merge_parts(folder), "kind string, shard int, sums array<long>").collect()
     present = {kind: hash_store.shards_present([r.shard for r in rows if r.kind == kind], bits) for kind in ("pair", "context", "word")}
     add = lambda kind, width: np.array([r.sums for r in rows if r.kind == kind], object).reshape(-1, width).sum(axis=0).tolist() if present[kind].any() else [0] * width
     pair_counts, total = add("pair", 4), add("word", 7)
