@@ -801,6 +801,29 @@ def test_near_copies_are_those_from_the_similarity_on(spark):
     assert len(label) == 2 * len(set(label.values())) == sum(want[2 * g] == want[2 * g + 1] for g in range(400) if 2 * g in want) * 2
 
 
+def test_tiles_are_verified_pair_by_pair(monkeypatch):
+    """Against all pairs, with candidates looked at singly or together, in one tile or across two."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(60):
+        base = rng.integers(1, 1 << 60, rng.integers(1, 120), dtype=np.uint64)
+        for _ in range(3):
+            keep = base[rng.random(len(base)) > rng.choice([0.0, 0.05, 0.15])]
+            rows.append((len(rows) + 1, rng.integers(0, 2, 4, dtype=np.uint64).tobytes(), np.unique(keep).tobytes()))
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    sets = [set(np.frombuffer(h, np.uint64).tolist()) for *_, h in rows]
+    for singly in (0, 32, 1000):
+        monkeypatch.setattr(simhash, "SINGLY", singly)
+        for cut in (len(rows), 70):
+            forest, want = simhash.Forest(), simhash.Forest()
+            simhash.verify_tile(rows[:cut], rows[cut:], 256, 0.8, forest)
+            for i in range(cut):
+                for j in range(cut if cut < len(rows) else i + 1, len(rows)):
+                    if alike(sets[i], sets[j]):
+                        want.join(rows[i][0], rows[j][0])
+            assert [forest.root(i) for i, *_ in rows] == [want.root(i) for i, *_ in rows]
+
+
 def test_near_copies(spark):
     """Copies, light edits and a crowd of them are one group each; texts that share a passage are not."""
     rng = __import__("random").Random(9)

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import html
 import json
-import zlib
+import sys
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_few, cut_lineage, pick, table
-from .dom import BLOCKS, HEADINGS, Node, parse
+from .dom import BLOCKS, DEEPEST, HEADINGS, Node, parse
 
 #: A text is template if this part of a host's pages have it at a node, of at least so many different pages.
 SHARED, LEAST_PAGES = 0.6, 3
@@ -35,6 +35,8 @@ CONTENT = 0.98
 BROADCAST_BYTES = 16 << 20
 #: Elements that are the text by their mark, the surest first.
 ARTICLES = ("article", "main")
+#: Trees are walked by recursion, as deep as a page may be nested.
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 8 * DEEPEST))
 _CONTAINERS = frozenset("article main div section body td #root".split())
 
 

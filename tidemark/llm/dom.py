@@ -10,7 +10,6 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTR = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_DIGITS = re.compile(r"\d+")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -28,8 +27,8 @@ _OUT_NAMES = frozenset(
 )
 _OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
 _NEVER_BY_NAME = frozenset("html body main article".split())
-#: Elements nested deeper than this count as their ancestor at this depth.
-DEEPEST = 120
+#: Elements nested deeper than this count as their ancestor at this depth, as in browsers.
+DEEPEST = 512
 
 
 class Node:
@@ -51,7 +50,7 @@ def _node(tag: str, raw: str) -> Node:
         out = out or not _OUT_NAMES.isdisjoint(words)
     if attrs.get("role", "").lower() == "main":
         tag = "main"
-    return Node("header" if "header" in words and tag in ("div", "section") else tag, _DIGITS.sub("0", f"{tag}.{names.strip()}")[:80], out)
+    return Node("header" if "header" in words and tag in ("div", "section") else tag, f"{tag}.{' '.join(w for w in words if w.isalpha())}", out)
 
 
 def parse(html: str) -> Node:

@@ -368,24 +368,46 @@ def wide_links(distinct: DataFrame, radius: int = WIDE_RADIUS, similarity: float
     return edges.union(_pairs_of_tiles(tiles, run, after))
 
 
+#: Candidates of a text up to which their sets are looked at one by one, not those of the whole tile at once.
+SINGLY = 32
+
+
 def verify_tile(left: list[tuple], right: list[tuple], radius: int, similarity: float, forest: Forest) -> None:
-    """Joins the pairs (id, fp, hashes) within the radius whose sets of shingles are so similar, but for those that are joined already."""
+    """Joins the pairs (id, fp, hashes) within the radius whose sets of shingles are so similar, but for those that are joined already.
+
+    Shingles are numbered within the tile. A text marks its own, and the marks in another's set are what they share; for many
+    candidates these are counted in one pass over the sets of the tile, so that a crowd of unlike texts costs a pass for each, not a step for each pair.
+    """
     both = [*left, *right]
+    ids = np.array([x[0] for x in both], np.uint64)
     fps = np.frombuffer(b"".join(x[1] for x in both), "<u8").reshape(len(both), -1)
     sets = [np.frombuffer(x[2], "<u8") for x in both]
     size = np.array([len(x) for x in sets])
-    label = np.arange(len(both))
+    vocab, number = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(size)
+    starts = ends - size
+    mark, label = np.zeros(len(vocab) + 1, bool), np.arange(len(both))
+    number = np.append(number, len(vocab))
     for i in range(len(left)):
         lo = len(left) if right else i + 1
         apart = np.bitwise_count(fps[lo:] ^ fps[i]).sum(axis=1, dtype=np.int64)
-        near = (apart <= radius) & (np.minimum(size[lo:], size[i]) >= similarity * np.maximum(size[lo:], size[i]))
-        for j in (lo + np.flatnonzero(near & (label[lo:] != label[i]))).tolist():
-            if label[j] == label[i]:
-                continue
-            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if shared >= similarity * (size[i] + size[j] - shared):
-                label[label == label[j]] = label[i]
-                forest.join(both[i][0], both[j][0])
+        near = (apart <= radius) & (np.minimum(size[lo:], size[i]) >= similarity * np.maximum(size[lo:], size[i])) & (label[lo:] != label[i])
+        found = lo + np.flatnonzero(near)
+        if not len(found):
+            continue
+        own = number[starts[i] : ends[i]]
+        mark[own] = True
+        if len(found) <= SINGLY:
+            shared = np.array([np.count_nonzero(mark[number[starts[j] : ends[j]]]) for j in found.tolist()])
+        else:
+            upto = np.concatenate(([0], np.cumsum(mark[number[starts[lo] : -1]])))
+            shared = upto[ends[found] - starts[lo]] - upto[starts[found] - starts[lo]]
+        mark[own] = False
+        alike = found[shared >= similarity * (size[found] + size[i] - shared)]
+        if len(alike):
+            met = np.unique(np.append(label[alike], label[i]))
+            label[np.isin(label, met)] = met[0]
+    _pass_on(ids, label, forest)
 
 
 def verified(docs: DataFrame, candidates: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, tile: int = VERIFY_TILE, texts: DataFrame | None = None) -> DataFrame:
