@@ -18,7 +18,8 @@ def test_reading_commands(spark, root, tmp_path, capfd):
     assert json.loads(spark.read.text(f"{tmp_path}/graph/json").first().value)["links"]
     main(["themes", "--reports", root, "--theme", "HBM", "--out", f"{tmp_path}/themes"])
     main(["audit", "--reports", root, "--catalogue", root.rsplit("/", 1)[0] + "/task.md"])
-    main(["discover", "--reports", root, "--out", f"{tmp_path}/linked", "AI"])
+    main(["discover", "--reports", root, "--out", f"{tmp_path}/linked", "--hits", f"{tmp_path}/hits", "AI"])
+    assert spark.read.parquet(f"{tmp_path}/hits").filter("ticker = '1101' and bare > 0").count() == 1
     assert "[[AI]] 晶片" in spark.read.parquet(f"{tmp_path}/linked").filter("ticker = '1101'").first().content
     assert "HBM" in capfd.readouterr().out
 

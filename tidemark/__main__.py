@@ -25,8 +25,11 @@ from tidemark.sources.reports import last_wins, read_reports
 from tidemark.sources.scope import parse_scope, profile_of, profile_sectors
 
 
-def _show(df: DataFrame, rows: int = 1000) -> None:
-    df.show(rows, truncate=False)
+def _show(df: DataFrame) -> None:
+    """All rows, a partition on the driver at a time."""
+    print(" | ".join(df.columns))
+    for row in df.toLocalIterator():
+        print(" | ".join("" if v is None else ", ".join(map(str, v)) if isinstance(v, list) else str(v) for v in row))
 
 
 def _snapshot(df: DataFrame, out: str | None) -> None:
@@ -76,6 +79,8 @@ def discover(spark: SparkSession, a: argparse.Namespace) -> None:
     hits = D.discover(reports, a.term, sectors)
     _show(D.discovery_lines(hits).orderBy("role_ord", "ticker").drop("role_ord"))
     _show(D.discovery_totals(hits))
+    if a.hits:
+        hits.write.mode("errorifexists").parquet(a.hits)
     if a.out:
         _snapshot(D.link_term(reports.join(hits.select("path"), "path", "left_semi"), a.term).unionByName(reports.join(hits.select("path"), "path", "left_anti").withColumn("applied", F.lit(0))), a.out)
 
@@ -138,7 +143,7 @@ def main(argv: list[str]) -> None:
     command(index)
     command(graph, min_weight={"type": int, "default": 5}, top={"type": int})
     command(themes, theme={})
-    command(discover, term={"plain": True}, smart={"action": "store_true"}, sectors={"nargs": "*"})
+    command(discover, term={"plain": True}, smart={"action": "store_true"}, sectors={"nargs": "*"}, hits={})
     command(audit, catalogue={}, batch={"type": int})
     command(enrich, patches={"required": True}, **{k: dict(v) for k, v in scope.items()})
     command(valuation, info={"required": True}, day={}, **{k: dict(v) for k, v in scope.items()})

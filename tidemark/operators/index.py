@@ -18,11 +18,16 @@ def entity_counts(reports: DataFrame) -> DataFrame:
 def entity_index(counts: DataFrame) -> DataFrame:
     """category, name, count, place, total: companies need two mentions; place is by count, then name; total counts the category.
 
-    Each category's places are a sort of its names, and names of one category are a small part of what was counted.
+    Names are numbered within those of one count and beginning, on top of how many stand before these: no task holds a category.
     """
     listed = counts.withColumn("category", category(F.col("name"), "index")).filter(~F.col("category").isin(dims.TAIWAN, dims.INTERNATIONAL) | (F.col("count") >= 2))
+    part = ["category", "count", "begins"]
+    listed = listed.withColumn("begins", F.left("name", F.lit(3)))
     by = Window.partitionBy("category")
-    return listed.withColumn("place", F.row_number().over(by.orderBy(F.desc("count"), "name"))).withColumn("total", F.count("*").over(by))
+    before = F.coalesce(F.sum("n").over(by.orderBy(F.desc("count"), "begins").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = listed.groupBy(*part).agg(F.count("*").alias("n")).select(*part, before.alias("before"), F.sum("n").over(by).alias("total"))
+    at = F.row_number().over(Window.partitionBy(*part).orderBy("name"))
+    return listed.withColumn("at", at).join(parts, part).select("category", "name", "count", (F.col("before") + F.col("at")).cast("int").alias("place"), "total")
 
 
 def shown(index: DataFrame) -> DataFrame:

@@ -151,8 +151,11 @@ def quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     money = lambda c: c.cast("decimal(24,4)")
     price = money(F.col("l_extendedprice"))
     cost = F.when(F.col("l_returnflag") != "R", money(F.col("l_extendedprice") * F.col("l_discount")))
-    joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(F.col("o_orderpriority").alias("segment"), F.date_trunc("quarter", "o_orderdate").cast("date").alias("period"))
-    return joined.agg(F.sum(price).alias("revenue"), F.sum(cost).alias("selling"), F.sum(F.when(F.col("l_linestatus") == "F", price)).alias("gross"))
+    # Added up by order before the join.
+    sums = [F.sum(price).alias("revenue"), F.sum(cost).alias("selling"), F.sum(F.when(F.col("l_linestatus") == "F", price)).alias("gross")]
+    joined = items.groupBy("l_orderkey").agg(*sums).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    by = joined.groupBy(F.col("o_orderpriority").alias("segment"), F.date_trunc("quarter", "o_orderdate").cast("date").alias("period"))
+    return by.agg(*[F.sum(k).alias(k) for k in ("revenue", "selling", "gross")])
 
 
 def stmt_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
