@@ -23,7 +23,7 @@ def theme_entries(entry: DataFrame, themes: DataFrame, tag: str | None = None) -
         if tag not in {t for t, *_ in dims.THEMES}:
             raise ValueError(f"no theme {tag}")
         themes = themes.filter(F.col("tag") == tag)
-    return F.broadcast(themes.select("tag")).join(entry, F.col("tag") == F.col("name")).select("tag", "ticker", "company", "sector", "role")
+    return themes.select("tag").join(entry, F.col("tag") == F.col("name")).select("tag", "ticker", "company", "sector", "role")
 
 
 def theme_sizes(found: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def related(entry: DataFrame, themes: DataFrame) -> DataFrame:
     """tag, pos, related, companies: a theme's related names that occur, in its order."""
     counts = entry.groupBy(F.col("name").alias("related")).agg(F.count("*").alias("companies"))
     listed = themes.select("tag", F.posexplode("related").alias("pos", "related"))
-    return F.broadcast(listed).join(counts, "related").select("tag", "pos", "related", "companies")
+    return listed.join(counts, "related").select("tag", "pos", "related", "companies")
 
 
 def theme_index(sizes: DataFrame, groups: DataFrame) -> DataFrame:
