@@ -66,6 +66,29 @@ def test_fingerprint_rate_is_generalised_jaccard():
     assert abs((sig[0] == sig[1]).mean() - exact) < 0.05
 
 
+def test_fingerprints_are_those_of_a_plain_sampler():
+    """Term by term and sample by sample, by the formulas of the method."""
+    samples, f = 6, np.float32
+    r1, r2, c1, c2, b1, b2 = fingerprints._variates(samples)
+    texts = ["a b a c", "the quick brown fox the fox the", "x", "a a a a a a a b"]
+    (chunk,) = fingerprints.arrays.chunks(pa.array(texts))
+    got, _ = fingerprints.signatures(*chunk[2:], samples=samples)
+    for text, sig in zip(texts, got, strict=True):
+        for k in range(samples):
+            heights = []
+            for word, weight in collections.Counter(WORD.findall(text)).items():
+                raw = np.frombuffer(word.encode(), np.uint8)
+                h = int(fingerprints.arrays.span_hashes(raw, np.array([0]), np.array([len(raw)]))[0])
+                part = lambda shift: (h >> shift) & (fingerprints._ROWS - 1)  # noqa: B023, E731
+                r = f(r1[part(0), k] + r2[part(20), k])
+                beta = f(b1[part(0), k] + b2[part(20), k])
+                beta = f(beta - np.floor(beta))
+                t = np.floor(f(f(f(np.log(float(weight))) / r) + beta))
+                heights.append(f(np.log(f(c1[part(32), k] + c2[part(52), k])) - f(f(f(t - beta) + f(1)) * r)))
+            least = np.array([min(heights)], f)
+            assert sig[k] == ((least.view(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(16))[0]
+
+
 def test_fingerprints_do_not_depend_on_the_chunk():
     texts = [" ".join(f"w{i % 7}{j}" for j in range(i % 50)) for i in range(300)]
     whole = fingerprints._of_texts(texts, 64)[0]
@@ -774,6 +797,31 @@ def test_tree_matching_merges_by_order():
     assert again.dump() == tree.dump() and again.kids["body"].n == 2
 
 
+def test_tree_matching_is_the_greatest_matching():
+    """Against a plain search over all matchings that keep the order."""
+    rng = __import__("random").Random(6)
+
+    def tree(depth):
+        out = articles.Template(rng.choice("ab") if depth < 3 else "root")
+        for key in rng.sample("abcd", rng.randint(0, 4)) if depth else []:
+            kid = tree(depth - 1)
+            kid.key = key
+            out.kids[key] = kid
+        return out
+
+    def plain(a, b):
+        def best(x, y):
+            if not x or not y:
+                return 0
+            return max(best(x[1:], y), best(x, y[1:]), plain(x[0], y[0]) + best(x[1:], y[1:]) if x[0].key == y[0].key else 0)
+
+        return 1 + best(list(a.kids.values()), list(b.kids.values()))
+
+    for _ in range(60):
+        a, b = tree(3), tree(3)
+        assert articles._score(a, b) == plain(a, b)
+
+
 def test_near_copies_are_those_from_the_similarity_on(spark):
     """All pairs from 0.80 to 0.85 are linked and none from 0.70 to 0.79, in one tile or several."""
     rng = __import__("random").Random(4)
