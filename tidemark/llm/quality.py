@@ -3,8 +3,9 @@
 A modified Kneser-Ney model of byte 4-grams is counted by Spark over all texts and kept as sorted hash arrays in the shared
 folder, which workers map into memory. It spans all languages, so that a text which turns to another of them is no outlier. A
 document is rejected whose log-perplexity a word, or a character of its words, leaves its language's band: text strewn with symbols has dear
-words, tables have dear characters and, where their cells are short, cheap words; text made of the commonest words over and over has cheap words. Bands come from all different texts that pass the base rules: the language's median,
-less or more so many deviations, where the deviation is that of texts of about the same length. Copies of a text count once, in
+words, tables have dear characters and, where their cells are short, cheap words; text made of the commonest words over and over has
+cheap words. Bands come from all different texts that pass the base rules: the language's median, less or more so many deviations, where
+the deviation is that of texts of about the same length. Copies of a text count once, in
 the model too. Lengths with few texts take in their neighbours, and a language with few is judged by the bands of all texts.
 """
 
