@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import articles, bpe, fingerprints, language, mixing, quality, repeats, sharding, simhash, token_files, word_lm
+from . import articles, bpe, conversations, fingerprints, language, mixing, negatives, quality, repeats, sharding, simhash, token_files, word_lm
 
 QUERIES = {
     "op1_weighted_fingerprints": fingerprints.op1,
@@ -15,7 +15,9 @@ QUERIES = {
     "op8_token_plane_files": token_files.op8,
     "op9_wrapper_articles": articles.op9,
     "op10_word_lm_scores": word_lm.op10,
+    "op11_distance_key_negatives": negatives.op11,
+    "op12_conversation_repair": conversations.op12,
     "op13_suffix_dedup": repeats.op13,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_distance_key_negatives": negatives.OP11_SQL}
