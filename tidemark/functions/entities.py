@@ -33,8 +33,8 @@ def color(label: Column) -> Column:
 def normalise_links(text: Column) -> Column:
     """Aliased links get their canonical name; ``[[X]] ([[X]])`` becomes ``[[X]]``."""
     alternatives = "|".join(r"\Q" + a + r"\E" for a in sorted(dims.ALIASES, key=len, reverse=True))
-    # Cut at aliased links: odd places hold the alias, so one pass suffices whatever the number of aliases.
-    marked = F.regexp_replace(text, rf"\[\[({alternatives})\]\]", "\x00$1\x00")
-    parts = F.split(marked, "\x00")
-    back = F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 1, F.concat(F.lit("[["), _map(dims.ALIASES)[x], F.lit("]]"))).otherwise(x)), "")
+    # Cut before and behind aliased links, so one pass suffices whatever the number of aliases, and all other text stays.
+    parts = F.split(text, rf"(?=\[\[(?:{alternatives})\]\])|(?<=\[\[(?:{alternatives})\]\])")
+    links = _map({f"[[{a}]]": f"[[{c}]]" for a, c in dims.ALIASES.items()})
+    back = F.array_join(F.transform(parts, lambda x: F.coalesce(links[x], x)), "")
     return F.regexp_replace(back, r"\[\[([^\]]+)\]\]\s*[(（]\[\[\1\]\][)）]", "[[$1]]")

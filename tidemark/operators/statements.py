@@ -14,14 +14,14 @@ KEY = ["ticker", "freq"]
 def wide(landed: DataFrame) -> DataFrame:
     """ticker, freq, period and a column for each metric; `has <metric>` tells whether any of its keys was delivered for the ticker and frequency.
 
-    The first delivered key counts, even if it is null throughout. One shuffle: all keys of a ticker and frequency meet in
-    one aggregation by period, and presence is a window over the same partitioning.
+    The first delivered key counts, even if it is null throughout. Rows of a period are put together in each task first; then those of a
+    ticker and frequency meet, where presence is a window.
     """
     keys = {(s, k) for s, ks in dims.STATEMENT_KEYS.values() for k in ks}
     value = {(s, k): F.max(F.when((F.col("statement") == s) & (F.col("item") == k), F.col("value"))) for s, k in keys}
     there = {(s, k): F.max(F.when((F.col("statement") == s) & (F.col("item") == k), 1)) for s, k in keys}
     clean = landed.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
-    rows = clean.repartition(*KEY).groupBy(*KEY, "period").agg(*[c.alias(f"v {s} {k}") for (s, k), c in value.items()], *[c.alias(f"h {s} {k}") for (s, k), c in there.items()])
+    rows = clean.groupBy(*KEY, "period").agg(*[c.alias(f"v {s} {k}") for (s, k), c in value.items()], *[c.alias(f"h {s} {k}") for (s, k), c in there.items()])
     w = Window.partitionBy(*KEY)
     rows = rows.withColumns({f"h {s} {k}": F.max(f"h {s} {k}").over(w).isNotNull() for s, k in keys})
     out = {}

@@ -23,6 +23,7 @@ from tidemark.operators import valuation as V
 from tidemark.plans import report_tables as X
 from tidemark.sources import batches, landing, patches, scope
 from tidemark.sources import reports as P
+from tidemark.storage import written
 
 TERM = "AI"
 AS_OF = "2026-01-02"
@@ -38,7 +39,8 @@ def made(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return made(spark, sf_dir, X.REPORTS)
+    """The reports, made once for a query: operators use the text many times."""
+    return written(made(spark, sf_dir, X.REPORTS), "reports")
 
 
 def info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,9 +149,7 @@ def report_category_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_index_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The page of the technologies to applications; companies are as many as reports."""
-    few = indexed(spark, sf_dir).filter(~F.col("category").isin(dims.TAIWAN, dims.INTERNATIONAL))
-    return sinks.index_page(few, 1234, 56)
+    return sinks.index_page(indexed(spark, sf_dir), 1234, 56)
 
 
 def report_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,6 +232,14 @@ def report_link_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("ticker", F.col("applied").cast("long").alias("applied"), digest())
 
 
+def report_set_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A section replaced up to the next header, and one to the end of the file."""
+    content, value = F.col("content"), F.concat(F.lit("- $1 \\new "), "ticker")
+    between = R.set_section(content, "## 主要客戶及供應商", value, "## 財務概況")
+    to_end = R.set_section(content, "## 財務概況", F.when(F.col("sector") != "Solar", value))
+    return reports(spark, sf_dir).select("ticker", F.md5(between).alias("between"), F.md5(to_end).alias("to_end"))
+
+
 def patched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patches.parse_patches(made(spark, sf_dir, X.PATCHES))
 
@@ -255,7 +263,7 @@ def report_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def statement_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.wide(landing.first_suffix(made(spark, sf_dir, X.LANDED), "value is not null"))
+    return S.wide(landing.first_suffix(made(spark, sf_dir, X.LANDED_IN_SPARK), "value is not null"))
 
 
 def report_statements(spark: SparkSession, sf_dir: str) -> DataFrame:

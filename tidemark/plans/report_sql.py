@@ -182,7 +182,7 @@ METRICS = f"""{LANDED},
     from chosen group by ticker, freq, period),
   derived as (select *, case when has_ga then coalesce(ga, case when has_sga then sga - selling end) when has_sga and has_selling then sga - selling end as admin, case when has_ocf and has_fcf then coalesce(capex, fcf - ocf) else capex end as spent from wide),
   ranked as (select *, row_number() over (partition by ticker, freq order by period desc) as rank from derived where rev is not null),
-  kept as (select ticker, freq, period, rank, unnest([{{cells}}]) as x from ranked where rank <= 3)"""
+  kept as (select ticker, freq, period, rank, unnest([{{cells}}]) as x from ranked where rank <= case freq when 'A' then 3 else 4 end)"""
 _CELLS = ", ".join(
     f"{{'metric': '{m}', 'value': {v}}}"
     for m, v in [
@@ -285,13 +285,16 @@ SQL = {
     "report_index": f"with {REPORTS}, {INDEX} select category, name, count, place, total from indexed",
     "report_index_shown": f"with {REPORTS}, {INDEX} select category, count(*) as rows from indexed where not (category = 'international_company' and place > 200) and not (category = 'taiwan_company' and place > 300) group by 1",
     "report_category_totals": f"with {REPORTS}, {INDEX} select category, count(*) as names from indexed group by 1 union all select null, count(*) from counts",
-    "report_index_page": f"""with {REPORTS}, {INDEX}, few as (select * from indexed where category not in ('taiwan_company', 'international_company')),
+    "report_index_page": f"""with {REPORTS}, {INDEX}, few as (select * from indexed),
   sections(ord, category, title, most) as (values {", ".join(f"({i}, '{c}', '{t}', {'null' if m is None else m})" for i, (c, t, m) in enumerate(dims.INDEX_SECTIONS))}),
   totals as (select s.*, (select count(*) from few f where f.category = s.category) as total from sections s),
   lines as (select -1 as ord, 0 as place, '# Wikilink Index' || chr(10) || chr(10) || '1,234 unique entities across 56 ticker reports.' || chr(10) as line
     union all select ord, 0, '## ' || title || case when most is null then ' (' || total || ')' else ' (' || total || ' total, showing top ' || most || ')' end || chr(10) from totals
     union all select ord, place, '- [[' || name || ']] (' || count || ')' from few join sections using (category) where most is null or place <= most union all select ord, 1073741824, '' from totals)
   select string_agg(line, chr(10) order by ord, place) as page from lines""",
+    "report_set_section": f"""with {REPORTS}, v as (select *, '- $1 \\new ' || ticker as value, '## 主要客戶及供應商' || chr(10) as head, strpos(content, chr(10) || '## 財務概況') as fin from reports)
+  select ticker, md5(case when contains(content, head) and fin > 0 then left(content, strpos(content, head) + length(head) - 1) || value || chr(10) || substr(content, fin) else content end) as "between",
+    md5(case when sector <> 'Solar' and contains(content, '## 財務概況') then {BODY} || '## 財務概況' || chr(10) || value || chr(10) else content end) as to_end from v""",
     "report_edges": f"with {REPORTS}, {OFTEN} select source, target, weight from edge",
     "report_nodes": f"with {REPORTS}, {OFTEN} select id, count, category, color from coloured",
     "report_graph_json": f"""with {REPORTS}, {TOP} select to_json({{'nodes': (select list({{'id': id, 'count': count, 'category': category, 'color': color}} order by count desc, id) from coloured),
@@ -324,7 +327,7 @@ SQL = {
     "report_normalise": f"""with w as (select *, {X.joined()} as content from ({X.pieces()})), v as (select *, {X.joined(fin="''")} as head from ({X.pieces(X.CANONICAL)}))
   select w.ticker, md5(case when w.short or w.fin = '' then w.content else {_once("v.head")} || w.fin end) as digest from w join v on w.doc_id = v.doc_id""",
     "report_statements": f"with {METRICS} select ticker, freq, strftime(period, '%Y-%m-%d') as period, rank, x.metric as metric, round(x.value, 9) as value from kept",
-    "report_statements_as_delivered": f"with {METRICS}, first as (select *, row_number() over (partition by ticker, freq order by period) as place from derived) select ticker, freq, strftime(period, '%Y-%m-%d') as period, place as rank, round(rev / 1000000, 9) as revenue from first where place <= 3",
+    "report_statements_as_delivered": f"with {METRICS}, first as (select *, row_number() over (partition by ticker, freq order by period) as place from derived) select ticker, freq, strftime(period, '%Y-%m-%d') as period, place as rank, round(rev / 1000000, 9) as revenue from first where place <= case freq when 'A' then 3 else 4 end",
     "report_tables_printed": f"with {PRINTED} select ticker, freq, string_agg(line, chr(10) order by i) as markdown from lines group by 1, 2",
     "report_tables_read_back": f"with {METRICS} select ticker, freq, period::date::varchar as period, x.metric as metric, printf('%.2f', x.value)::double as value from kept",
     "landed_suffix": f"with landed as ({X.INFO}) select ticker, min(suffix order by suffix) as suffix, 'price' as accept from landed where currentPrice <> 0 group by ticker union all select ticker, min(suffix), 'name' from landed where longName is not null group by ticker",

@@ -15,7 +15,7 @@ TICKER = "lpad(cast(doc_id as string), 4, '0')"
 
 
 def _pick(of: list[str], number: str) -> str:
-    return f"case ({number}) % {len(of)} " + " ".join(f"when {i} then '{x}'" for i, x in enumerate(of)) + " end"
+    return f"split_part('{'|'.join(of)}', '|', cast(({number}) % {len(of)} as int) + 1)"
 
 
 def pieces(names: list[str] = NAMES) -> str:
@@ -25,10 +25,10 @@ def pieces(names: list[str] = NAMES) -> str:
     unlinked = f"({_pick(NAMES, 'doc_id * 7 + (doc_id % 13) * (doc_id % 3) + 3')})"
     return f"""select doc_id, {TICKER} as ticker, concat('C', cast(doc_id as string)) as company, {_pick(SECTORS, "doc_id")} as sector,
   '/r/' || ({_pick(SECTORS, "doc_id")}) || '/' || {TICKER} || '_C' || cast(doc_id as string) || '.md' as path,
-  doc_id % 11 = 5 as short, '# ' || {TICKER} || ' - [[C' || cast(doc_id as string) || ']]' as title,
+  doc_id % 11 = 5 as short, '# ' || {TICKER} || ' - [[C' || cast(doc_id as string) || ']]' || case when doc_id % 12 in (2, 3) then ' AI' else '' end as title,
   case when doc_id % 5 = 0 then '' else '**板塊:** Technology' || {LF} || '**產業:** ' || case when doc_id % 7 = 0 then '' else lang end || {LF} || '**市值:** ' || cast(n_chars as string) || ' 百萬台幣' || {LF} || '**企業價值:** ' || case when doc_id % 6 = 0 then 'N/A' else cast(n_chars * 2 as string) end || ' 百萬台幣' || {LF} || {LF} end as meta,
-  {link(0)} || ' 與 AI，AI 用於 AI5、[[AI]] 及 ' || {unlinked} || '。' || case when doc_id % 10 = 3 then {LF} || 'It provides parts and manufactures them' else '' end || {LF} || replace(substr(text, 1, 260), '#', '') as descr,
-  case when doc_id % 4 = 3 then '- ' || {link(2)} else '**上游:** ' || {link(2)} || '、' || {link(3)} || {LF} || '**中游:** ' || {link(4)} || ' (' || {link(4)} || ')' || {LF} || {LF} || '**下游:** ' || {link(5)} end as chain,
+  {link(0)} || case when doc_id % 12 in (1, 2, 3) then ' 與其他。' else ' 與 AI，AI 用於 AI5、[[AI]] 及 ' || {unlinked} || '。' end || case when doc_id % 10 = 3 then {LF} || 'It provides parts and manufactures them' else '' end || {LF} || replace(coalesce(text, ''), '#', '') as descr,
+  case when doc_id % 4 = 3 then '- ' || {link(2)} else '**上游:** ' || {link(2)} || '、' || {link(3)} || '、[[C' || cast(doc_id as string) || ']]、[[股份公司' || cast(doc_id as string) || ']]、[[股份公司' || cast(doc_id as string) || ']]' || {LF} || '**中游:** ' || {link(4)} || ' (' || {link(4)} || ')' || {LF} || {LF} || '**下游:** ' || {link(5)} end as chain,
   case when doc_id % 3 = 2 then '(待更新)' else '### 主要客戶' || {LF} || '- ' || {link(3)} || {LF} || '- ' || {link(6)} || {LF} || '### 主要供應商' || {LF} || '- AI 與 ' || {link(7)} end as cust,
   case when doc_id % 9 = 4 then '' else '## 財務概況 (單位: 百萬台幣, 只有 Margin 為 %)' || {LF} || '### 估值指標 (old)' || {LF} || '| AI |' || {LF} || {LF} || '### 年度關鍵財務數據 (近 3 年)' || {LF} || '| x |' || {LF} end as fin
 from documents"""
@@ -56,32 +56,47 @@ BATCHES = """select '- [' || (case when n_nationkey % 3 = 0 then ' ' else 'x' en
 PATCHES = f"""select '{{"' || (case when doc_id % 100 = 1 then 'X' else '' end) || {TICKER} || '": {{"desc": "新的 [[TSMC]] 說明 ' || cast(doc_id as string) || '", "supply_chain": "**上游:** [[SiC]]", '
   || (case when doc_id % 8 = 1 then '"cust": "- [[AI]]", ' else '' end) || '"sector": "S", "industry": "I"}}}}' as value from documents where doc_id % 4 = 1"""
 
-_YEARS = """select cast(o_custkey as bigint) as o_custkey, cast(year(o_orderdate) as int) as y, cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as total,
-  cast(sum(case when o_orderstatus = 'F' then cast(o_totalprice as decimal(18, 2)) end) as double) as done, cast(count(*) as double) as n from orders group by 1, 2"""
-
-
-def _item(statement: str, item: str, value: str, where: str = "true") -> str:
-    return f"select lpad(cast(o_custkey as string), 4, '0') as ticker, case when o_custkey % 3 = 0 then '.TWO' else '.TW' end as suffix, 'A' as freq, '{statement}' as statement, '{item}' as item, make_date(y, 12, 31) as period, {value} as value from years where {where}"
-
-
-#: Statements as landed, in long form, with no figure half-way between two printed ones: items that are missing, empty, or delivered under their second name.
-LANDED = f"with years as ({_YEARS}) " + " union all ".join(
-    [
-        _item("income", "Total Revenue", "case when y % 7 = 3 then null else total * 1000 + 1 end"),
-        _item("income", "Gross Profit", "done * 1000 + 1"),
-        _item("income", "Operating Income", "done * 500 + 1"),
-        _item("income", "Net Income", "cast(null as double)", "o_custkey % 4 = 0"),
-        _item("income", "Net Income Common Stockholders", "total * 100 + 1"),
-        _item("income", "Selling And Marketing Expense", "n * 1000 + 1", "o_custkey % 2 = 0"),
-        _item("income", "Selling General And Administration", "n * 4000 + 2"),
-        _item("income", "General And Administrative Expense", "case when y % 2 = 0 then n * 2500 + 1 end", "o_custkey % 5 = 0"),
-        _item("income", "Research And Development", "n * 300 + 1", "o_custkey % 3 = 1"),
-        _item("cash", "Operating Cash Flow", "total * 200 + 3"),
-        _item("cash", "Total Cashflows From Investing Activities", "-total - 1"),
-        _item("cash", "Free Cash Flow", "total * 150 + 1", "o_custkey % 2 = 1"),
-        _item("cash", "Capital Expenditure", "-n * 1000 - 1", "o_custkey % 3 = 2"),
-    ]
-)
+def _periods(freq: str, parts: str, period: str) -> str:
+    return f"""select cast(o_custkey as bigint) as o_custkey, '{freq}' as freq, cast(year(o_orderdate) as int) as y, {period} as period, cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as total,
+  cast(sum(case when o_orderstatus = 'F' then cast(o_totalprice as decimal(18, 2)) end) as double) as done, cast(count(*) as double) as n from orders group by o_custkey, {parts}"""
+
+
+_YEAR = "cast(year(o_orderdate) as int)"
+_QUARTER = "cast(quarter(o_orderdate) as int)"
+_ENDS = f"make_date({_YEAR}, {_QUARTER} * 3, case when {_QUARTER} in (1, 4) then 31 else 30 end)"
+_PERIODS = f"{_periods('A', 'year(o_orderdate)', f'make_date({_YEAR}, 12, 31)')} union all {_periods('Q', 'year(o_orderdate), quarter(o_orderdate)', _ENDS)}"
+
+#: Items of statements: statement, item, value, and for which rows. Some are missing, empty, or delivered under their second name; no figure is half-way between two printed ones.
+_ITEMS = [
+    ("income", "Total Revenue", "case when y % 7 = 3 then null else total * 1000 + 1 end", "true"),
+    ("income", "Gross Profit", "done * 1000 + 1", "true"),
+    ("income", "Operating Income", "done * 500 + 1", "true"),
+    ("income", "Net Income", "cast(null as double)", "o_custkey % 4 = 0"),
+    ("income", "Net Income Common Stockholders", "total * 100 + 1", "true"),
+    ("income", "Selling And Marketing Expense", "n * 1000 + 1", "o_custkey % 2 = 0"),
+    ("income", "Selling General And Administration", "n * 4000 + 2", "true"),
+    ("income", "General And Administrative Expense", "case when y % 2 = 0 then n * 2500 + 1 end", "o_custkey % 5 = 0"),
+    ("income", "Research And Development", "n * 300 + 1", "o_custkey % 3 = 1"),
+    ("cash", "Operating Cash Flow", "total * 200 + 3", "true"),
+    ("cash", "Total Cashflows From Investing Activities", "-total - 1", "true"),
+    ("cash", "Free Cash Flow", "total * 150 + 1", "o_custkey % 2 = 1"),
+    ("cash", "Capital Expenditure", "-n * 1000 - 1", "o_custkey % 3 = 2"),
+]
+
+
+def _by_item(column: int) -> str:
+    quote = (lambda x: f"'{x}'") if column < 2 else (lambda x: x)
+    return "case i.k " + " ".join(f"when {k} then {quote(item[column])}" for k, item in enumerate(_ITEMS)) + " end"
+
+
+def _landed(items: str) -> str:
+    """Statements as landed, in long form: years and quarters, an item a row. items: how the engine puts a number k for each item beside a row."""
+    return f"""with periods as ({_PERIODS}) select lpad(cast(o_custkey as string), 4, '0') as ticker, case when o_custkey % 3 = 0 then '.TWO' else '.TW' end as suffix, freq,
+  {_by_item(0)} as statement, {_by_item(1)} as item, period, {_by_item(2)} as value from periods {items} where {_by_item(3)}"""
+
+
+LANDED = _landed(f"cross join (select unnest(range({len(_ITEMS)})) as k) i")
+LANDED_IN_SPARK = _landed(f"lateral view explode(sequence(0, {len(_ITEMS) - 1})) i as k")
 
 #: Market data as landed: a row for each customer and suffix.
 INFO = """select lpad(cast(c_custkey as string), 4, '0') as ticker, s.suffix, case when c_custkey % 3 = 0 and s.suffix = '.TW' then 0.0 when c_custkey % 17 = 0 then null else cast(c_custkey as double) * 1.25 end as currentPrice,

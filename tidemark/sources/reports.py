@@ -37,9 +37,9 @@ def read_reports(spark: SparkSession, root: str, names: str = "report") -> DataF
 
 
 def last_wins(reports: DataFrame) -> DataFrame:
-    """One report a ticker: that of the last path."""
-    rest = [c for c in reports.columns if c != "ticker"]
-    return reports.groupBy("ticker").agg(F.max_by(F.struct(*rest), "path").alias("r")).select("ticker", "r.*").select(*reports.columns)
+    """One report a ticker: that of the last path. Only tickers and paths are compared; a report without either is not taken."""
+    last = reports.groupBy("ticker").agg(F.max("path").alias("path"))
+    return reports.join(last, ["ticker", "path"], "left_semi").select(*reports.columns)
 
 
 def in_scope(reports: DataFrame, tickers: Iterable[str] | None = None, sectors: Iterable[str] | None = None, fold_case: bool = True) -> DataFrame:
