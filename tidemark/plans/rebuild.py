@@ -1,44 +1,30 @@
-"""From a snapshot of reports to all its derived tables, which share what they can."""
+"""From a snapshot of reports to all its derived tables, and on after a term was linked."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark import dims
+from tidemark import storage
 from tidemark.operators import discover as D
-from tidemark.operators import graph as G
-from tidemark.operators import index as I
-from tidemark.operators import themes as TH
-from tidemark.operators.mentions import mentions
-from tidemark.sources.reports import last_wins
-
-
-def rebuild(spark: SparkSession, reports: DataFrame, min_weight: int = 5, top: int | None = None) -> dict[str, DataFrame]:
-    """index, totals, nodes, edges, theme_entries, theme_sizes, theme_related, theme_index. Nothing runs before they are used."""
-    counts = I.entity_counts(reports)
-    mentioned = mentions(last_wins(reports), "body")
-    frequency = G.document_frequency(mentioned)
-    edge = G.edges(mentioned, G.kept_names(frequency, top), min_weight)
-    themes, groups = dims.themes(spark), dims.theme_groups(spark)
-    entry = TH.entries(reports)
-    found = TH.theme_entries(entry, themes)
-    sizes = TH.theme_sizes(found)
-    return {
-        "index": I.entity_index(counts),
-        "totals": I.category_totals(counts),
-        "nodes": G.nodes(frequency, edge),
-        "edges": edge,
-        "theme_entries": found,
-        "theme_sizes": sizes,
-        "theme_related": TH.related(entry, themes),
-        "theme_index": TH.theme_index(sizes, groups),
-    }
-
-
-def link_and_rebuild(spark: SparkSession, reports: DataFrame, term: str, sectors: list[str] | None = None, min_weight: int = 5) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
-    """The hits of a term, the reports with it linked where it was found, and everything rebuilt from them."""
+from tidemark.plans import generations as N
+
+
+def rebuild(spark: SparkSession, reports: DataFrame, min_weight: int = 5, top: int | None = None, root: str | None = None) -> dict[str, DataFrame]:
+    """index, totals, nodes, edges, theme_entries, theme_sizes, theme_related, theme_index, from a new generation. The texts are scanned once."""
+    return N.derived(N.first_generation(spark, reports, root or storage.new_folder(spark, "generations")), min_weight, top)
+
+
+def link_and_rebuild(spark: SparkSession, reports: DataFrame, term: str, sectors: list[str] | None = None, min_weight: int = 5, root: str | None = None) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
+    """The hits of a term, the reports with it linked where it was found, and what is derived from them.
+
+    With a root that holds a generation of the reports only those that were changed are parsed again.
+    """
     hits = D.discover(reports, term, sectors)
     changed = D.link_term(reports, term)
     if sectors is not None:
         changed = D.link_term(reports.filter(reports.sector.isin(sectors)), term).unionByName(reports.filter(~reports.sector.isin(sectors)).selectExpr("*", "0 as applied"))
-    return hits, changed, rebuild(spark, changed.drop("applied"), min_weight)
+    if root and N.latest(spark, root):
+        made = N.derived(N.next_generation(spark, root, changed.filter("applied > 0").drop("applied")), min_weight)
+    else:
+        made = rebuild(spark, changed.drop("applied"), min_weight, root=root)
+    return hits, changed, made

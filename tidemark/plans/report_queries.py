@@ -18,12 +18,16 @@ from tidemark.operators import index as I
 from tidemark.operators import mentions as M
 from tidemark.operators import rewrite as R
 from tidemark.operators import statements as S
+from tidemark.operators import terms as TM
 from tidemark.operators import themes as H
 from tidemark.operators import valuation as V
+from tidemark.plans import generations as N
 from tidemark.plans import report_tables as X
+from tidemark.plans.rebuild import rebuild
 from tidemark.sources import batches, landing, patches, scope
 from tidemark.sources import reports as P
-from tidemark.storage import written
+from tidemark.sources.versions import Versions
+from tidemark.storage import new_folder, written
 
 TERM = "AI"
 AS_OF = "2026-01-02"
@@ -227,11 +231,60 @@ def report_by_role(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.by_role(discovered(spark, sf_dir))
 
 
+def report_all_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name of the index in every report, in one pass."""
+    found = reports(spark, sf_dir)
+    listed = I.entity_index(I.entity_counts(found))
+    return TM.find_terms(found, listed).select("name", "ticker", "linked", "bare", "role")
+
+
 def report_link_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = D.link_term(reports(spark, sf_dir), TERM)
     return done.select("ticker", F.col("applied").cast("long").alias("applied"), digest())
 
 
+def _kinds(made: dict[str, DataFrame]) -> DataFrame:
+    """What a generation gives, as rows kind, a, b, n."""
+    row = lambda name, a, b, n: made[name].select(F.lit(name).alias("kind"), F.col(a).cast("string").alias("a"), (F.col(b).cast("string") if b else F.lit(None).cast("string")).alias("b"), F.col(n).cast("long").alias("n"))
+    parts = [row("index", "category", "name", "count"), row("totals", "category", None, "names"), row("nodes", "id", "category", "count"), row("edges", "source", "target", "weight")]
+    parts += [row("theme_sizes", "tag", None, "companies"), row("theme_related", "tag", "related", "companies"), row("theme_index", "group", "tag", "companies")]
+    roles = made["theme_entries"].groupBy("tag", "role").agg(F.count("*").alias("n"))
+    out = roles.select(F.lit("theme_entries").alias("kind"), F.col("tag").alias("a"), F.col("role").alias("b"), "n")
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
+def report_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All derived tables from one scan of the reports."""
+    return _kinds(rebuild(spark, reports(spark, sf_dir)))
+
+
+def report_delta_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after patches, from the generation before and the patched reports only."""
+    root, found = new_folder(spark, "generations"), reports(spark, sf_dir)
+    N.first_generation(spark, found, root)
+    done = R.enrich(found, patched(spark, sf_dir))
+    return _kinds(N.derived(N.next_generation(spark, root, done.filter("status = 'updated'").drop("status"))))
+
+
+def report_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions of a snapshot: all reports; two sectors patched; new tickers added, by a run that is repeated."""
+    found = reports(spark, sf_dir)
+    held = Versions(spark, new_folder(spark, "versions"), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema))
+    base = held.overwrite(found, "base")
+    some = ["Solar", "Auto Parts"]
+    held.overwrite(R.enrich(held.read(base, some), patched(spark, sf_dir)).drop("status"), "patches", based_on=base)
+    fresh = made(spark, sf_dir, X.INFO).select("ticker", F.lit("N").alias("company"), "sector", F.concat(F.lit("/n/"), "ticker").alias("path"), F.lit("new").alias("content")).distinct()
+    for _ in range(2):
+        last = held.append_new(fresh, "new tickers")
+    out = None
+    for version in range(1, last + 1):
+        rows = held.read(version).select(F.lit(version).alias("version"), "ticker", "sector", digest())
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def report_set_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A section replaced up to the next header, and one to the end of the file."""
     content, value = F.col("content"), F.concat(F.lit("- $1 \\new "), "ticker")

@@ -264,7 +264,23 @@ _ROLE = {"upstream": ("上游", 1), "midstream": ("中游", 3), "downstream": ("
 _ROLE_NO = "case role " + " ".join(f"when '{r}' then {i}" for r, (_, i) in _ROLE.items()) + " end"
 _ROLE_TITLE = "case role " + " ".join(f"when '{r}' then '{t}'" for r, (t, _) in _ROLE.items()) + " end"
 
+_MADE = f"""{INDEX.replace("listed as", "classed as").replace("from listed", "from classed")}, {OFTEN}, {BUILT.replace(REPORTS + ", ", "")}"""
+_KINDS = """select 'index' as kind, category as a, name as b, count as n from indexed union all select 'totals', category, null, count(*) from indexed group by category union all select 'totals', null, null, count(*) from counts
+  union all select 'nodes', id, category, count from coloured union all select 'edges', source, target, weight from edge union all select 'theme_sizes', tag, null, companies from sizes
+  union all select 'theme_related', tag, related, companies from related union all select 'theme_index', grp, tag, companies from listed union all select 'theme_entries', tag, role, count(*) from built group by tag, role"""
+_PATCHED_REPORTS = f"{_enriched().format(_DONE)}, given as ({X.REPORTS})"
+
 SQL = {
+    "report_rebuild": f"with {REPORTS}, {_MADE} {_KINDS}",
+    "report_delta_refresh": f"with {_PATCHED_REPORTS}, reports as (select g.ticker, g.company, g.sector, g.path, case when e.updated then e.content else g.content end as content from given g join enriched e on g.ticker = e.ticker), {_MADE} {_KINDS}",
+    "report_versions": f"""with {_PATCHED_REPORTS}, second as (select g.ticker, g.sector, case when g.sector in ('Solar', 'Auto Parts') and e.updated then e.content else g.content end as content from given g join enriched e on g.ticker = e.ticker),
+  fresh as (select distinct ticker, sector from ({X.INFO}) i where ticker not in (select ticker from given))
+  select 1 as version, ticker, sector, md5(content) as digest from given union all select 2, ticker, sector, md5(content) from second
+  union all select 3, ticker, sector, md5(content) from second union all select 3, ticker, sector, md5('new') from fresh""",
+    "report_all_terms": f"""with {REPORTS}, {INDEX}, bodies as (select ticker, {BODY} as body from reports), near as (select name, ticker, body from bodies join indexed on contains(body, name)),
+  found as (select *, {_LINKED.replace(TERM, "name")} as linked, {_BARE.replace(TERM, "name")} as bare from near)
+  select name, ticker, linked, bare, case when contains({_exact("body", SECTIONS["desc"])}, name) then 'core_business' when contains({_exact("body", SECTIONS["supply_chain"])}, name) then 'supply_chain'
+    when contains({_exact("body", SECTIONS["customers"])}, name) then 'customer_supplier' else 'mentioned' end as role from found where linked > 0 or bare > 0""",
     "report_parse": f"""with {REPORTS}, b as (select *, {BODY} as body from reports) select ticker, length(body) as body_chars, md5(substr(content, length(body) + 1)) as finance,
   {_exact("body", SECTIONS["desc"])} as "desc", {_exact("body", SECTIONS["supply_chain"])} as supply_chain, {_exact("body", SECTIONS["customers"])} as customers, {_line("板塊")} as meta_sector, {_line("產業")} as meta_industry,
   try_cast(replace(regexp_extract({_line("市值")}, '(-?[0-9,]+(\\.[0-9]+)?)', 1), ',', '') as double) as market_cap_m, try_cast(replace(regexp_extract({_line("企業價值")}, '(-?[0-9,]+(\\.[0-9]+)?)', 1), ',', '') as double) as ev_m from b""",
