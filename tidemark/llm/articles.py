@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_few, cut_lineage, pick, table
 from .dom import BLOCKS, DEEPEST, HEADINGS, Node, parse
 
-#: A text is template if this part of a host's pages have it at a node, of at least so many different pages.
-SHARED, LEAST_PAGES = 0.6, 3
+#: A text is template if this part of a host's different pages have it at a node, of at least so many pages. Up to FEW_PAGES all must have it:
+#: of a few pages some may be versions of one article.
+SHARED, LEAST_PAGES, FEW_PAGES = 0.6, 3, 8
 #: The content root holds this part of all text in slots.
 CONTENT = 0.98
 #: Rules up to this many bytes go to every executor at once; more are joined by host.
@@ -258,7 +259,7 @@ def _merged(trees: pa.ChunkedArray) -> Template:
 
 
 def shared_texts(pages: DataFrame) -> DataFrame:
-    """host, node, place, chars: the texts that at least SHARED of a host's different pages have at a node, and their characters in all pages.
+    """host, node, place, chars: the texts that at least SHARED of a host's different pages (but no fewer than FEW_PAGES, or all) have at a node, and their characters in all pages.
 
     Counts are exact. Pages with equal HTML are one page; a host with fewer than LEAST_PAGES has no such texts.
     """
@@ -284,7 +285,7 @@ def shared_texts(pages: DataFrame) -> DataFrame:
     # What a single page has is no template: neither it nor a host of so few pages has to be kept.
     counts = cut_lineage(counts.filter("n > 1"))
     hosts = counts.filter(F.col("place").isNull() & (F.col("n") >= LEAST_PAGES)).select("host", F.col("n").alias("pages"))
-    often = counts.filter("place is not null").join(broadcast_if_few(hosts), "host").filter(F.col("n") >= SHARED * F.col("pages"))
+    often = counts.filter("place is not null").join(broadcast_if_few(hosts), "host").filter(F.col("n") >= F.least("pages", F.greatest(F.lit(FEW_PAGES), SHARED * F.col("pages"))))
     return often.select("host", "node", "place", "chars")
 
 

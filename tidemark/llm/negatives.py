@@ -173,13 +173,22 @@ class Searches:
         return len(self.best[i]) == self.k and -self.best[i][-1][0] > bound
 
 
+def _double(score: int | None, without: float) -> float:
+    """A score as a double, or what stands for none; beyond all doubles infinite."""
+    if score is None:
+        return without
+    try:
+        return float(score)
+    except OverflowError:
+        return math.inf if score > 0 else -math.inf
+
+
 def scan(searches: Searches, ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray, blocks: np.ndarray, between: tuple[np.ndarray, np.ndarray], load: Callable) -> None:
     """Runs the searches to their certain ends. between: the least and the greatest score that each block can have with each anchor."""
     least, most = between
     order, at, step = [], [0] * len(searches.anchor), 2
     for i, a in enumerate(searches.anchor):
-        low, high = searches.low[i], searches.high[i]
-        some = np.flatnonzero((most[a] >= (-np.inf if low is None else low)) & (least[a] <= (np.inf if high is None else high)))
+        some = np.flatnonzero((most[a] >= _double(searches.low[i], -np.inf)) & (least[a] <= _double(searches.high[i], np.inf)))
         order.append(some[np.argsort(-most[a][some], kind="stable")])
     live = [i for i in range(len(searches.anchor)) if len(order[i])]
     while live:
