@@ -17,6 +17,7 @@ from tidemark.operators import rewrite as W
 from tidemark.operators import statements as S
 from tidemark.operators import themes as TH
 from tidemark.operators import valuation as V
+from tidemark.operators.layout import layout
 from tidemark.operators.mentions import mentions
 from tidemark.sources import batches as B
 from tidemark.sources import landing as L
@@ -58,7 +59,9 @@ def graph(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.out:
         text = sinks.graph_json(n, e)
         sinks.write_text(text, "value", f"{a.out}/json")
-        page = sinks.graph_page(text.first().value, least=a.min_weight)
+        # The page holds the whole graph, which thresholds have made small; so it may hold the places too.
+        places = {r.id: (r.x, r.y) for r in layout(n, e).collect()}
+        page = sinks.graph_page(text.first().value, least=a.min_weight, places=places)
         sinks.write_text(spark.createDataFrame([(page,)], "page string"), "page", f"{a.out}/html")
     _show(G.scales(n, e))
 

@@ -12,5 +12,5 @@ from tidemark.plans.report_sql import SQL as REPORT_SQL
 from tidemark.plans.table_queries import link_graph as link_graph
 from tidemark.plans.table_sql import SQL
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: getattr(Q, name) for name in SQL} | {name: getattr(R, name) for name in REPORT_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: getattr(Q, name) for name in SQL} | {name: getattr(R, name) for name in [*REPORT_SQL, "report_layout"]}
 ORACLES: dict[str, str] = SQL | REPORT_SQL

@@ -15,6 +15,7 @@ from tidemark.operators import base_reports as B
 from tidemark.operators import discover as D
 from tidemark.operators import graph as G
 from tidemark.operators import index as I
+from tidemark.operators import layout as LY
 from tidemark.operators import mentions as M
 from tidemark.operators import rewrite as R
 from tidemark.operators import statements as S
@@ -26,8 +27,10 @@ from tidemark.plans import report_tables as X
 from tidemark.plans.rebuild import rebuild
 from tidemark.sources import batches, landing, patches, scope
 from tidemark.sources import reports as P
+from tidemark.sources import sheets as SH
 from tidemark.sources.versions import Versions
 from tidemark.storage import new_folder, written
+from tidemark.streaming import refresh as ST
 
 TERM = "AI"
 AS_OF = "2026-01-02"
@@ -77,6 +80,46 @@ def report_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.last_wins(found.unionByName(again)).select("ticker", "company", "path", digest())
 
 
+def report_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports written as files, some a second time under a later path, then found and read again as files."""
+    root = new_folder(spark, "report-files")
+    found = reports(spark, sf_dir)
+    again = found.filter(F.col("company").endswith("7")).select("ticker", F.lit("Zinc & Co+").alias("sector"), F.concat("company", F.lit(" 新+%41")).alias("company"), F.concat("content", F.lit("\nlast")).alias("content"))
+    files = found.select("ticker", "sector", "company", "content").unionByName(again)
+    sinks.write_files(files.select(F.concat("sector", F.lit("/"), "ticker", F.lit("_"), "company", F.lit(".md")).alias("name"), "content"), root).count()
+    return P.last_wins(P.read_reports(spark, root)).select("ticker", "company", "sector", digest())
+
+
+def report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports that arrive in several files, some twice and some again under another path; what counts in the end."""
+    root = new_folder(spark, "stream")
+    found = reports(spark, sf_dir).withColumn("landed_at", F.lit("2026-01-02 00:00:00").cast("timestamp"))
+    later = found.filter(F.col("company").endswith("7")).withColumn("path", F.replace("path", F.lit("/r/"), F.lit("/s/"))).withColumn("company", F.concat("company", F.lit(" new")))
+    for part in (found, later.unionByName(found.filter(F.col("company").endswith("3"))), found.filter(F.col("company").endswith("7"))):
+        part.coalesce(2).write.mode("append").parquet(f"{root}/landing")
+    stream = spark.readStream.schema(found.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
+    ST.follow_changes(stream, f"{root}/changes", f"{root}/state").awaitTermination()
+    return ST.followed(spark, f"{root}/changes").select("ticker", "company", "path", digest())
+
+
+def listed_in_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written as spreadsheets, a thousand rows each at most, and read back."""
+    folder = new_folder(spark, "sheets")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_acctbal", F.floor(F.col("c_custkey") / 1000).alias("part"))
+    sinks.write_sheets(rows, "part", ["c_custkey", "c_name", "c_acctbal"], folder).count()
+    sheets = SH.read_sheets(spark, folder)
+    tickers = SH.listed(sheets).select("ticker", "company", F.lit(None).cast("double").alias("balance"))
+    return tickers.unionByName(sheets.filter(~F.get("cells", F.lit(0)).rlike(r"^\d{1,4}$")).select(F.get("cells", F.lit(0)).alias("ticker"), F.get("cells", F.lit(1)).alias("company"), F.get("cells", F.lit(2)).cast("double").alias("balance")))
+
+
+def report_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions of the graph's nodes after six rounds of the force layout."""
+    mentioned = M.mentions(reports(spark, sf_dir))
+    frequency = written(G.document_frequency(mentioned), "frequency")
+    edge = written(G.edges(mentioned, G.kept_names(frequency)), "edges")
+    return LY.layout(G.nodes(frequency, edge), edge, rounds=6)
+
+
 def report_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, listed = reports(spark, sf_dir), batches.parse_batches(made(spark, sf_dir, X.BATCHES))
     scopes = {"all": [], "sector": ["--sector", "auto", "parts"], "tickers": ["0001", "nothing", "0012", "12"], "batch": ["--batch", "2"]}

@@ -277,6 +277,10 @@ SQL = {
   fresh as (select distinct ticker, sector from ({X.INFO}) i where ticker not in (select ticker from given))
   select 1 as version, ticker, sector, md5(content) as digest from given union all select 2, ticker, sector, md5(content) from second
   union all select 3, ticker, sector, md5(content) from second union all select 3, ticker, sector, md5('new') from fresh""",
+    "report_scan": f"""with {REPORTS}, twice as (select *, suffix(company, '7') as again from reports)
+  select ticker, case when again then company || ' 新+%41' else company end as company, case when again then 'Zinc & Co+' else sector end as sector, md5(case when again then content || chr(10) || 'last' else content end) as digest from twice""",
+    "report_stream": f"""with {REPORTS} select ticker, case when suffix(company, '7') then company || ' new' else company end as company, case when suffix(company, '7') then replace(path, '/r/', '/s/') else path end as path, md5(content) as digest from reports""",
+    "listed_in_sheets": """select case when c_custkey < 10000 then lpad(c_custkey::varchar, 4, '0') else c_custkey::varchar end as ticker, c_name as company, case when c_custkey < 10000 then null else c_acctbal end as balance from customer""",
     "report_all_terms": f"""with {REPORTS}, {INDEX}, bodies as (select ticker, {BODY} as body from reports), near as (select name, ticker, body from bodies join indexed on contains(body, name)),
   found as (select *, {_LINKED.replace(TERM, "name")} as linked, {_BARE.replace(TERM, "name")} as bare from near)
   select name, ticker, linked, bare, case when contains({_exact("body", SECTIONS["desc"])}, name) then 'core_business' when contains({_exact("body", SECTIONS["supply_chain"])}, name) then 'supply_chain'

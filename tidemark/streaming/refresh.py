@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.sources.reports import last_wins
 
@@ -51,3 +55,49 @@ def sessions(events: DataFrame, gap: str = "6 hours", late: str = "1 day") -> Da
     if timed.isStreaming:
         timed = timed.withWatermark("ts", late)
     return timed.groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count("*").alias("n")).select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+
+
+def deduplicated(stream: DataFrame, late: str = "1 day") -> DataFrame:
+    """A stream of reports with landed_at without those whose path came before, within the time that late rows are waited for. State holds paths for that time."""
+    return stream.withWatermark("landed_at", late).dropDuplicatesWithinWatermark(["path", "ticker"])
+
+
+_CHANGES = "ticker string, company string, sector string, path string, content string"
+
+
+def newest(stream: DataFrame) -> DataFrame:
+    """Of a stream of reports those that come to count for their ticker: of a greater path than any before. State holds a path a ticker, no text."""
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = state.get[0] if state.exists else None
+        best = None
+        for frame in frames:
+            for row in frame.sort_values("path").tail(1).itertuples(index=False):
+                if row.path is not None and (last is None or row.path > last):
+                    last, best = row.path, row
+        if best is not None:
+            state.update((last,))
+            yield pd.DataFrame([best], columns=["ticker", "company", "sector", "path", "content"])
+
+    rows = stream.select("ticker", "company", "sector", "path", "content")
+    return rows.groupBy("ticker").applyInPandasWithState(run, _CHANGES, "path string", "append", GroupStateTimeout.NoTimeout)
+
+
+def follow_changes(stream: DataFrame, folder: str, checkpoint: str, late: str = "1 day") -> StreamingQuery:
+    """Writes what comes to count, batch by batch, to ``folder/batch=<n>``. A batch costs what it holds, not what came before; run again, it writes the same."""
+
+    def keep(changes: DataFrame, batch: int) -> None:
+        changes.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+
+    rows = deduplicated(stream, late) if "landed_at" in stream.columns else stream
+    return newest(rows).writeStream.foreachBatch(keep).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def followed(spark: SparkSession, folder: str) -> DataFrame:
+    """The snapshot that the changes make: of each ticker that of the last path."""
+    return last_wins(spark.read.schema(REPORTS).parquet(f"{folder}/*"))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query dropped because they came after the watermark."""
+    return sum(int(s["numRowsDroppedByWatermark"]) for p in query.recentProgress for s in p["stateOperators"])
