@@ -28,7 +28,7 @@ def test_suffix_order(seed):
         order = sorted(range(len(text)), key=lambda i: text[i:])
         same = lambda a, b: sum(1 for _ in itertools.takewhile(lambda p: p[0] == p[1], zip(text[a:], text[b:], strict=False)))  # noqa: B023, E731
         shared = [0] + [min(cap, same(a, b)) for a, b in itertools.pairwise(order)]
-        got = suffixes.suffix_order(np.array(text, np.uint16), max(text) + 1, cap, rng.choice([16, 1 << 20]))
+        got = suffixes.suffix_order(np.array(text, np.uint16), max(text) + 1, cap, rng.choice([16, 1 << 20]), rng.choice([0, 5, 1000]))
         assert got[0].tolist() == order and got[1].tolist() == shared
 
 

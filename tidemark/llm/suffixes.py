@@ -2,8 +2,8 @@
 
 A text is an array of numbers that ends in one that is smaller than all others. Positions fall into runs of equal numbers. A suffix whose
 run is followed by a smaller number is falling, else it is rising; a rising run behind a falling one starts at a seed. The pieces of text
-from seed to seed are named in order; where names repeat, the text of names is sorted in the same way, which gives the order of the seeds. The
-falling suffixes are induced from the seeds, from the least number up; the rising ones from the falling, from the greatest down.
+from seed to seed are named in order; where names repeat, the text of names is sorted in the same way (a short one by ranks of prefixes), which
+gives the order of the seeds. The falling suffixes are induced from the seeds, from the least number up; the rising ones from the falling, from the greatest down.
 
 What is induced goes through a queue by numbers: a place for each tuple (position, steps to the next run, rank of the suffix there), so that what
 is taken out together comes in the order of those ranks. Numbers of which none induces another are taken out together. The prefix that two
@@ -20,6 +20,8 @@ import numpy as np
 
 #: Bytes of an array beyond which it lives on disk.
 MEMORY = 256 << 20
+#: Names that are sorted by ranks of doubled length, at the end of the recursion.
+FEW = 1 << 18
 _BLOCK = 16
 
 
@@ -258,10 +260,37 @@ class _Pieces:
         return np.minimum(out, cap)
 
 
-def suffix_order(text: np.ndarray, n_symbols: int, cap: int, memory: int = MEMORY) -> tuple[np.ndarray, np.ndarray]:
+def _by_doubling(text: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
+    """As suffix_order(), for a text of few names at the end of the recursion: ranks of prefixes of 1, 2, 4 ... numbers until all are told apart."""
+    n = len(text)
+    ranks, step = [text.astype(np.int64)], 1
+    while True:
+        rank = ranks[-1]
+        behind = np.zeros(n, np.int64)
+        behind[: max(n - step, 0)] = rank[step:] + 1
+        key = rank * (int(behind.max()) + 1) + behind
+        order = np.argsort(key, kind="stable")
+        number = np.concatenate(([0], np.cumsum(key[order][1:] != key[order][:-1])))
+        if number[-1] == n - 1:
+            break
+        rank = np.empty(n, np.int64)
+        rank[order] = number
+        ranks.append(rank)
+        step *= 2
+    a, b = order[1:], order[:-1]
+    shared = np.zeros(n - 1, np.int64)
+    # What two share is less than twice the longest prefix that was ranked: by the last that tells them apart, then by halves.
+    for k in range(len(ranks) - 1, -1, -1):
+        at, to = a + shared, b + shared
+        live = np.flatnonzero((at < n) & (to < n))
+        shared[live[ranks[k][at[live]] == ranks[k][to[live]]]] += 1 << k
+    return order.astype(np.int32), np.minimum(np.concatenate(([0], shared)), cap).astype(np.uint16)
+
+
+def suffix_order(text: np.ndarray, n_symbols: int, cap: int, memory: int = MEMORY, few: int = FEW) -> tuple[np.ndarray, np.ndarray]:
     """Positions in the order of their suffixes, and the prefix (up to the cap) that each shares with the one before it.
 
-    text: numbers below n_symbols; the last is 0, and no other is. cap: 65,000 at most.
+    text: numbers below n_symbols; the last is 0, and no other is. cap: 65,000 at most. few: names up to which the recursion ends.
     """
     n = len(text)
     if n == 1:
@@ -282,7 +311,7 @@ def suffix_order(text: np.ndarray, n_symbols: int, cap: int, memory: int = MEMOR
     if len(sample) == len(seeds):
         by, common = sample, between
     else:
-        by, names_shared = suffix_order(name.astype(np.int32), len(sample), cap, memory)
+        by, names_shared = _by_doubling(name, cap) if len(name) <= few else suffix_order(name.astype(np.int32), len(sample), cap, memory, few)
         by, h = by.astype(np.int64), names_shared.astype(np.int64)
         # So many whole pieces, and what the first unlike pieces share: the least between their names.
         a, b = np.minimum(by[1:] + h[1:], len(seeds) - 1), np.minimum(by[:-1] + h[1:], len(seeds) - 1)
