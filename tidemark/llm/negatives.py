@@ -26,6 +26,8 @@ from .common import cut_lineage, new_folder, pick, table
 PIVOTS, SAMPLE, ROUNDS = 64, 2048, 5
 #: Least rows of a block, most blocks but for those that pivots and partitions cut, rows scanned at a time, anchors searched for at a time.
 BLOCK, BLOCKS, ROWS, TILE = 2048, 100_000, 4096, 64
+#: Most partitions that anchors are dealt to.
+PARTITIONS = 20_000
 #: Positives of an anchor, negatives of a positive, and bounds of their scores in hundredths of the positive's.
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 10, 30, 90
 
@@ -280,7 +282,7 @@ def hard_negatives(vectors: DataFrame, positives: int = POSITIVES, negatives: in
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kept, strict=True)], schema=kept)
 
     anchors = _with_keys(rows.filter(F.col("vec_id") % every == 0), pivots, dims, longest, kind)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // every // (4 * TILE) + 1)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(n // every // (4 * TILE) + 1, PARTITIONS))
     return anchors.repartitionByRange(parts, "pivot", "key", "vec_id").sortWithinPartitions("pivot", "key", "vec_id").mapInArrow(run, _SCHEMA)
 
 

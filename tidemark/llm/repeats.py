@@ -28,6 +28,8 @@ from .common import broadcast_if_few, cut_lineage, new_folder, pick, set_aside,
 
 #: Bytes of a window and of a gram; bytes of a shard, and of stretches under one key that a shard takes.
 LENGTH, GRAM, SHARD = 400, 32, 2 << 20
+#: Most partitions that shards and texts are dealt to; a partition holds more of them then.
+PARTITIONS = 20_000
 #: Windows that are keyed at a time, and bytes of texts to a bucket.
 _SEGMENT, _BUCKET = 1 << 16, 32 << 20
 _FACTOR = 0x9E3779B97F4A7C15
@@ -202,35 +204,47 @@ def repeated_windows(bodies: list[np.ndarray], length: int = LENGTH, memory: int
     return [(first[a:b] - begin, last[a:b] - begin) for a, b, begin in zip(cut[:-1], cut[1:], begins.tolist(), strict=True)]
 
 
+def _repeats_of_shard(shard: pa.Table, length: int) -> pa.Table:
+    """key, mark, begins and ends of the contexts of a shard that have repeated windows."""
+    key, n = shard.column("key").to_numpy(), shard.column("n").to_numpy()
+    _, of, under = np.unique(key, return_inverse=True, return_counts=True)
+    several = np.flatnonzero((under[of] > 1) | shard.column("twofold").to_numpy())
+    body = shard.column("body")
+    view = lambda i: np.frombuffer(body[i].as_buffer(), np.uint8)
+    begins: list[list[int]] = [[] for _ in range(len(key))]
+    ends: list[list[int]] = [[] for _ in range(len(key))]
+    if len(several):
+        for i, (a, b) in zip(several.tolist(), repeated_windows([view(i) for i in several.tolist()], length), strict=True):
+            begins[i], ends[i] = a.tolist(), b.tolist()
+    for i in np.flatnonzero(n > 1).tolist():
+        begins[i], ends[i] = [0], [len(view(i)) - length + 1]
+    some = [i for i, x in enumerate(begins) if x]
+    keep = pa.array(some, pa.int64())
+    lists = lambda x: pa.array([x[i] for i in some], pa.list_(pa.int32()))
+    return pa.table({"key": shard.column("key").take(keep), "mark": shard.column("mark").take(keep), "begins": lists(begins), "ends": lists(ends)})
+
+
 def _sorted_shards(contexts: DataFrame, shards: int, length: int) -> DataFrame:
-    """key, mark and the stretches of repeated windows of each distinct context (key, mark, n, twofold, body). A task sorts a shard."""
+    """key, mark and the stretches of repeated windows of each distinct context (key, mark, n, twofold, body). A task sorts its shards one by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [batch for batch in batches if batch.num_rows]
-        if not held:
-            return
-        shard = pa.Table.from_batches(held)
-        key, n = shard.column("key").to_numpy(), shard.column("n").to_numpy()
-        _, of, under = np.unique(key, return_inverse=True, return_counts=True)
-        several = np.flatnonzero((under[of] > 1) | shard.column("twofold").to_numpy())
-        body = shard.column("body")
-        view = lambda i: np.frombuffer(body[i].as_buffer(), np.uint8)
-        begins: list[list[int]] = [[] for _ in range(len(key))]
-        ends: list[list[int]] = [[] for _ in range(len(key))]
-        if len(several):
-            for i, (a, b) in zip(several.tolist(), repeated_windows([view(i) for i in several.tolist()], length), strict=True):
-                begins[i], ends[i] = a.tolist(), b.tolist()
-        for i in np.flatnonzero(n > 1).tolist():
-            begins[i], ends[i] = [0], [len(view(i)) - length + 1]
-        some = np.array([bool(x) for x in begins])
-        keep = pa.array(np.flatnonzero(some))
-        lists = lambda x: pa.array([x[i] for i in np.flatnonzero(some).tolist()], pa.list_(pa.int32()))
-        out = pa.table({"key": shard.column("key").take(keep), "mark": shard.column("mark").take(keep), "begins": lists(begins), "ends": lists(ends)})
-        yield from out.to_batches(max_chunksize=5000)
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            number = batch.column("shard").to_numpy()
+            edges = np.flatnonzero(np.diff(number)) + 1
+            for lo, hi in zip(np.append(0, edges).tolist(), np.append(edges, len(number)).tolist(), strict=True):
+                if held and hi > lo and held[-1].column("shard")[0].as_py() != number[lo]:
+                    yield from _repeats_of_shard(pa.Table.from_batches(held), length).to_batches(max_chunksize=5000)
+                    held = []
+                if hi > lo:
+                    held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield from _repeats_of_shard(pa.Table.from_batches(held), length).to_batches(max_chunksize=5000)
         pa.default_memory_pool().release_unused()
 
     schema = "key long, mark binary, begins array<int>, ends array<int>"
-    return contexts.select("key", "mark", "n", "twofold", "body").repartition(shards, "key").mapInArrow(run, schema)
+    dealt = contexts.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "key", "mark", "n", "twofold", "body")
+    return dealt.repartition(min(shards, PARTITIONS), "shard").sortWithinPartitions("shard").mapInArrow(run, schema)
 
 
 def _spans(rows: DataFrame, length: int, gram: int, shard: int) -> DataFrame:
@@ -293,7 +307,7 @@ def _texts(spark: SparkSession, ids: DataFrame) -> tuple[DataFrame, str]:
     # Copies meet in each task before anything moves.
     distinct = ids.groupBy("id").agg(F.count("*").alias("copies"), F.first("body").alias("body"))
     bytes_in = ids.agg(F.sum(F.length("body"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), bytes_in // _BUCKET + 1)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(bytes_in // _BUCKET + 1, PARTITIONS))
     name = f"tidemark_texts_{uuid.uuid4().hex}"
     distinct.repartition(buckets, "id").write.format("parquet").bucketBy(buckets, "id").option("path", new_folder(spark, "repeat-texts")).saveAsTable(name)
     return spark.table(name), name
