@@ -427,3 +427,67 @@ def repaired(conversations: DataFrame, most_rows: int = PIECE_ROWS, most_chars:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repaired(damaged(table(spark, sf_dir, "conversations")))
     return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def _sql() -> str:
+    """The query's result in SQL: the damage, the faults, and the cheapest edits from each row on by recursion, from the last row to the first."""
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    keep = ["CASE WHEN initial = 's' THEN v1 WHEN initial = 'u' THEN v2 END", "CASE WHEN initial = 'u' THEN v2 END", "CASE WHEN initial = 'a' THEN v3 END", "CASE WHEN initial = 'u' THEN v2 END"]
+    put = lambda v, cost, name, line: f"{{'cost': {v}.cost + {cost}, 'audit': '{name}' || {v}.audit, 'lines': {line}}}"
+
+    def taken(q: int) -> str:
+        delete = put(f"v{q}", 3, "D", f"v{q}.lines")
+        rerole = f"CASE WHEN NOT gone THEN {put(f'v{_NEXT[q]}', '2 + short', 'R', f'''list_prepend('{_ROLE[q]}:' || text, v{_NEXT[q]}.lines)''')} END"
+        kept = f"CASE WHEN NOT gone AND ({keep[q]}) IS NOT NULL THEN {put(f'({keep[q]})', 'short', 'K', f'''list_prepend(role || ':' || text, ({keep[q]}).lines)''')} END"
+        return f"list_min([x FOR x IN [{delete}, {kept}, {rerole}] IF x IS NOT NULL]) AS v{q}"
+
+    def inserted(q: int) -> str:
+        n = _NEXT[q]
+        return f"list_min([v{q}, {put(f'v{n}', 2, 'I', f'''list_prepend('{_ROLE[q]}:', v{n}.lines)''')}]) AS v{q}"
+
+    each = lambda f: ", ".join(f(q) for q in range(4))
+    ends = ["{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}", "{'cost': 4, 'audit': 'II', 'lines': ['user:', 'assistant:']}", "{'cost': 2, 'audit': 'I', 'lines': ['assistant:']}", "{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}"]
+    kind = "STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR[])"
+    return f"""
+WITH RECURSIVE crc AS (
+    SELECT [list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) FOR n IN range(256)] AS bits
+),
+named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations
+),
+dealt AS (
+    SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(list_prepend(4294967295, [ord(name[i]) FOR i IN range(1, length(name) + 1)]), lambda c, b: xor(bits[(xor(c, b) & 255) + 1], c >> 8))) % 20 AS k
+    FROM named, crc
+),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM dealt, (SELECT unnest([1, 2]) AS copy) WHERE k <> 0 AND (copy = 1 OR k = 3)
+),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, rtrim(text, {space}) AS bare FROM numbered
+),
+rows AS (
+    SELECT conv_id, turn, i, role, text, left(role, 1) AS initial, bare = '' AS blank, bare <> '' AND again AS duplicate, bare <> '' AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS truncated,
+        left(role, 1) || lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) NOT IN ('su', 'ua', 'au') AS illegal
+    FROM placed
+),
+counted AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+    FROM rows GROUP BY conv_id
+),
+best AS (
+    SELECT conv_id, n AS i, {each(lambda q: f"{ends[q]}::{kind} AS v{q}")} FROM counted
+    UNION ALL
+    SELECT conv_id, i, {each(inserted)} FROM (SELECT conv_id, i, {each(inserted)} FROM (SELECT conv_id, i, {each(inserted)} FROM (
+        SELECT conv_id, i - 1 AS i, {each(taken)} FROM (SELECT b.conv_id, b.i, b.v0, b.v1, b.v2, b.v3, r.initial, r.role, r.text, r.blank OR r.duplicate AS gone, r.truncated::BIGINT AS short FROM best b JOIN rows r ON b.conv_id IS NOT DISTINCT FROM r.conv_id AND b.i = r.i))))
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+    coalesce(v0.cost, 0) AS cost, coalesce(v0.audit, '') AS audit, sha256(coalesce(array_to_string(v0.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counted d ON c.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN best b ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND b.i = 0
+"""
+
+
+OP12_SQL = _sql()
