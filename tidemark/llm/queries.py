@@ -20,4 +20,8 @@ QUERIES = {
     "op13_suffix_dedup": repeats.op13,
 }
 
-ORACLES: dict[str, str] = {"op11_distance_key_negatives": negatives.OP11_SQL, "op12_conversation_repair": conversations.OP12_SQL}
+ORACLES: dict[str, str] = {
+    "op11_distance_key_negatives": negatives.OP11_SQL,
+    "op12_conversation_repair": conversations.OP12_SQL,
+    "op13_suffix_dedup": repeats.OP13_SQL,
+}

@@ -352,3 +352,33 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return without_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+OP13_SQL = """
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS t, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+),
+windows AS (
+    SELECT r, n, i, md5_number(array_slice(t, i, i + 399)) AS w FROM (SELECT r, t, n, unnest(range(1, n - 398)) AS i FROM texts WHERE n >= 400)
+),
+repeated AS (
+    SELECT w FROM windows GROUP BY w HAVING count(*) > 1
+),
+starts AS (
+    SELECT r, n, i, i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i) + 400, 0) AS opens FROM windows WHERE w IN (FROM repeated)
+),
+spans AS (
+    SELECT r, n, min(i) AS a, max(i) + 399 AS b FROM (SELECT *, sum(opens::INT) OVER (PARTITION BY r ORDER BY i) AS span FROM starts) GROUP BY r, n, span
+),
+pieces AS (
+    SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) + 1 AS x, a - 1 AS y FROM spans UNION ALL SELECT r, max(b) + 1, n FROM spans GROUP BY r, n
+),
+cut AS (
+    SELECT p.r, string_agg(hex(CASE WHEN y >= x THEN array_slice(t, x, y) ELSE ''::BLOB END), '' ORDER BY x) AS kept FROM pieces p JOIN texts USING (r) GROUP BY p.r
+),
+totals AS (
+    SELECT r, sum(b - a + 1) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(coalesce(unhex(kept), t)) AS kept_sha256
+FROM texts LEFT JOIN totals USING (r) LEFT JOIN cut USING (r)
+"""
