@@ -69,8 +69,8 @@ def _pairs(grams: np.ndarray, least: np.ndarray, width: int) -> tuple[np.ndarray
     return np.maximum(held[near + 1] - width + 1, 0), np.minimum(held[near], len(least) - 1), grams[held[near]]
 
 
-def _keys(buf: np.ndarray, level: int, length: int, gram: int) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
-    """The key of each window: the least gram hashes of its 2 ** level parts, or a hash of all of it where a part is less than a gram; and _pairs()."""
+def _keys(buf: np.ndarray, level: int, length: int, gram: int, pairs: bool) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """The key of each window: the least gram hashes of its 2 ** level parts, or a hash of all of it where a part is less than a gram; and _pairs() if asked for."""
     up, down = _powers(_SEGMENT + length + 1)
     total = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(_BYTES[buf] * up[: len(buf)], out=total[1:])
@@ -84,15 +84,15 @@ def _keys(buf: np.ndarray, level: int, length: int, gram: int) -> tuple[np.ndarr
     grams ^= grams >> np.uint64(29)
     least = _slid_least(grams, width)
     if not level:
-        return least[:n], _pairs(grams, least, width)
+        return least[:n], _pairs(grams, least, width) if pairs else ()
     key = np.zeros(n, np.uint64)
     for k in range(1 << level):
         key = arrays.mix(key * np.uint64(_FACTOR) + least[k * width : k * width + n])
     return key, ()
 
 
-def stretches(buf: np.ndarray, offsets: np.ndarray, level: int = 0, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Row, first window, end and key of each stretch of windows of one key in the rows of a buffer, and, at level 0, whether two of them may be equal.
+def stretches(buf: np.ndarray, offsets: np.ndarray, level: int = 0, length: int = LENGTH, gram: int = GRAM, pairs: bool = True) -> tuple[np.ndarray, ...]:
+    """Row, first window, end and key of each stretch of windows of one key in the rows of a buffer, and (at level 0, with pairs) whether two of them may be equal.
 
     Equal windows further apart are in two stretches. Texts are taken a segment at a time.
     """
@@ -105,16 +105,16 @@ def stretches(buf: np.ndarray, offsets: np.ndarray, level: int = 0, length: int
         at, row = at[inside], row[inside]
         if not len(at):
             continue
-        key, pairs = _keys(part, level, length, gram)
+        key, twice = _keys(part, level, length, gram, pairs)
         key = key[at - lo]
         new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (row[1:] != row[:-1]))))
         end = at[np.append(new[1:], len(at)) - 1] + 1
         twofold = np.zeros(len(new), bool)
-        if pairs and len(pairs[0]):
-            first = np.maximum(np.searchsorted(at[new], pairs[0] + lo, "right") - 1, 0)
-            size = np.maximum(np.searchsorted(at[new], pairs[1] + lo, "right") - first, 0)
+        if twice and len(twice[0]):
+            first = np.maximum(np.searchsorted(at[new], twice[0] + lo, "right") - 1, 0)
+            size = np.maximum(np.searchsorted(at[new], twice[1] + lo, "right") - first, 0)
             which = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
-            twofold[which[key[new][which] == np.repeat(pairs[2], size)]] = True
+            twofold[which[key[new][which] == np.repeat(twice[2], size)]] = True
         found.append((row[new], at[new] - offsets[row[new]], end - offsets[row[new]], key[new], twofold))
     if not found:
         return (*(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64), np.zeros(0, bool))
@@ -125,14 +125,14 @@ def _rows(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, np.ndarr
     return arrays.chunks(batch.column(name).cast(pa.large_binary()))
 
 
-def _keyed(rows: DataFrame, level: int, length: int, gram: int) -> DataFrame:
-    """id and key of each stretch of the rows (id, body, copies, twofold), with the copies of its row, twice as many where two of its windows may be equal."""
+def _keyed(rows: DataFrame, level: int, length: int, gram: int, counted: bool) -> DataFrame:
+    """id and key of each stretch of the rows (id, body, copies, twofold), and, if it is counted, the copies of its row, twice as many where two of its windows may be equal."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in _rows(batch, "body"):
                 own = batch.slice(lo, hi - lo)
-                row, _, _, key, twofold = stretches(buf, offsets, level, length, gram)
+                row, _, _, key, twofold = stretches(buf, offsets, level, length, gram, pairs=counted)
                 copies = (own.column("copies").to_numpy() * (1 + own.column("twofold").to_numpy(zero_copy_only=False)))[row] * (1 + twofold)
                 yield pa.RecordBatch.from_arrays([own.column("id").take(pa.array(row)), pa.array(key.view(np.int64)), pa.array(copies)], names=["id", "key", "copies"])
 
@@ -175,9 +175,8 @@ def _cut(rows: DataFrame, level: int, length: int, gram: int) -> DataFrame:
 
 def narrowed(rows: DataFrame, level: int, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Of rows (id, text, at, copies, twofold, body), each id once, the stretches whose keys occur more than once."""
-    keyed = _keyed(rows, level, length, gram)
-    repeated = cut_lineage(keyed.groupBy("key").agg(F.sum("copies").alias("n")).filter("n > 1").select("key"))
-    wanted = keyed.select("id", "key").join(broadcast_if_few(repeated), "key", "left_semi").groupBy("id").agg(F.collect_set("key").alias("wanted"))
+    repeated = cut_lineage(_keyed(rows, level, length, gram, True).groupBy("key").agg(F.sum("copies").alias("n")).filter("n > 1").select("key"))
+    wanted = _keyed(rows, level, length, gram, False).select("id", "key").join(broadcast_if_few(repeated), "key", "left_semi").groupBy("id").agg(F.collect_set("key").alias("wanted"))
     return _cut(rows.join(wanted, "id"), level, length, gram)
 
 

@@ -193,20 +193,25 @@ class _Pieces:
     """
 
     def __init__(self, text: np.ndarray, rising: np.ndarray, n_symbols: int, starts: np.ndarray, end: np.ndarray):
-        self.bits = int(2 * n_symbols + 1).bit_length()
-        self.a_word = 63 // self.bits
-        self.starts = starts.astype(np.int64)
+        self.text, self.starts = text, starts.astype(np.int64)
         self.lengths = np.minimum(end[np.append(self.starts[1:], len(text) - 1)] + 1, len(text)) - self.starts
-        self.symbols = np.concatenate((text.astype(np.uint64) * np.uint64(2) + rising, np.zeros(self.a_word, np.uint64)))
+        self.bits = int(2 * n_symbols + 3).bit_length()
+        self.a_word = 63 // self.bits
+        # So many numbers from each position on, packed; no number is 0.
+        symbols = np.concatenate((text.astype(np.uint64) * np.uint64(2) + np.uint64(2) + rising, np.zeros(self.a_word, np.uint64)))
+        self.packed = np.zeros(len(text) + 1, np.uint64)
+        for k in range(self.a_word):
+            self.packed[:-1] <<= np.uint64(self.bits)
+            self.packed[:-1] |= symbols[k : len(text) + k]
+        # By the numbers left of a piece: zeros behind its end, and its last number without a direction.
+        width = self.bits * self.a_word
+        masks = [((1 << width) - 1) & ~((1 << self.bits * (self.a_word - left)) - 1) & ~(1 << self.bits * (self.a_word - left)) for left in range(1, self.a_word + 1)]
+        self.masks = np.array([0, *masks, (1 << width) - 1], np.uint64)
 
     def word(self, which: np.ndarray, at: int) -> np.ndarray:
         """So many numbers of each piece from there, packed; zeros behind its end."""
-        out, begin, left = np.zeros(len(which), np.uint64), self.starts[which] + at, self.lengths[which] - at
-        for k in range(self.a_word):
-            symbol = np.where(left > k, self.symbols[np.minimum(begin + k, len(self.symbols) - 1)], np.uint64(0))
-            symbol[(left == k + 1) & (symbol > 1)] &= ~np.uint64(1)
-            out = (out << np.uint64(self.bits)) | symbol
-        return out
+        left = np.clip(self.lengths[which] - at, 0, self.a_word + 1)
+        return self.packed[np.minimum(self.starts[which] + at, len(self.text))] & self.masks[left]
 
     def named(self) -> tuple[np.ndarray, np.ndarray]:
         """The rank of each piece, that of equal pieces the same, counted from 0 without gaps; and a piece of each rank."""
@@ -234,8 +239,13 @@ class _Pieces:
             at += self.a_word
             live = live[~alone]
             live = live[self.lengths[live] > at]
-        there, sample, rank = np.unique(rank, return_index=True, return_inverse=True)
-        return rank.astype(np.int64), sample
+        # Without gaps.
+        there = np.zeros(len(rank), bool)
+        there[rank] = True
+        name = (np.cumsum(there) - 1)[rank]
+        sample = np.empty(int(there.sum()), np.int64)
+        sample[name] = everything
+        return name, sample
 
     def shared(self, left: np.ndarray, right: np.ndarray, run: np.ndarray, cap: int) -> np.ndarray:
         """Numbers that unlike pieces have in common at their start. run: steps from each position to the end of its run."""
@@ -251,9 +261,9 @@ class _Pieces:
             which = live[apart]
             p, q = self.starts[left[which]] + at + first, self.starts[right[which]] + at + first
             # The same number in another direction: runs of unlike lengths.
-            turned = (self.symbols[p] >> np.uint64(1)) == (self.symbols[q] >> np.uint64(1))
-            turned &= (at + first < self.lengths[left[which]]) & (at + first < self.lengths[right[which]])
-            out[which] = at + first + np.where(turned, np.minimum(run[np.minimum(p, len(run) - 1)], run[np.minimum(q, len(run) - 1)]), 0)
+            p, q = np.minimum(p, len(run) - 1), np.minimum(q, len(run) - 1)
+            turned = (self.text[p] == self.text[q]) & (at + first < self.lengths[left[which]]) & (at + first < self.lengths[right[which]])
+            out[which] = at + first + np.where(turned, np.minimum(run[p], run[q]), 0)
             live = live[a == b]
             at += self.a_word
         out[live] = cap
