@@ -599,6 +599,49 @@ def test_shards_are_even(spark):
             assert len({r.shard for r in got if r.doc_id >= 5000}) == 1
 
 
+@pytest.mark.parametrize("heavy", [False, True])
+def test_tree_against_plain_sorting(spark, heavy):
+    """Each node's groups sorted along its widest dimension and cut at the prefix nearest to the room of its left half."""
+    rng = __import__("random").Random(17)
+    texts = ["".join(rng.choice("abcdefgh é日\n" if rng.random() < 0.5 else "ab c") for _ in range(rng.randint(60, 200))) for _ in range(3600)]
+    texts += rng.sample(texts, 300) + [f"heavy text {rng.random()} " * rng.randint(150, 400) for _ in range(9 if heavy else 0)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    measured = sharding.measured(docs).collect()
+    size, point = collections.Counter(), {}
+    for r in measured:
+        size[r.hash] += r["size"]
+        point[r.hash] = [r.dim0, r.dim1, r.dim2]
+    total, shards = sum(size.values()), 8
+    room, home = [total / shards] * shards, {}
+    for h in sorted((h for h in size if size[h] * 100 * shards > total), key=lambda h: (-size[h], h)):
+        home[h] = room.index(max(room))
+        room[home[h]] -= size[h]
+    assert bool(home) == heavy
+    light = [h for h in size if h not in home]
+    width = lambda hs, d: max(point[h][d] for h in hs) - min(point[h][d] for h in hs)
+    span = [width(light, d) or 1 for d in range(3)]
+
+    def split(hs, leaves):
+        if len(leaves) == 1:
+            home.update(dict.fromkeys(hs, leaves[0]))
+            return
+        d = max(range(3), key=lambda d: width(hs, d) / span[d])
+        low, across = min(point[h][d] for h in hs), width(hs, d)
+        key = lambda h: (min(255, math.floor((point[h][d] - low) / across * 256)) if across else 0, (h % (1 << 64)) >> 16)
+        hs, half = sorted(hs, key=key), leaves[: len(leaves) // 2]
+        goal = sum(size[h] for h in hs) * (sum(room[j] for j in half) / sum(room[j] for j in leaves))
+        upto = [0]
+        for h in hs:
+            upto.append(upto[-1] + size[h])
+        cut = min(range(len(upto)), key=lambda i: (abs(upto[i] - goal), i))
+        split(hs[:cut], half)
+        split(hs[cut:], leaves[len(leaves) // 2 :])
+
+    split(light, list(range(shards)))
+    want = {r.doc_id: home[r.hash] for r in measured}
+    assert {r.doc_id: r.shard for r in sharding.shard(docs).collect()} == want
+
+
 def test_cells_that_are_cut_again_give_the_same_cuts(spark, sf, monkeypatch):
     """Medians found in one cell or by cutting cells down to single keys."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -864,8 +907,10 @@ def test_near_copies_are_those_from_the_similarity_on(spark):
     ids = simhash.wide_fingerprints(docs).selectExpr("doc_id", "xxhash64(fp, n) as id")
     first = ids.agg({"id": "min"}).first()[0]
     all_one = ids.selectExpr("id as u", f"{first} as v")
-    label = {r.u: r.root for r in simhash.components(simhash.verified(docs, all_one, tile=100)).collect()}
-    assert len(label) == 2 * len(set(label.values())) == sum(want[2 * g] == want[2 * g + 1] for g in range(400) if 2 * g in want) * 2
+    # Tiles bounded by documents, and by shingles.
+    for bounds in ({"tile": 100}, {"shingles": 40_000}):
+        label = {r.u: r.root for r in simhash.components(simhash.verified(docs, all_one, **bounds)).collect()}
+        assert len(label) == 2 * len(set(label.values())) == sum(want[2 * g] == want[2 * g + 1] for g in range(400) if 2 * g in want) * 2
 
 
 def test_tiles_are_verified_pair_by_pair(monkeypatch):

@@ -1,8 +1,8 @@
 """Sorted hash arrays in the shared folder, memory-mapped by workers.
 
 A store is a folder with a file for each shard of the keys: the keys, ascending, and behind them one array for each field. A task writes a file
-under another name and renames it, so a lost or repeated task leaves whole files only. Who writes a store keeps which shards it has; a
-file that should be there and isn't is an error.
+under another name and renames it, so a lost or repeated task leaves whole files only. Who writes a store keeps which shards it has, or writes
+them all; a file that should be there and isn't is an error.
 """
 
 from __future__ import annotations
@@ -90,16 +90,18 @@ def top(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
 
 
-def find(folder: str, prefix: str, present: np.ndarray, kinds: tuple[str, ...], keys: np.ndarray, shards: np.ndarray) -> list[np.ndarray]:
-    """The fields of each key, 0 where it is absent; any order of keys. present tells which shards there are."""
+def find(folder: str, prefix: str, present: np.ndarray | None, kinds: tuple[str, ...], keys: np.ndarray, shards: np.ndarray) -> list[np.ndarray]:
+    """The fields of each key, 0 where it is absent; any order of keys. present tells which shards there are; None: all of them."""
     order = np.lexsort((keys, shards))
     keys, shards = keys[order], shards[order]
     out = [np.zeros(len(keys), np.int64 if kind == SMALL else kind) for kind in kinds]
     edges = np.append(np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1]))), len(shards)) if len(shards) else np.zeros(1, np.int64)
     for a, b in zip(edges[:-1], edges[1:], strict=True):
-        if not present[shards[a]]:
+        if present is not None and not present[shards[a]]:
             continue
         there, fields = mapped(folder, f"{prefix}{shards[a]}", kinds)
+        if not len(there):
+            continue
         at = np.minimum(np.searchsorted(there, keys[a:b]), len(there) - 1)
         here = there[at] == keys[a:b]
         for values, field in zip(out, fields, strict=True):

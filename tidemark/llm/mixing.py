@@ -17,7 +17,7 @@ import random
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut_lineage, pick, set_aside, table
+from .common import WORD, broadcast_if_few, cut_lineage, pick, set_aside, table
 
 BLOCK = 256
 #: Buckets of a source at least, and blocks that a bucket of a source of all words would hold.
@@ -117,7 +117,8 @@ def mix(docs: DataFrame, shards: int = SHARDS, block: int = BLOCK, seed: int = S
     total = want.agg(F.sum("source_size")).first()[0] or 0
     buckets = max(BUCKETS, 1 << (total // block // BUCKET_BLOCKS).bit_length())
     passes = F.greatest(F.lit(1), F.ceil(F.col("target") / F.nullif("source_size", F.lit(0))).cast("int"))
-    # Sources are matched null-safe; their table has a row for each source.
+    # Sources are matched null-safe. Their table has a row for each source; while these are few it goes to every task, so that a hot source stays where it is.
+    want = broadcast_if_few(want)
     with_target = sizes.join(want, sizes.source.eqNullSafe(want.source)).drop(want.source)
     rows = with_target.withColumn("pass", F.explode(F.sequence(F.lit(0), F.coalesce(passes, F.lit(1)) - 1)))
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("size") / block) - 1).cast("int"))))

@@ -280,8 +280,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
 #: For near copies: 64-bit words of a fingerprint, differing bits of a candidate, words in a shingle, the least similarity, documents in a tile.
 WIDE, WIDE_RADIUS, WIDE_SHINGLE, SIMILARITY, WIDE_TILE = 4, 62, 5, 0.8, 1 << 15
-#: Documents of a group of candidates whose shingles a task holds at once, twice over.
-VERIFY_TILE = 4096
+#: Documents of a group of candidates whose shingles a task holds at once, twice over, and how many shingles these have in the mean tile.
+VERIFY_TILE, VERIFY_SHINGLES = 4096, 4 << 20
 
 
 def wide_fingerprints(docs: DataFrame, shingle: int = WIDE_SHINGLE, words: int = WIDE, sets: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -410,12 +410,12 @@ def verify_tile(left: list[tuple], right: list[tuple], radius: int, similarity:
     _pass_on(ids, label, forest)
 
 
-def verified(docs: DataFrame, candidates: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, tile: int = VERIFY_TILE, texts: DataFrame | None = None) -> DataFrame:
+def verified(docs: DataFrame, candidates: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, tile: int = VERIFY_TILE, texts: DataFrame | None = None, shingles: int = VERIFY_SHINGLES) -> DataFrame:
     """Edges (u, v) that connect the rows linked by pairs within the radius and of at least so similar sets of shingles.
 
-    Pairs are sought within each component of the candidates' edges, so that no table of pairs arises. A component of more than a tile is
-    written to tiles in the shared folder, and pairs of their numbers are dealt to tasks. With ``texts`` (id, stays_hash: a text for each
-    fingerprint) only those of candidates are read again and shingled.
+    Pairs are sought within each component of the candidates' edges, so that no table of pairs arises. A component of more than a tile, in
+    documents or in shingles, is written to tiles in the shared folder, and pairs of their numbers are dealt to tasks. With ``texts`` (id, n,
+    stays_hash: a text for each fingerprint) only those of candidates are read again and shingled.
     """
     folder = new_folder(docs.sparkSession, "shingle-tiles")
     label = broadcast_if_few(cut_lineage(components(candidates).withColumnRenamed("u", "id")))
@@ -424,7 +424,9 @@ def verified(docs: DataFrame, candidates: DataFrame, radius: int = WIDE_RADIUS,
         docs = docs.select("doc_id", "text").join(wanted, F.xxhash64("text") == F.col("stays_hash"), "left_semi")
     sets = wide_fingerprints(docs, sets=True).withColumn("id", F.xxhash64("fp", "n")).join(label, "id", "left_semi")
     sets = sets.groupBy("id").agg(F.first("fp").alias("fp"), F.first("hashes").alias("hashes")).join(label, "id")
-    blocks = cut_lineage(label.groupBy("root").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks")))
+    lengths = texts.select("id", "n") if texts is not None else wide_fingerprints(docs).select(F.xxhash64("fp", "n").alias("id"), "n").distinct()
+    blocks = lengths.join(label, "id").groupBy("root").agg(F.greatest(F.ceil(F.count("*") / tile), F.ceil(F.sum("n") / shingles)).cast("int").alias("blocks"))
+    blocks = cut_lineage(blocks)
     sets = cut_lineage(hot_join(sets, blocks, "root").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).select("root", "block", "blocks", "id", "fp", "hashes"))
 
     def rows_of(table: pa.Table) -> list[tuple]:
@@ -475,7 +477,7 @@ def _copies(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     hashed = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     fps = cut_lineage(wide_fingerprints(hashed, keep=["doc_id", "text_hash"]).withColumn("id", F.xxhash64("fp", "n")))
     distinct = cut_lineage(fps.groupBy("id").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min("doc_id").alias("least"), F.min(_key("doc_id", "text_hash")).alias("stays")))
-    return fps, distinct, verified(docs, cut_lineage(wide_links(distinct)), texts=distinct.select("id", "stays.stays_hash"))
+    return fps, distinct, verified(docs, cut_lineage(wide_links(distinct)), texts=distinct.select("id", "n", "stays.stays_hash"))
 
 
 def _key(doc_id: str, text_hash: str) -> Column:

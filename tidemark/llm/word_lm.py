@@ -4,8 +4,8 @@ Counting: each task packs its bigrams, sorted and counted, into one blob for eac
 the first word and columns by that of the second, so the successors of a hot word are dealt over a row of shards and its predecessors over a
 column. A shard's blobs are merged into a sorted hash array of bigrams with counts; what it knows of its contexts (totals, successors seen once,
 twice and more) and of its second words (occurrences, distinct contexts) goes on to the shards of contexts and words, which add up. All arrays
-are files in the shared folder, which the workers that score map into memory. The number of shards grows with the corpus; nothing of the
-model passes through the driver but a few sums for each shard.
+are files in the shared folder, which the workers that score map into memory. The number of shards grows with the corpus, and every shard has
+its files, empty ones too; nothing of the model passes through the driver but a few sums.
 
 p(w | v) = (c(v, w) - D) / c(v) + g(v) q(w), with q the same over numbers of contexts, then uniform over the words and an unknown one.
 Words are known by 64-bit hashes: among a billion different words about 0.03 pairs share one.
@@ -161,12 +161,16 @@ def _merge_pairs(folder: str, bits: int):
         order = np.argsort(keys)
         hash_store.write(folder, f"pair{shard}", keys[order], [(SMALL, n[order])])
         at, _ = arrays.runs(left)
-        sums = lambda flags: np.add.reduceat(flags.astype(np.int64), at)
+        sums = lambda flags: np.add.reduceat(flags.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
         words, ids = np.unique(right, return_inverse=True)
         known = [("context", left[at], np.stack([sums(n), sums(n == 1), sums(n == 2), sums(n > 2)], axis=1))]
         known.append(("word", words, np.stack([np.bincount(ids, n, len(words)).astype(np.int64), np.bincount(ids, minlength=len(words))], axis=1)))
         rows = [["pair", shard, None, None, None, [int((n == k).sum()) for k in (1, 2, 3, 4)]]]
+        # The shard of this number has a row of each kind, so that its files are written even if nothing falls into it.
+        rows += [[kind, shard, b"", b"", b"", None] for kind, *_ in known]
         for kind, hashes, counts in known:
+            if not len(hashes):
+                continue
             to = top(hashes, bits)
             edges = np.searchsorted(to, np.arange(to[0], to[-1] + 2))
             rows += [[kind, int(to[a]), hashes[a:b].tobytes(), *_small(counts[a:b].ravel()), None] for a, b in zip(edges[:-1], edges[1:], strict=True) if a < b]
@@ -224,11 +228,10 @@ def discounts(counts: list[int]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Where the arrays are, which shards there are of each kind, and the few numbers beside them."""
+    """Where the arrays are, how many bits number their shards, and the few numbers beside them."""
 
     folder: str
     bits: int
-    present: dict[str, np.ndarray]
     tokens: int
     words: int
     kinds: int
@@ -242,22 +245,23 @@ def fit(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> Model:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(2, int(np.ceil(np.log2(max(size, 1) / shard_bytes))))
     n = min(1 << bits, PARTITIONS)
-    merged = _grouped(pairs(docs, bits), "shard", n, _merge_pairs(folder, bits), PARTS)
+    blank = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("shard"), *(F.lit("").cast("binary").alias(x.split()[0]) for x in PACKED.split(", ")[1:]))
+    merged = _grouped(pairs(docs, bits).unionByName(blank), "shard", n, _merge_pairs(folder, bits), PARTS)
     # What is known of contexts has even numbers, of words odd ones; the sums of a cell are a row of their own.
     place = F.when(F.col("kind") == "pair", -1 - F.col("shard")).otherwise(2 * F.col("shard") + (F.col("kind") == "word").cast("int"))
-    rows = _grouped(merged.withColumn("place", place), "place", 2 * n, _merge_parts(folder), "kind string, shard int, sums array<long>").collect()
-    present = {kind: hash_store.shards_present([r.shard for r in rows if r.kind == kind], bits) for kind in ("pair", "context", "word")}
-    add = lambda kind, width: np.array([r.sums for r in rows if r.kind == kind], object).reshape(-1, width).sum(axis=0).tolist() if present[kind].any() else [0] * width
-    pair_counts, total = add("pair", 4), add("word", 7)
+    parts = _grouped(merged.withColumn("place", place), "place", 2 * n, _merge_parts(folder), "kind string, shard int, sums array<long>")
+    # Three rows, however many shards there are.
+    sums = {r.kind: r.sums for r in parts.groupBy("kind").agg(F.array(*(F.sum(F.get("sums", F.lit(k))) for k in range(7))).alias("sums")).collect()}
+    pair_counts, total = sums["pair"][:4], sums["word"]
     d = discounts(total[3:])
     n1, n2 = total[3], total[4]
     spare = float(d[1] * n1 + d[2] * n2 + d[3] * (total[1] - n1 - n2)) / total[2] if total[2] else 1.0
-    return Model(folder, bits, present, total[0], total[1], total[2], discounts(pair_counts), d, spare)
+    return Model(folder, bits, total[0], total[1], total[2], discounts(pair_counts), d, spare)
 
 
 def token_scores(model: Model, tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each token: the count in training, log10 of the model's probability, log10 of the base probability."""
-    look = lambda kind, fields, keys, shards: hash_store.find(model.folder, kind, model.present[kind], (SMALL,) * fields, keys, shards)
+    look = lambda kind, fields, keys, shards: hash_store.find(model.folder, kind, None, (SMALL,) * fields, keys, shards)
     words, at = np.unique(tokens, return_inverse=True)
     seen, kinds = look("word", 2, words, top(words, model.bits))
     q = np.maximum(kinds - model.word_discount[np.minimum(kinds, 3)], 0) / max(model.kinds, 1) + model.word_spare / (model.words + 1)
