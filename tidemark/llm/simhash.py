@@ -1,8 +1,8 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Fingerprints are grouped into tiles by the population counts of their four quarters. Two fingerprints within the radius have
-counts that differ by no more than the radius over all quarters, so only such pairs of tiles are compared: numpy exclusive-or and
-bit counts over blocks of at most TILE fingerprints. Each task keeps a union-find over the links it sees and gives one edge for
+Fingerprints are grouped into tiles by the population counts of their first two quarters, within a tile by those of the last two. Two
+fingerprints within the radius have counts that differ by no more than the radius over all quarters, so only such parts of tiles are
+compared: numpy exclusive-or and bit counts. Tiles are files in the shared folder; what is shuffled are pairs of their numbers. Each task keeps a union-find over the links it sees and gives one edge for
 each linked fingerprint, not one for each pair; components follow by random contraction.
 """
 
@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +22,11 @@ from .common import broadcast_if_few, cut_lineage, new_folder, pick, set_aside,
 
 RADIUS = 4
 SHINGLE = 4
-TILE = 4096
+#: Fingerprints of a tile, and near tiles that a task takes with one at a time.
+TILE, PARTNERS = 1 << 16, 8
 SEED = 42
 #: Comparisons at a time.
 STRIP = 1 << 18
-#: Distinct fingerprints beyond which the neighbours of a tile come in several rows.
-CHUNK = 2_000_000
 
 
 def _fingerprints(buf: np.ndarray, offsets: np.ndarray, shingle: int, words: int = 1, sets: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -155,39 +153,72 @@ def _stars(forest: Forest) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.array(x[lo : lo + 10_000], np.uint64).view(np.int64)) for x in (members, roots)], names=["u", "v"])
 
 
-def _links(pairs: DataFrame, radius: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = Forest()
-        for batch in batches:
-            for a, b in zip(batch.column(0), batch.column(1), strict=True):
-                link_tile(np.array(a.values, np.int64).view(np.uint64), np.array(b.values, np.int64).view(np.uint64), radius, forest)
-        yield from _stars(forest)
+def _near_runs(cd: np.ndarray, fps: np.ndarray, c: int, d: int, reach: int, onward: bool) -> list[np.ndarray]:
+    """Fingerprints, in order of the counts of their last two quarters, within reach of the counts c and d; onward: of the same and later counts only."""
+    out = []
+    for step in range(0 if onward else -reach, reach + 1):
+        if 0 <= c + step <= 16:
+            side = reach - abs(step)
+            low = d if onward and not step else max(0, d - side)
+            first, last = (c + step) * 17 + low, (c + step) * 17 + min(16, d + side)
+            at, end = np.searchsorted(cd, first), np.searchsorted(cd, last, "right")
+            if at < end:
+                out.append(fps[at:end])
+    return out
 
-    return pairs.mapInArrow(run, "u long, v long")
 
+def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """Edges (u, v) among distinct fingerprints, column fp, that connect just those connected by links within the radius.
 
-def _offsets(radius: int) -> list[int]:
-    """Differences of tile keys within the radius, one of each pair of opposite ones, and none."""
-    steps = [d for d in product(range(-radius, radius + 1), repeat=4) if sum(map(abs, d)) <= radius and d >= (0, 0, 0, 0)]
-    return [((a * 17 + b) * 17 + c) * 17 + d for a, b, c, d in steps]
+    A tile has one count of each of the first two quarters and is a file in the shared folder, in order of the counts of the last two.
+    What is dealt to tasks are numbers of tiles: one, and up to PARTNERS that are near, so no fingerprint is shuffled more than once.
+    """
+    spark = distinct.sparkSession
+    folder = new_folder(spark, "simhash-quarters")
+    a, b, c, d = (F.bit_count(F.shiftrightunsigned("fp", k).bitwiseAND(F.lit(0xFFFF))) for k in (48, 32, 16, 0))
+    keyed = distinct.select("fp", a.alias("a"), b.alias("b"), (c * 17 + d).cast("int").alias("cd"))
+    # At most 17 ** 2 = 289 rows.
+    sizes = cut_lineage(keyed.groupBy("a", "b").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks")))
+    dealt = keyed.join(F.broadcast(sizes), ["a", "b"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    name = lambda t: f"quarters{t['a']}-{t['b']}-{t['block']}"
 
+    def write(group: pa.Table) -> pa.Table:
+        tile = {x: group.column(x)[0].as_py() for x in ("a", "b", "block")}
+        fps, cd = group.column("fp").to_numpy().view(np.uint64), group.column("cd").to_numpy()
+        order = np.argsort(cd, kind="stable")
+        hash_store.write(folder, name(tile), cd[order], [("<u8", fps[order])])
+        return pa.table({x: pa.array([v], pa.int32()) for x, v in tile.items()})
 
-def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Edges (u, v) among distinct fingerprints, column fp, that connect just those connected by links within the radius."""
-    quarter = [F.bit_count(F.shiftrightunsigned("fp", k).bitwiseAND(F.lit(0xFFFF))) for k in (48, 32, 16, 0)]
-    keyed = distinct.select("fp", (((quarter[0] * 17 + quarter[1]) * 17 + quarter[2]) * 17 + quarter[3]).cast("int").alias("key"))
-    # At most 17 ** 4 = 83,521 rows of two numbers.
-    sizes = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / tile).cast("int").alias("blocks")))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    sizes = F.broadcast(sizes.drop("n"))
-    tiles = keyed.join(sizes, "key").groupBy("key", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int").alias("block")).agg(F.collect_list("fp").alias("fps"))
-    tiles = cut_lineage(tiles)
-    # Each tile goes to the tiles before it that are near; a key that steps over the edge of a quarter meets a tile in vain at worst.
-    sent = tiles.select("fps", F.pmod(F.xxhash64("key", "block"), F.lit(total // CHUNK + 1)).alias("chunk"), F.explode(F.transform(F.lit(_offsets(radius)), lambda o: F.col("key") - o)).alias("key"))
-    sent = sent.join(sizes, "key").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    near = sent.groupBy("key", "block", "chunk").agg(F.flatten(F.collect_list("fps")).alias("right"))
-    pairs = tiles.withColumnRenamed("fps", "left").join(near, ["key", "block"]).select("left", "right")
-    return _links(pairs, radius)
+    def read(tile: dict) -> tuple[np.ndarray, np.ndarray]:
+        cd, (fps,) = hash_store.mapped(folder, name(tile), ("<u8",))
+        return cd.astype(np.int64), np.array(fps)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+        for batch in batches:
+            for own, others in zip(batch.column("own").to_pylist(), batch.column("others").to_pylist(), strict=True):
+                counts, left = read(own)
+                near = [(*read(x), radius - abs(x["a"] - own["a"]) - abs(x["b"] - own["b"]), x == own) for x in others]
+                at, length = arrays.runs(counts)
+                for i, n in zip(at.tolist(), length.tolist(), strict=True):
+                    c, d = divmod(int(counts[i]), 17)
+                    right = [x for cd, fps, reach, same in near for x in _near_runs(cd, fps, c, d, reach, same)]
+                    if right:
+                        link_tile(left[i : i + n], np.concatenate(right), radius, forest)
+        yield from _stars(forest)
+
+    tiles = cut_lineage(dealt.groupBy("a", "b", "block").applyInArrow(write, "a int, b int, block int"))
+    own, other = (tiles.select(F.struct("*").alias(x)) for x in ("own", "other"))
+    # Each pair once. The tiles' own a and b are joined by equality, for each difference within the radius.
+    steps = F.lit([x for x in range(radius + 1)])
+    one = own.withColumn("a", F.explode(F.transform(steps, lambda x: F.col("own.a") + x)))
+    reach = radius - (F.col("other.a") - F.col("own.a"))
+    met = one.join(other.withColumn("a", F.col("other.a")), "a").filter((F.abs(F.col("other.b") - F.col("own.b")) <= reach) & (F.col("own") <= F.col("other")))
+    # Numbers of tiles only: 10,000 for each tile of ten billion fingerprints.
+    some = met.groupBy("own").agg(F.sort_array(F.collect_list("other")).alias("others"))
+    some = some.select("own", F.explode(F.transform(F.sequence(F.lit(0), F.floor((F.size("others") - 1) / PARTNERS).cast("int")), lambda k: F.slice("others", k * PARTNERS + 1, PARTNERS))).alias("others"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return some.repartition(n, F.xxhash64("own", "others")).mapInArrow(run, "u long, v long")
 
 
 #: Rows of a key beyond which a join deals them apart, and the most keys that can be so: there are no more than rows / max(HOT, rows / HOT_KEYS).
