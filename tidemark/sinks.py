@@ -33,7 +33,7 @@ def index_page(index: DataFrame, names: int, reports: int) -> DataFrame:
     rows = index.join(F.broadcast(sections), "category").filter(F.col("most").isNull() | (F.col("place") <= F.col("most")))
     items = rows.select("ord", "place", F.concat(F.lit("- [["), "name", F.lit("]] ("), F.col("count").cast("string"), F.lit(")")).alias("line"))
     ends = totals.select("ord", F.lit(1 << 30).alias("place"), F.lit("").alias("line"))
-    top = index.sparkSession.createDataFrame([(-1, 0, f"# Wikilink Index\n\n{names:,} unique entities across {reports:,} ticker reports.\n")], "ord int, place int, line string")
+    top = index.sparkSession.createDataFrame([(-1, 0, dims.INDEX_HEAD.format(names=names, reports=reports))], "ord int, place int, line string")
     return joined_lines(top.unionByName(heads).unionByName(items).unionByName(ends), ["ord", "place"])
 
 
@@ -55,7 +55,7 @@ def theme_index_page(index: DataFrame) -> DataFrame:
     """The list of the themes built, under all groups."""
     heads = index.select("ord", "group").distinct().select("ord", F.lit(-1).alias("pos"), F.concat(F.lit("## "), "group", F.lit("\n")).alias("line"))
     item = F.concat(F.lit("- ["), "tag", F.lit("]("), page_name(F.col("tag")), F.lit(".md) — "), F.col("companies").cast("string"), F.lit(" 家公司"))
-    top = index.sparkSession.createDataFrame([(-1, 0, "# Thematic Investment Screens\n\n> Auto-generated supply chain maps for thematic investing.\n\n---\n")], "ord int, pos int, line string")
+    top = index.sparkSession.createDataFrame([(-1, 0, dims.THEME_INDEX_HEAD)], "ord int, pos int, line string")
     ends = index.select("ord").distinct().select("ord", F.lit(1 << 30).alias("pos"), F.lit("").alias("line"))
     return joined_lines(top.unionByName(heads).unionByName(index.filter("tag is not null").select("ord", "pos", item.alias("line"))).unionByName(ends), ["ord", "pos"])
 
