@@ -209,11 +209,10 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
 
     tiles = cut_lineage(dealt.groupBy("a", "b", "block").applyInArrow(write, "a int, b int, block int"))
     own, other = (tiles.select(F.struct("*").alias(x)) for x in ("own", "other"))
-    # Each pair once. The tiles' own a and b are joined by equality, for each difference within the radius.
-    steps = F.lit([x for x in range(radius + 1)])
-    one = own.withColumn("a", F.explode(F.transform(steps, lambda x: F.col("own.a") + x)))
-    reach = radius - (F.col("other.a") - F.col("own.a"))
-    met = one.join(other.withColumn("a", F.col("other.a")), "a").filter((F.abs(F.col("other.b") - F.col("own.b")) <= reach) & (F.col("own") <= F.col("other")))
+    # Each pair once: an equality join for each step between the counts of two near tiles, and of one pair of opposite steps only one.
+    steps = F.lit([[x, y] for x in range(radius + 1) for y in range(x - radius, radius - x + 1) if x or y >= 0])
+    one = own.withColumn("step", F.explode(steps)).select("own", (F.col("own.a") + F.col("step")[0]).alias("a"), (F.col("own.b") + F.col("step")[1]).alias("b"))
+    met = one.join(other.withColumn("a", F.col("other.a")).withColumn("b", F.col("other.b")), ["a", "b"]).filter(F.col("own") <= F.col("other"))
     # Numbers of tiles only: 10,000 for each tile of ten billion fingerprints.
     some = met.groupBy("own").agg(F.sort_array(F.collect_list("other")).alias("others"))
     some = some.select("own", F.explode(F.transform(F.sequence(F.lit(0), F.floor((F.size("others") - 1) / PARTNERS).cast("int")), lambda k: F.slice("others", k * PARTNERS + 1, PARTNERS))).alias("others"))
