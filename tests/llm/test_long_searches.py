@@ -7,6 +7,8 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tests.llm.conftest import frame
@@ -92,6 +94,45 @@ def test_op13(spark, sf, rows):
     assert sum(w[1][1] for w in want) > 100_000
 
 
+def test_shards_hold_whole_keys_within_their_bytes():
+    """However many keys come to a task, what it sorts at once is bounded; only a key that has more goes alone."""
+    rng = np.random.default_rng(3)
+    key = np.sort(np.concatenate((rng.integers(0, 60, 300), np.full(90, 25), np.full(200, 61))))
+    rows = pa.table({"key": key, "body": [b"x" * int(n) for n in rng.integers(0, 40, len(key))]})
+    for step in (1, 7, 100, 1000):
+        got = list(repeats.shards_of(iter(rows.to_batches(max_chunksize=step)), 1000))
+        assert pa.concat_tables(got).equals(rows.combine_chunks()) or pa.concat_tables(got).to_pydict() == rows.to_pydict()
+        of = [set(x.column("key").to_pylist()) for x in got]
+        assert sum(map(len, of)) == len(set(key.tolist()))
+        for keys, x in zip(of, got, strict=True):
+            assert len(keys) == 1 or sum(len(b) + 1 for b in x.column("body").to_pylist()) <= 1000
+    assert max(map(len, of)) > 1 and not list(repeats.shards_of(iter(()), 1000))
+
+
+def test_sorts_of_a_task_are_bounded(spark, monkeypatch):
+    """Four keys of 900 bytes and more in one partition, which hashes once dealt to one shard, are sorted apart; the repeats are those of each key."""
+    rng, most = np.random.default_rng(4), 1000
+    body = [bytes(rng.integers(97, 123, 450).astype(np.uint8)) for _ in range(4)]
+    rows = [[k, bytes([k, i]), 1, False, bytearray(body[k][:440] + bytes([97 + i]) * 10)] for k in range(4) for i in range(2)]
+    contexts = spark.createDataFrame(rows, "key long, mark binary, n long, twofold boolean, body binary")
+
+    def held(shard, length, of=repeats._repeats_of_shard):
+        assert pc.sum(pc.binary_length(shard.column("body"))).as_py() <= most
+        return of(shard, length)
+
+    monkeypatch.setattr(repeats, "_repeats_of_shard", held)
+    run = repeats._sorted_shards(contexts.coalesce(1), 1, most, 400).collect()
+    assert sorted((r.key, r.begins, r.ends) for r in run) == [(k, [0], [41]) for k in range(4) for _ in range(2)]
+
+
+def test_few_bytes_in_few_files(spark):
+    """Files by the bytes, not by the partitions that a session deals out to; a megabyte is not worth hundreds."""
+    rows, cores = spark.range(0, 1000, 1, 300), spark.sparkContext.defaultParallelism
+    assert repeats._in_files(rows, 1 << 20).rdd.getNumPartitions() == min(2 * cores, 300)
+    assert repeats._in_files(rows, 200 * repeats._FILE).rdd.getNumPartitions() == max(201, min(2 * cores, 300))
+    assert repeats._in_files(rows, 1 << 50).rdd.getNumPartitions() == 300
+
+
 def test_stretches_of_segments():
     """Windows keep their keys whatever else is in the buffer; each is in one stretch."""
     rng = np.random.default_rng(2)
