@@ -94,6 +94,20 @@ def test_op13(spark, sf, rows):
     assert sum(w[1][1] for w in want) > 100_000
 
 
+def test_passages_by_bytes_not_by_words(spark):
+    """Of passages of 51 words and more in two documents those of 400 bytes go, shorter ones stay; n_removed tells, n_bytes is the size before."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    passages = [" ".join(word(size) for _ in range(51)) for size in (5, 6, 8, 12)]
+    texts = [f"{word(60)} {p} {word(70)}" for p in passages for _ in range(2)] + [" ".join(word(7) for _ in range(80)) for _ in range(3)]
+    got = {r.doc_id: r for r in repeats.without_repeats(frame(spark, [[i, t, "en", "s"] for i, t in enumerate(texts)])).collect()}
+    lengths = [len(p) + 2 for p in passages for _ in range(2)] + [0, 0, 0]
+    assert [got[i].n_bytes for i in range(len(texts))] == [len(t) for t in texts]
+    # The blanks around a passage are shared too, and a neighbouring letter may be by chance.
+    for i, n in enumerate(lengths):
+        assert n <= got[i].n_removed <= n + 8 if n >= 400 else not got[i].n_removed
+
+
 def test_shards_hold_whole_keys_within_their_bytes():
     """However many keys come to a task, what it sorts at once is bounded; only a key that has more goes alone."""
     rng = np.random.default_rng(3)
