@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import catalog
 from tidemark.operators import rewrite as W
 
-NAMES = ["report_refresh_valuation", "report_refresh_finance"]
+NAMES = ["report_refresh_valuation", "report_refresh_finance", "kept_prose"]
 KEYS = [*range(12), *range(1000, 1009), *range(10000, 10045), *range(100000, 100012)]
 
 
