@@ -36,10 +36,15 @@ def read_reports(spark: SparkSession, root: str, names: str = "report") -> DataF
     return named(files.select(_path().alias("path"), F.col("content").cast("string").alias("content")), names)
 
 
-def last_wins(reports: DataFrame) -> DataFrame:
-    """One report a ticker: that of the last path. Only tickers and paths are compared; a report without either is not taken."""
-    last = reports.groupBy("ticker").agg(F.max("path").alias("path"))
-    return reports.join(last, ["ticker", "path"], "left_semi").select(*reports.columns)
+def last_wins(reports: DataFrame, number: Column | None = None) -> DataFrame:
+    """One report a ticker: that of the last path. Only tickers and paths are compared; a report without either is not taken.
+
+    number tells reports of one ticker apart, where several companies may have it.
+    """
+    rows = reports if number is None else reports.withColumn("_number", number)
+    by = ["ticker"] if number is None else ["ticker", "_number"]
+    last = rows.groupBy(*by).agg(F.max("path").alias("path"))
+    return rows.join(last, [*by, "path"], "left_semi").select(*reports.columns)
 
 
 def in_scope(reports: DataFrame, tickers: Iterable[str] | None = None, sectors: Iterable[str] | None = None, fold_case: bool = True) -> DataFrame:
