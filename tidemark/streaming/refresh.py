@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -65,8 +65,11 @@ def deduplicated(stream: DataFrame, late: str = "1 day") -> DataFrame:
 _CHANGES = "ticker string, company string, sector string, path string, content string"
 
 
-def newest(stream: DataFrame) -> DataFrame:
-    """Of a stream of reports those that come to count for their ticker: of a greater path than any before. State holds a path a ticker, no text."""
+def newest(stream: DataFrame, number: Column | None = None) -> DataFrame:
+    """Of a stream of reports those that come to count for their ticker: of a greater path than any before. State holds a path a ticker, no text.
+
+    number tells reports of one ticker apart, where several companies may have it.
+    """
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else None
@@ -77,25 +80,25 @@ def newest(stream: DataFrame) -> DataFrame:
                     last, best = row.path, row
         if best is not None:
             state.update((last,))
-            yield pd.DataFrame([best], columns=["ticker", "company", "sector", "path", "content"])
+            yield pd.DataFrame([best[:5]], columns=["ticker", "company", "sector", "path", "content"])
 
-    rows = stream.select("ticker", "company", "sector", "path", "content")
-    return rows.groupBy("ticker").applyInPandasWithState(run, _CHANGES, "path string", "append", GroupStateTimeout.NoTimeout)
+    rows = stream.select("ticker", "company", "sector", "path", "content", *([] if number is None else [number.alias("number")]))
+    return rows.groupBy(*([] if number is None else ["number"]), "ticker").applyInPandasWithState(run, _CHANGES, "path string", "append", GroupStateTimeout.NoTimeout)
 
 
-def follow_changes(stream: DataFrame, folder: str, checkpoint: str, late: str = "1 day") -> StreamingQuery:
+def follow_changes(stream: DataFrame, folder: str, checkpoint: str, late: str = "1 day", number: Column | None = None) -> StreamingQuery:
     """Writes what comes to count, batch by batch, to ``folder/batch=<n>``. A batch costs what it holds, not what came before; run again, it writes the same."""
 
     def keep(changes: DataFrame, batch: int) -> None:
         changes.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
 
     rows = deduplicated(stream, late) if "landed_at" in stream.columns else stream
-    return newest(rows).writeStream.foreachBatch(keep).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return newest(rows, number).writeStream.foreachBatch(keep).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def followed(spark: SparkSession, folder: str) -> DataFrame:
-    """The snapshot that the changes make: of each ticker that of the last path."""
-    return last_wins(spark.read.schema(REPORTS).parquet(f"{folder}/*"))
+def followed(spark: SparkSession, folder: str, number: Column | None = None) -> DataFrame:
+    """The snapshot that the changes make: of each ticker (and number) that of the last path."""
+    return last_wins(spark.read.schema(REPORTS).parquet(f"{folder}/*"), number)
 
 
 def late_rows(query: StreamingQuery) -> int:
