@@ -108,6 +108,6 @@ def finance_section(annual: Column, quarterly: Column, valuation: Column) -> Col
 
 
 def finance_sections(printed: DataFrame, valuation: DataFrame) -> DataFrame:
-    """ticker, section from printed tables and valuation blocks (ticker, block)."""
+    """ticker, section from printed tables and valuation blocks (ticker, block): one a ticker, with the least of several blocks."""
     by = printed.groupBy("ticker").agg(F.max(F.when(F.col("freq") == "A", F.col("markdown"))).alias("annual"), F.max(F.when(F.col("freq") == "Q", F.col("markdown"))).alias("quarterly"))
-    return by.join(valuation.select("ticker", "block"), "ticker", "full").select("ticker", finance_section(F.col("annual"), F.col("quarterly"), F.col("block")).alias("section"))
+    return by.join(valuation.groupBy("ticker").agg(F.min("block").alias("block")), "ticker", "full").select("ticker", finance_section(F.col("annual"), F.col("quarterly"), F.col("block")).alias("section"))
