@@ -84,10 +84,10 @@ class Versions:
         return self._commit(run, attempt)
 
     def append_new(self, fresh: DataFrame, run: str) -> int:
-        """A version with the rows of tickers that are not there yet. What is there is looked up again in the version that it follows."""
+        """A version with the rows of tickers that are not there yet, one a ticker and sector. What is there is looked up again in the version that it follows."""
 
         def attempt(base: int, old: dict) -> dict[str, list[str]]:
-            data, there = self._write(fresh.join(self.read(base).select("ticker"), "ticker", "left_anti").dropDuplicates(["ticker"]).select(*self.read(0).columns), run)
+            data, there = self._write(fresh.join(self.read(base).select("ticker"), "ticker", "left_anti").dropDuplicates(["ticker", "sector"]).select(*self.read(0).columns), run)
             return {s: [*old["sectors"].get(s, []), data] for s in there}
 
         return self._commit(run, attempt)
