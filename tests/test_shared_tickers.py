@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import catalog
 from tidemark.operators import rewrite as W
 
-NAMES = ["report_refresh_valuation", "report_refresh_finance", "kept_prose", "landed_suffix", "new_tickers", "new_reports", "report_enrich_outcomes", "report_last_wins", "report_mentions", "report_scan", "report_stream", "report_tables_read_back", "report_enrich", "report_versions"]
+NAMES = ["report_refresh_valuation", "report_refresh_finance", "kept_prose", "landed_suffix", "new_tickers", "new_reports", "report_enrich_outcomes", "report_last_wins", "report_mentions", "report_scan", "report_stream", "report_tables_read_back", "report_enrich", "report_versions", "report_rebuild", "report_delta_refresh"]
 KEYS = [*range(12), *range(1000, 1009), *range(10000, 10045), *range(100000, 100012)]
 
 

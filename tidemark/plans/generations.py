@@ -20,7 +20,7 @@ from tidemark.operators import index as I
 from tidemark.operators import themes as TH
 
 TABLES = ["parsed", "counts", "frequency", "pairs"]
-_PARSED = "ticker string, company string, sector string, path string, file_names array<string>, body_names array<string>, entries array<struct<name string, role string>>, last boolean"
+_PARSED = "ticker string, company string, sector string, path string, file_names array<string>, body_names array<string>, entries array<struct<name string, role string>>, chain long, copies long, last boolean"
 
 
 @dataclass
@@ -32,8 +32,12 @@ class Generation:
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
 
-def parsed(reports: DataFrame) -> DataFrame:
-    """What a report gives: linked names of the file with repeats, of its body once, and those of its sections with their roles; last: the file that counts for its ticker."""
+def parsed(reports: DataFrame, number: Column | None = None) -> DataFrame:
+    """What a report gives: linked names of the file with repeats, of its body once, and those of its sections with their roles; chain, a hash of its supply chain;
+    copies, as how many it counts (1 if it has no such column); last: the file that counts for its ticker.
+
+    number tells reports of one ticker apart, where several companies may have it; each has a last file then.
+    """
     content = F.col("content")
     sections = F.concat(*[T.loose_section(content, t) for t in dims.SECTION_TITLES.values()])
 
@@ -43,8 +47,9 @@ def parsed(reports: DataFrame) -> DataFrame:
     # The lambda binds chain and names, so that they are made once for a report.
     chain = T.loose_section(content, dims.SECTION_TITLES["supply_chain"])
     entries = F.transform(F.array(F.struct(chain.alias("chain"), F.array_distinct(T.mentions(sections)).alias("names"))), roles)[0]
-    rows = reports.select("ticker", "company", "sector", "path", T.mentions(content).alias("file_names"), F.array_distinct(T.mentions(T.body(content))).alias("body_names"), entries.alias("entries"))
-    return rows.withColumn("last", F.col("path") == F.max("path").over(Window.partitionBy("ticker")))
+    rows = reports.select("ticker", "company", "sector", "path", T.mentions(content).alias("file_names"), F.array_distinct(T.mentions(T.body(content))).alias("body_names"), entries.alias("entries"), F.xxhash64(chain).alias("chain"), (F.col("copies") if "copies" in reports.columns else F.lit(1)).cast("long").alias("copies"))
+    same = Window.partitionBy("ticker", *([] if number is None else [number]))
+    return rows.withColumn("last", F.col("path") == F.max("path").over(same))
 
 
 def _named(rows: DataFrame, column: str, sign: Column) -> DataFrame:
@@ -75,13 +80,13 @@ def latest(spark: SparkSession, root: str) -> Generation | None:
     return Generation(spark, f"{root}/{found[-1]}") if found else None
 
 
-def first_generation(spark: SparkSession, reports: DataFrame, root: str) -> Generation:
-    """The generation after the newest one, from all reports. Their texts are scanned once."""
+def first_generation(spark: SparkSession, reports: DataFrame, root: str, number: Column | None = None) -> Generation:
+    """The generation after the newest one, from all reports. Their texts are scanned once. number: as in `parsed`."""
     before = latest(spark, root)
     made = f"{root}/making-{storage.uuid.uuid4().hex}"
-    parsed(reports).write.parquet(f"{made}/parsed")
+    parsed(reports, number).write.parquet(f"{made}/parsed")
     rows = spark.read.parquet(f"{made}/parsed")
-    _counted(_named(rows, "file_names", F.lit(1)), ["name"], "count").write.parquet(f"{made}/counts")
+    _counted(_named(rows, "file_names", F.col("copies")), ["name"], "count").write.parquet(f"{made}/counts")
     mentioned = _mentioned(rows)
     G.document_frequency(mentioned).write.parquet(f"{made}/frequency")
     kept = G.kept_names(spark.read.parquet(f"{made}/frequency"))
@@ -90,13 +95,16 @@ def first_generation(spark: SparkSession, reports: DataFrame, root: str) -> Gene
 
 
 def next_generation(spark: SparkSession, root: str, changed: DataFrame, removed: DataFrame | None = None) -> Generation:
-    """The generation after the newest one, from it and the changed reports (new or rewritten, as a whole) and removed tickers. No other text is read."""
+    """The generation after the newest one, from it and the changed reports (new or rewritten, as a whole, all of a ticker) and removed tickers. No other text is read.
+
+    What is changed may be given as `parsed` gives it.
+    """
     old = latest(spark, root)
     if old is None:
         raise RuntimeError(f"no generation in {root}")
     made = f"{root}/making-{storage.uuid.uuid4().hex}"
     rows = old.table("parsed")
-    fresh = storage.written(parsed(changed), "changed-names")
+    fresh = storage.written(changed if "file_names" in changed.columns else parsed(changed), "changed-names")
     tickers = fresh.select("ticker").unionByName(removed.select("ticker")) if removed is not None else fresh.select("ticker")
     tickers = tickers.distinct()
     gone = rows.join(tickers, "ticker", "left_semi")
@@ -104,9 +112,9 @@ def next_generation(spark: SparkSession, root: str, changed: DataFrame, removed:
     now = spark.read.parquet(f"{made}/parsed")
     signed = gone.withColumn("sign", F.lit(-1)).unionByName(fresh.withColumn("sign", F.lit(1)))
 
-    counts = old.table("counts").select("name", F.col("count").alias("n")).unionByName(_named(signed, "file_names", F.col("sign")))
+    counts = old.table("counts").select("name", F.col("count").alias("n")).unionByName(_named(signed, "file_names", F.col("sign") * F.col("copies")))
     _counted(counts, ["name"], "count").write.parquet(f"{made}/counts")
-    frequency = old.table("frequency").select("name", F.col("count").alias("n")).unionByName(_named(signed.filter("last"), "body_names", F.col("sign")))
+    frequency = old.table("frequency").select("name", F.col("count").alias("n")).unionByName(signed.filter("last").select("ticker", F.col("sign").alias("n"), F.explode("body_names").alias("name")).distinct().select("name", "n"))
     _counted(frequency, ["name"], "count").write.parquet(f"{made}/frequency")
 
     was, is_now = G.kept_names(old.table("frequency")).select("name"), G.kept_names(spark.read.parquet(f"{made}/frequency")).select("name")

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark import storage
 from tidemark.operators import discover as D
 from tidemark.plans import generations as N
 
 
-def rebuild(spark: SparkSession, reports: DataFrame, min_weight: int = 5, top: int | None = None, root: str | None = None) -> dict[str, DataFrame]:
-    """index, totals, nodes, edges, theme_entries, theme_sizes, theme_related, theme_index, from a new generation. The texts are scanned once."""
-    return N.derived(N.first_generation(spark, reports, root or storage.new_folder(spark, "generations")), min_weight, top)
+def rebuild(spark: SparkSession, reports: DataFrame, min_weight: int = 5, top: int | None = None, root: str | None = None, number: Column | None = None) -> dict[str, DataFrame]:
+    """index, totals, nodes, edges, theme_entries, theme_sizes, theme_related, theme_index, from a new generation. The texts are scanned once. number: as in `generations.parsed`."""
+    return N.derived(N.first_generation(spark, reports, root or storage.new_folder(spark, "generations"), number), min_weight, top)
 
 
 def link_and_rebuild(spark: SparkSession, reports: DataFrame, term: str, sectors: list[str] | None = None, min_weight: int = 5, root: str | None = None) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
