@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import catalog
 from tidemark.operators import rewrite as W
+from tidemark.operators import terms as TM
 
 NAMES = ["report_refresh_valuation", "report_refresh_finance", "kept_prose", "landed_suffix", "new_tickers", "new_reports", "report_enrich_outcomes", "report_last_wins", "report_mentions", "report_scan", "report_stream", "report_tables_read_back", "report_enrich", "report_versions", "report_rebuild", "report_delta_refresh"]
 KEYS = [*range(12), *range(1000, 1009), *range(10000, 10045), *range(100000, 100012)]
@@ -51,3 +52,14 @@ def test_cut_texts_are_refreshed_as_whole_ones(spark):
     plain = W.set_metadata(W.set_valuation(F.col("content"), F.col("block")), F.col("market_cap"), F.col("enterprise_value"))
     want = {r.ticker: r.x for r in rows.join(landed, "ticker").select("ticker", plain.alias("x")).collect()}
     assert {r.ticker: r.content for r in W.refresh_valuation(rows, landed).collect()} == want
+
+
+def test_all_terms_are_found_in_one_pass(spark):
+    """However many there are: it took a pass over the texts for every 200,000."""
+    texts = spark.createDataFrame([("1", "[[C7]] 與 C199999，C2000000 及 股份"), ("2", "C7"), ("3", None)], "ticker string, content string")
+    terms = spark.range(400_000).select(F.concat(F.lit("C"), F.col("id").cast("string")).alias("name")).union(spark.createDataFrame([("及",), ("股份公司",)], "name string"))
+    found = TM.find_terms(texts, terms)
+    assert found._jdf.queryExecution().toString().count("MapInArrow") == 4  # one, in each of the plan's four forms
+    got = {(r.ticker, r.name): (r.linked, r.bare) for r in found.collect()}
+    bare = {"C1", "C19", "C199", "C1999", "C19999", "C199999", "C2", "C20", "C200", "C2000", "C20000", "C200000", "及"}
+    assert got == {("1", "C7"): (1, 0), ("2", "C7"): (0, 1)} | {("1", x): (0, 1) for x in bare}

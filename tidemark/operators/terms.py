@@ -6,14 +6,17 @@ import uuid
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import dims
 from tidemark.functions import text as T
+from tidemark.storage import written
 
-#: Terms that a pass looks for at once. More are looked for in several passes.
+#: Terms that may be linked at once.
 MOST = 200_000
 
 _BUILT: dict[str, ahocorasick.Automaton] = {}
@@ -36,22 +39,6 @@ def _goes_on(c: str) -> bool:
     return "A" <= c <= "Z" or "a" <= c <= "z" or "\u4e00" <= c <= "\u9fff"
 
 
-def counted(made: ahocorasick.Automaton, terms: list[str], text: str) -> dict[int, list[int]]:
-    """For each term in the text: its linked mentions, its bare ones and those that may be linked. A term's own mentions do not overlap."""
-    found: dict[int, list[int]] = {}
-    free: dict[int, list[int]] = {}  # from where on the next linked, bare and taggable mention may start
-    for last, i in made.iter(text):
-        first, end = last + 1 - len(terms[i]), last + 1
-        opened, closed = text[max(first - 2, 0) : first] == "[[", text[end : end + 2] == "]]"
-        n, ends = found.setdefault(i, [0, 0, 0]), free.setdefault(i, [0, 0, 0])
-        bare = not opened and not closed
-        for k, counts in enumerate((opened and closed, bare, bare and not _goes_on(text[end : end + 1]))):
-            if counts and first >= ends[k]:
-                n[k] += 1
-                ends[k] = end
-    return found
-
-
 def linked_text(made: ahocorasick.Automaton, terms: list[str], text: str) -> tuple[str, int]:
     """The text with all taggable mentions linked, and how many. Of overlapping ones the first counts, of those that start together the longest."""
     spans = []
@@ -81,37 +68,76 @@ def _blocks(terms: DataFrame, most: int) -> Iterator[list[str]]:
         yield sorted(r.name for r in names.filter(F.pmod(F.xxhash64("name"), F.lit(blocks)) == b).collect())
 
 
-def find_terms(reports: DataFrame, terms: DataFrame, most: int = MOST) -> DataFrame:
+#: Terms whose hashes a task holds at once, 8 bytes each, to find them. More are looked for in several passes.
+HASHED = 8_000_000
+
+
+def _mentioned(text: str, heads: dict[str, list[int]], hashes: np.ndarray) -> dict[str, list[int]]:
+    """Each piece of the text that begins and is as long as a term and has the hash of one, with its places in order."""
+    firsts, last, at = {h[:1] for h in heads}, len(text), {}
+    for i, c in enumerate(text):
+        if c in firsts:
+            for n in {*heads.get(c, ()), *heads.get(text[i : i + 2], ())}:
+                if i + n <= last:
+                    at.setdefault(text[i : i + n], []).append(i)
+    if not at or not len(hashes):
+        return {}
+    own = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in at], np.uint64).view(np.int64)
+    there = hashes[np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)] == own
+    return {x: places for (x, places), is_term in zip(at.items(), there, strict=True) if is_term}
+
+
+def _numbers(text: str, term: str, places: list[int]) -> list[int]:
+    """Linked, bare and taggable mentions of a term at these places. They do not overlap."""
+    n, ends = [0, 0, 0], [0, 0, 0]
+    for first in places:
+        end = first + len(term)
+        opened, closed = text[max(first - 2, 0) : first] == "[[", text[end : end + 2] == "]]"
+        bare = not opened and not closed
+        for k, counts in enumerate((opened and closed, bare, bare and not _goes_on(text[end : end + 1]))):
+            if counts and first >= ends[k]:
+                n[k] += 1
+                ends[k] = end
+    return n
+
+
+def find_terms(reports: DataFrame, terms: DataFrame, most: int = HASHED) -> DataFrame:
     """name, ticker, linked, bare, taggable, role of each term (column name) in each report that mentions it before its finance header.
 
-    As `discover` for every term, in one pass: an automaton of all terms reads a text once.
+    As `discover` for every term, in one pass: pieces of a text that have the hash of a term are looked up among the terms in the end.
     """
-    content = F.col("content")
-    rows = reports.withColumn("body", T.body(content))
-    sections = [(T.exact_section(F.col("body"), dims.SECTION_TITLES[s]).alias(s), s, label) for s, label, _ in dims.DISCOVERY_ROLES if s]
-    roles, other = [label for _, _, label in sections], dims.DISCOVERY_ROLES[-1][1]
-    rows = rows.select("ticker", "body", *[c for c, _, _ in sections])
-    columns = [s for _, s, _ in sections]
+    rows = reports.withColumn("body", T.body(F.col("content")))
+    roles, other = [(s, label) for s, label, _ in dims.DISCOVERY_ROLES if s], dims.DISCOVERY_ROLES[-1][1]
+    rows = rows.select("ticker", "body", *[T.exact_section(F.col("body"), dims.SECTION_TITLES[s]).alias(s) for s, _ in roles])
     schema = rows.select("ticker").schema.add("name", "string").add("linked", "long").add("bare", "long").add("taggable", "long").add("role", "string")
-    out = None
-    for block in _blocks(terms, most):
-        token = uuid.uuid4().hex
-
-        def run(batches: Iterator[pa.RecordBatch], block=block, token=token) -> Iterator[pa.RecordBatch]:
-            made = _automaton(token, block)
+    names = written(terms.select("name").filter("name <> ''").distinct(), "terms")
+    passes, out = -(-names.count() // most), None
+    for b in range(passes):
+        own = names.filter(F.pmod(F.xxhash64("name"), F.lit(passes)) == b)
+        hashed = own.select(F.xxhash64("name").alias("h")).toArrow().column("h").to_numpy()
+        heads: dict[str, list[int]] = {}
+        for r in own.select(F.left("name", F.lit(2)).alias("head"), F.char_length("name").alias("n")).distinct().collect():
+            heads.setdefault(r.head, []).append(r.n)
+        held = reports.sparkSession.sparkContext.broadcast((heads, np.unique(hashed).tobytes()))
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            heads, hashes = held.value[0], np.frombuffer(held.value[1], np.int64)
             for batch in batches:
                 for i in range(batch.num_rows):
-                    found = {k: n for k, n in counted(made, block, batch.column("body")[i].as_py() or "").items() if n[0] or n[1]}
-                    role = dict.fromkeys(found, other)
-                    for section, label in zip(reversed(columns), reversed(roles), strict=True):
-                        role |= {k: label for _, k in made.iter(batch.column(section)[i].as_py() or "") if k in role}
-                    values = [[block[k] for k in found], *([n[j] for n in found.values()] for j in range(3)), [role[k] for k in found]]
+                    text = batch.column("body")[i].as_py() or ""
+                    found = {x: _numbers(text, x, places) for x, places in _mentioned(text, heads, hashes).items()}
+                    found = {x: n for x, n in found.items() if n[0] or n[1]}
+                    parts = [(batch.column(s)[i].as_py() or "", label) for s, label in roles]
+                    role = [next((label for part, label in parts if x in part), other) for x in found]
+                    values = [list(found), *([n[j] for n in found.values()] for j in range(3)), role]
                     kinds = [pa.string(), *[pa.int64()] * 3, pa.string()]
                     yield pa.RecordBatch.from_arrays([batch.column("ticker").take(pa.array([i] * len(found), pa.int32())), *map(pa.array, values, kinds)], names=["ticker", "name", "linked", "bare", "taggable", "role"])
 
         part = rows.mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
-    return (out if out is not None else reports.sparkSession.createDataFrame([], schema)).select("name", "ticker", "linked", "bare", "taggable", "role")
+    if out is None:
+        return reports.sparkSession.createDataFrame([], schema).select("name", "ticker", "linked", "bare", "taggable", "role")
+    return out.join(names, "name", "left_semi").select("name", "ticker", "linked", "bare", "taggable", "role")
 
 
 def link_terms(reports: DataFrame, terms: DataFrame, most: int = MOST) -> DataFrame:
