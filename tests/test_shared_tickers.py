@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import catalog
 from tidemark.operators import rewrite as W
 from tidemark.operators import terms as TM
+from tidemark.sources import reports as P
 
 NAMES = ["report_refresh_valuation", "report_refresh_finance", "kept_prose", "landed_suffix", "new_tickers", "new_reports", "report_enrich_outcomes", "report_last_wins", "report_mentions", "report_scan", "report_stream", "report_tables_read_back", "report_enrich", "report_versions", "report_rebuild", "report_delta_refresh"]
 KEYS = [*range(12), *range(1000, 1009), *range(10000, 10045), *range(100000, 100012)]
@@ -63,3 +64,14 @@ def test_all_terms_are_found_in_one_pass(spark):
     got = {(r.ticker, r.name): (r.linked, r.bare) for r in found.collect()}
     bare = {"C1", "C19", "C199", "C1999", "C19999", "C199999", "C2", "C20", "C200", "C2000", "C20000", "C200000", "及"}
     assert got == {("1", "C7"): (1, 0), ("2", "C7"): (0, 1)} | {("1", x): (0, 1) for x in bare}
+
+
+def test_tasks_list_files(spark, tmp_path):
+    """The same rows as Spark's own listing, which the driver holds."""
+    for name, text in {"A & B/1101_甲 +%41.md": "x\ny", "C/1101_乙.md": "", "C/notes.md": "n", "C/.1102_x.md": "h", "D/1103_c.md": "z"}.items():
+        (tmp_path / "r" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "r" / name).write_text(text, encoding="utf-8")
+    rows = lambda df: sorted(tuple(r) for r in df.select("ticker", "company", "sector", "content").collect())
+    found = P.found_reports(spark, f"file://{tmp_path}/r")
+    assert rows(found) == rows(P.read_reports(spark, f"file://{tmp_path}/r")) and len(rows(found)) == 2
+    assert not found.inputFiles()  # the driver knows no file

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import dims
 from tidemark.functions import text as T
+from tidemark.storage import names_in
 
 #: How strictly a file must be named: any .md, a ticker in front, a ticker and "_", or sector folder, ticker and company.
 NAMES = {"any": r"\.md$", "prefix": r"/\d{4}[^/]*\.md$", "ticker": r"/\d{4}_[^/]*\.md$", "report": r"/[^/]+/\d{4}_[^/]+\.md$"}
@@ -36,6 +39,43 @@ def read_reports(spark: SparkSession, root: str, names: str = "report") -> DataF
     return named(files.select(_path().alias("path"), F.col("content").cast("string").alias("content")), names)
 
 
+#: Bytes of texts that a task passes on at once.
+_READ = 4 << 20
+
+
+def found_reports(spark: SparkSession, root: str, names: str = "report") -> DataFrame:
+    """As `read_reports`, of files in the folders right under a root that all executors reach: tasks list the folders, one each, and read the files. The driver holds names of folders only."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                files, path = fs.FileSystem.from_uri(root)
+                found = files.get_file_info(fs.FileSelector(f"{path}/{folder}"))
+                for i in range(0, len(found), 10_000):
+                    there = [f.path for f in found[i : i + 10_000] if f.type == fs.FileType.File and f.size and f.base_name.endswith(".md") and f.base_name[0] not in "._"]
+                    yield pa.RecordBatch.from_arrays([pa.array(there, pa.string())], names=["path"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = fs.FileSystem.from_uri(root)[0]
+        give = lambda paths, texts: pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["path", "content"])
+        for batch in batches:
+            paths, texts, size = [], [], 0
+            for path in batch.column("path").to_pylist():
+                with files.open_input_stream(path) as held:
+                    raw = held.read()
+                paths.append(path)
+                texts.append(raw.decode("utf-8", "replace"))
+                size += len(raw)
+                if size > _READ:
+                    yield give(paths, texts)
+                    paths, texts, size = [], [], 0
+            yield give(paths, texts)
+
+    folders = [(n,) for n in names_in(spark, root)]
+    paths = spark.createDataFrame(folders, "folder string").repartition(max(len(folders), 1)).mapInArrow(listed, "path string")
+    return named(paths.repartition(4 * spark.sparkContext.defaultParallelism).mapInArrow(read, "path string, content string"), names)
+
+
 def last_wins(reports: DataFrame, number: Column | None = None) -> DataFrame:
     """One report a ticker: that of the last path. Only tickers and paths are compared; a report without either is not taken.
 
